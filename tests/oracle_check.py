@@ -78,7 +78,7 @@ def main(argv: list[str]) -> int:
 
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = set(argv[1:])
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     queries, oracle = entry.queries(), entry.oracle_sql()

@@ -13,6 +13,7 @@ from tideline.functions.hashing import arm
 from tideline.operators.sets import flag_in
 from tideline.params import Params
 from tideline.plans import eligibility, features, scoring
+from tideline.session import Keep, as_is
 from tideline.sources.tables import Sources
 
 AUDIENCE = (
@@ -31,8 +32,11 @@ def selectable(df: DataFrame, p: Params) -> DataFrame:
     return df.withColumn("selectable", ok)
 
 
-def build(src: Sources, as_of: datetime, p: Params, version: str, long_form: bool = False) -> DataFrame:
-    pool = eligibility.pool(src, as_of, p)
+def build(
+    src: Sources, as_of: datetime, p: Params, version: str, long_form: bool = False, keep: Keep = as_is
+) -> DataFrame:
+    """``keep`` may materialise intermediate results (jobs pass a checkpoint)."""
+    pool = keep(eligibility.pool(src, as_of, p, keep))
     featured = features.features_now(pool, src, as_of, p)
     flagged = selectable(flag_in(featured, eligibility.cooldown(src, as_of, p), "phone9", "in_cooldown"), p)
     weights = scoring.of_version(src.table("model_weights"), version)

@@ -16,6 +16,7 @@ from tideline.operators.sets import exclude, lookup, union_all, union_many
 from tideline.params import Params
 from tideline.plans import pricing
 from tideline.sources import tables as t
+from tideline.session import Keep, as_is
 from tideline.sources.tables import Sources
 
 ALL, QUOTED, LEADS = "all", "q2s", "l2s"
@@ -165,10 +166,14 @@ def newest_leads(src: Sources, as_of: datetime) -> DataFrame:
     return latest(t.leads(src).filter(F.col("lead_ts") < at(as_of)), ["phone9"], "lead_ts")
 
 
-def pool(src: Sources, as_of: datetime, p: Params) -> DataFrame:
-    """Both audiences after all exclusions and the people gate; one row per phone9."""
-    reasons = exclusion_reasons(src, as_of, p)
-    leads = newest_leads(src, as_of)
+def pool(src: Sources, as_of: datetime, p: Params, keep: Keep = as_is) -> DataFrame:
+    """Both audiences after all exclusions and the people gate; one row per phone9.
+
+    Reasons and newest leads serve both audiences; ``keep`` lets a job materialise them, so the
+    call log and the leads are read once.
+    """
+    reasons = keep(exclusion_reasons(src, as_of, p))
+    leads = keep(newest_leads(src, as_of))
     q2s = pricing.accept(pricing.price(q2s_eligible(src, as_of, p, reasons, leads), p), p)
     both = union_all([q2s.select(*POOL), l2s_final(src, as_of, p, reasons, leads).select(*POOL)])
     return clean_people(both, p)

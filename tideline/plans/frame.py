@@ -3,7 +3,6 @@ labels after it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +16,7 @@ from tideline.operators.sets import lookup, pivot_flags, union_all
 from tideline.params import Campaign, ControlBand, Params
 from tideline.plans.features import FIRST_LEAD, add_channel_factor, days, history_measures, raw_features, streams
 from tideline.sources import tables as t
+from tideline.session import Keep, as_is
 from tideline.sources.tables import Sources
 
 GRAIN = ("campaign", "segment", "phone9")
@@ -218,7 +218,7 @@ FRAME_COLUMNS = (
 
 
 def build(
-    src: Sources, as_of: datetime, p: Params, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+    src: Sources, as_of: datetime, p: Params, keep: Keep = as_is
 ) -> DataFrame:
     """The whole frame. ``keep`` may materialise shared inputs (jobs pass a checkpoint)."""
     aud = keep(audiences(src, p))

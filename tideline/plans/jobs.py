@@ -12,7 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tideline.params import Params
 from tideline.plans import audience as aud
-from tideline.plans import checks, frame, ledger, metrics, pick, registry, scoring, training
+from tideline.plans import checks, eligibility, frame, ledger, metrics, pick, registry, scoring, training
 from tideline.plans.features import FEATURES, features_from_frame
 from tideline.session import checkpoint
 from tideline.sources import sinks
@@ -58,7 +58,7 @@ def run_daily(src: FolderSources, as_of: datetime, p: Params, daily_n: int | Non
     """
     p = quota_profile(p) if quota else p
     version, _ = registry.champion_version(src.table("model_registry"))
-    sinks.replace(aud.build(src, as_of, p, version), src.path("audience"))
+    sinks.replace(aud.build(src, as_of, p, version, keep=checkpoint), src.path("audience"))
     audience = src.table("audience")
     if score_only:
         return run_summary(audience)
@@ -68,10 +68,8 @@ def run_daily(src: FolderSources, as_of: datetime, p: Params, daily_n: int | Non
     new = pick.pick_quota(audience, daily_n, as_of, p) if quota else pick.pick_capped(audience, daily_n, p)
     sinks.replace(pick.pick_idempotent(new, audience, log, as_of.date()), src.path("picked_today"))
     picked = src.table("picked_today")
-    from tideline.plans.eligibility import do_not_message
-
     sinks.append(ledger.pick_rows(picked, log, as_of), src.path("ledger"), ["selected_date"])
-    guard = do_not_message(src, as_of, p)
+    guard = eligibility.do_not_message(src, as_of, p)
     sinks.replace(ledger.send_list(picked, guard, as_of.date()), src.path("send_today"))
     return run_summary(audience, src.table("send_today"))
 

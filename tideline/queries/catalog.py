@@ -23,6 +23,7 @@ from tideline.queries import driver_tables as d
 from tideline.queries.oracle import (
     BEST, NOW, TODAY, bin_sql, capped_sql, days, hmod, hours, level_sql, outcome_sql, p9, sql,
 )
+from tideline.session import checkpoint
 from tideline.sources import sinks
 from tideline.sources import tables as t
 
@@ -330,43 +331,43 @@ def window_counts_asof(spark, sf):
 
 
 def _purchases(spark, sf):
-    return _events(spark, sf).filter(F.col("event_type") == "purchase").select("event_id", "user_id", F.col("ts").alias("at"))
+    return _events(spark, sf).filter(F.col("event_type") == "purchase").select("event_id", "user_id", F.col("ts").alias("at_ts"))
 
 
 def _stream(spark, sf, kind):
     return _events(spark, sf).filter(F.col("event_type") == kind).select("user_id", "ts", F.col("event_id").alias("hit_id"), F.col("value").alias("hit_value"))
 
 
-@query("""select p.event_id, p.user_id, p.ts as at, v.event_id as hit_id, v.value as hit_value
+@query("""select p.event_id, p.user_id, p.ts as at_ts, v.event_id as hit_id, v.value as hit_value
     from (select * from events where event_type = 'purchase') p
     asof left join (select * from events where event_type = 'view') v on v.user_id = p.user_id and v.ts < p.ts""")
 def asof_last(spark, sf):
     """Last view strictly before each purchase."""
-    return asof.asof_last(_purchases(spark, sf), _stream(spark, sf, "view"), "user_id", "event_id", "at", ["hit_id", "hit_value"], ties=("hit_id",))
+    return asof.asof_last(_purchases(spark, sf), _stream(spark, sf, "view"), "user_id", "event_id", "at_ts", ["hit_id", "hit_value"], ties=("hit_id",))
 
 
-@query("""select p.event_id, p.user_id, p.ts as at, case when f.ts < p.ts then f.id end as hit_id, case when f.ts < p.ts then f.value end as hit_value
+@query("""select p.event_id, p.user_id, p.ts as at_ts, case when f.ts < p.ts then f.id end as hit_id, case when f.ts < p.ts then f.value end as hit_value
     from events p left join (select user_id, min(ts) as ts, arg_min(event_id, ts) as id, arg_min(value, ts) as value
       from events where event_type = 'view' group by 1) f using (user_id) where p.event_type = 'purchase'""")
 def asof_first(spark, sf):
     """First view of all, when it lies before the purchase."""
-    return asof.asof_first(_purchases(spark, sf), _stream(spark, sf, "view"), "user_id", "event_id", "at", ["hit_id", "hit_value"], ties=("hit_id",))
+    return asof.asof_first(_purchases(spark, sf), _stream(spark, sf, "view"), "user_id", "event_id", "at_ts", ["hit_id", "hit_value"], ties=("hit_id",))
 
 
-@query("""select p.event_id, p.user_id, p.ts as at, case when c.ts < p.ts + interval 3 day then c.event_id end as hit_id,
+@query("""select p.event_id, p.user_id, p.ts as at_ts, case when c.ts < p.ts + interval 3 day then c.event_id end as hit_id,
       case when c.ts < p.ts + interval 3 day then c.value end as hit_value
     from (select * from events where event_type = 'purchase') p
     asof left join (select * from events where event_type = 'click') c on c.user_id = p.user_id and c.ts >= p.ts""")
 def first_after(spark, sf):
     """First click within three days after each purchase."""
-    return asof.first_from(_purchases(spark, sf), _stream(spark, sf, "click"), "user_id", "event_id", "at", ["hit_id", "hit_value"],
+    return asof.first_from(_purchases(spark, sf), _stream(spark, sf, "click"), "user_id", "event_id", "at_ts", ["hit_id", "hit_value"],
                            within=timedelta(days=3), ties=("hit_id",))
 
 
 SPANS = """select user_id, ts as p_start, ts + interval 6 day as p_end, value as p_offer from events where event_type = 'signup'"""
 
 
-@query(f"""select p.event_id, p.user_id, p.ts as at, s.p_start, s.p_end, s.p_offer, s.n_spans from events p left join (
+@query(f"""select p.event_id, p.user_id, p.ts as at_ts, s.p_start, s.p_end, s.p_offer, s.n_spans from events p left join (
       select p.event_id, s.p_start, s.p_end, s.p_offer, count(*) over (partition by p.event_id) as n_spans
       from events p join ({SPANS}) s on s.user_id = p.user_id and s.p_end <= p.ts where p.event_type = 'purchase'
       qualify row_number() over (partition by p.event_id order by s.p_start desc, s.p_offer desc) = 1) s using (event_id)
@@ -374,7 +375,7 @@ SPANS = """select user_id, ts as p_start, ts + interval 6 day as p_end, value as
 def asof_interval(spark, sf):
     """Newest six-day span that had ended at the purchase, and how many had."""
     spans = _stream(spark, sf, "signup").selectExpr("user_id", "ts as p_start", "ts + interval 6 days as p_end", "hit_value as p_offer")
-    return asof.asof_interval(_purchases(spark, sf), spans, "user_id", "event_id", "at", "p_start", "p_end", ["p_offer"],
+    return asof.asof_interval(_purchases(spark, sf), spans, "user_id", "event_id", "at_ts", "p_start", "p_end", ["p_offer"],
                               ["p_start", "p_offer"], "n_spans")
 
 
@@ -398,7 +399,7 @@ def q2s_eligible(spark, sf):
     return eligibility.q2s_eligible(src, d.AS_OF, P, reasons, leads).withColumn("prior_disc", r("prior_disc"))
 
 
-@query("""select o_orderkey, prior, offer, round(o_totalprice * (1 - offer / 100.0), 2) as new_premium,
+@query("""select o_orderkey, prior, offer, round(floor(o_totalprice) * (1 - offer / 100.0), 2) as new_premium,
     cast(floor(offer - coalesce(prior, 0) + 0.000001) as bigint) as top_up, offer <= 17 as allowed from (
       select *, cast(greatest(7, ceil(prior + 3.0), case when rec > prior then ceil(rec) else 0 end, case when o_orderstatus = 'P' then ceil(locked) else 0 end) as bigint) as offer
       from (select o_orderkey, o_totalprice, o_orderstatus, round(100 * zar / o_totalprice, 4) as prior, o_orderkey % 19 + 0.5 as rec, cast(o_orderkey % 16 as double) as locked
@@ -410,7 +411,7 @@ def offer_rule(spark, sf):
     rows = o.join(zar, "o_orderkey").withColumn("prior", prior)
     offer = pricing.offer_pct(F.col("prior"), F.expr("o_orderkey % 19 + 0.5D"), F.col("o_orderstatus") == "P", F.expr("cast(o_orderkey % 16 as double)"), P)
     return rows.withColumn("offer", offer).select(
-        "o_orderkey", "prior", "offer", pricing.new_premium(F.col("o_totalprice"), F.col("offer")).alias("new_premium"),
+        "o_orderkey", "prior", "offer", pricing.new_premium(F.floor("o_totalprice"), F.col("offer")).alias("new_premium"),
         pricing.top_up(F.col("offer"), F.col("prior"), F.col("o_orderstatus")).alias("top_up"), (F.col("offer") <= P.offer_ceiling).alias("allowed"))
 
 
@@ -432,7 +433,7 @@ def l2s_final(spark, sf):
 @query("""select phone9, user_id, audience, first_name, last_name, vehicle_make, vehicle_model, pre_prem, last_prem,
     round(prior_disc, 6) as prior_disc, psm_rmd, offer_pct, new_premium_offered from t_pool""")
 def eligible_pool(spark, sf):
-    return eligibility.pool(d.sources(spark, sf), d.AS_OF, P).withColumn("prior_disc", r("prior_disc"))
+    return eligibility.pool(d.sources(spark, sf), d.AS_OF, P, checkpoint).withColumn("prior_disc", r("prior_disc"))
 
 
 # ---- features, scoring ------------------------------------------------------------------------------
@@ -440,13 +441,13 @@ def eligible_pool(spark, sf):
 
 @query(f"""select o_orderkey, {bin_sql('age', BINS['quote_age'])} as quote_age, {bin_sql('o_totalprice / 100', BINS['premium'])} as premium,
     {bin_sql('(o_orderkey % 20) / 10.0 - 0.2', BINS['dialer_ch'])} as dialer_ch, {bin_sql('rate', BINS['wa_read_rate'])} as rate
-    from (select *, {days(NOW, 'at')} as age, case when o_orderstatus <> 'F' then (o_orderkey % 4) / 3.0 end as rate from t_od)""")
+    from (select *, {days(NOW, 'at_ts')} as age, case when o_orderstatus <> 'F' then (o_orderkey % 4) / 3.0 end as rate from t_od)""")
 def bins(spark, sf):
     o = d.read(spark, sf, "orders").selectExpr(
-        "*", f"o_orderdate + make_dt_interval({d.SHIFT}, cast(o_orderkey % 24 as int)) as at",
+        "*", f"o_orderdate + make_dt_interval({d.SHIFT}, cast(o_orderkey % 24 as int)) as at_ts",
         "case when o_orderstatus <> 'F' then (o_orderkey % 4) / 3.0D end as rate")
     return o.select(
-        "o_orderkey", bin_column(day_diff(at(d.AS_OF), F.col("at")), BINS["quote_age"]).alias("quote_age"),
+        "o_orderkey", bin_column(day_diff(at(d.AS_OF), F.col("at_ts")), BINS["quote_age"]).alias("quote_age"),
         bin_column(F.col("o_totalprice") / 100, BINS["premium"]).alias("premium"),
         bin_column(F.expr("(o_orderkey % 20) / 10.0D - 0.2D"), BINS["dialer_ch"]).alias("dialer_ch"),
         bin_column("rate", BINS["wa_read_rate"]).alias("rate"))
@@ -459,7 +460,7 @@ F_COLUMNS = ", ".join(f"f_{f}" for f in features.FEATURES)
 def binned_features(spark, sf):
     """All 21 features of the pool as of the run time."""
     src = d.sources(spark, sf)
-    out = features.features_now(eligibility.pool(src, d.AS_OF, P), src, d.AS_OF, P)
+    out = features.features_now(checkpoint(eligibility.pool(src, d.AS_OF, P, checkpoint)), src, d.AS_OF, P)
     return out.select("phone9", *[f"f_{f}" for f in features.FEATURES], "phone_first")
 
 
@@ -467,7 +468,7 @@ SCORED_CUSTOMERS = {
     "t_cust": f"""select c_custkey as id, {bin_sql("days", BINS['quote_age'])} as quote_age,
         case when n_views = 0 then '0' when n_views <= 2 then '1-2' when n_views <= 5 then '3-5' else '6+' end as calls_30d,
         case when c_acctbal <= 0 then null else {bin_sql('c_acctbal', BINS['premium'])} end as premium
-      from (select c_custkey, c_acctbal, (select {days(NOW, 'max(at)')} from t_od where o_custkey = c_custkey) as days,
+      from (select c_custkey, c_acctbal, (select {days(NOW, 'max(at_ts)')} from t_od where o_custkey = c_custkey) as days,
         (select count(*) from events where event_type = 'view' and user_id = c_custkey) as n_views from customer)""",
     "t_clong": "select id, feature, feature_level from (unpivot (select * from t_cust) on quote_age, calls_30d, premium into name feature value feature_level)",
     "t_cz": """select id, coalesce(sum(case when model = 'deliver' then coef end), 0) + (select coef from t_weights where model = 'deliver' and feature = 'intercept') as zd,
@@ -482,11 +483,11 @@ CUSTOMER_FEATURES = ("quote_age", "calls_30d", "premium")
 def scored_input(spark, sf):
     """Customers with three binned features; the NULL level of ``premium`` must score nothing."""
     last = d.read(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.max(F.expr(
-        f"o_orderdate + make_dt_interval({d.SHIFT}, cast(o_orderkey % 24 as int))")).alias("at"))
+        f"o_orderdate + make_dt_interval({d.SHIFT}, cast(o_orderkey % 24 as int))")).alias("at_ts"))
     views = _stream(spark, sf, "view").groupBy(F.col("user_id").alias("id")).agg(F.count("*").alias("n"))
     c = d.read(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal").join(last, "id", "left").join(views, "id", "left")
     return c.select(
-        "id", bin_column(day_diff(at(d.AS_OF), F.col("at")), BINS["quote_age"]).alias("f_quote_age"),
+        "id", bin_column(day_diff(at(d.AS_OF), F.col("at_ts")), BINS["quote_age"]).alias("f_quote_age"),
         bin_column("n", BINS["calls_30d"]).alias("f_calls_30d"),
         F.when(F.col("c_acctbal") > 0, bin_column("c_acctbal", BINS["premium"])).alias("f_premium"))
 
@@ -512,7 +513,12 @@ def glm_score_wide(spark, sf):
 @query("select * from t_audience")
 def audience(spark, sf):
     """The complete daily audience: pool, features, two models, arm and flags."""
-    return aud.build(d.sources(spark, sf), d.AS_OF, P, d.VERSION)
+    return aud.build(d.sources(spark, sf), d.AS_OF, P, d.VERSION, keep=checkpoint)
+
+
+def stored_audience(spark, sf, p=P):
+    """The audience as the picks see it: materialised, because they read it several times."""
+    return checkpoint(aud.build(d.sources(spark, sf), d.AS_OF, p, d.VERSION, keep=checkpoint))
 
 
 # ---- arms, volume, picks ------------------------------------------------------------------------------
@@ -566,7 +572,7 @@ QUOTA = {
 def pick_quota(spark, sf):
     """Fresh leads, the best of the rest, and a random control group of comparable people."""
     p = jobs.quota_profile(P)
-    people = aud.build(d.sources(spark, sf), d.AS_OF, p, d.VERSION)
+    people = stored_audience(spark, sf, p)
     return pick.pick_quota(people, 30, d.AS_OF, p).select(*PICK)
 
 
@@ -574,7 +580,7 @@ def pick_quota(spark, sf):
     from t_audience where phone9 in (select phone9 from t_raw_ledger where selected_date = date '2024-01-30')""")
 def pick_rerun(spark, sf):
     """The day before is already logged: its people come back instead of new ones."""
-    people = audience(spark, sf)
+    people = stored_audience(spark, sf)
     log = d.sources(spark, sf).table("ledger")
     day = (d.AS_OF - timedelta(days=1)).date()
     return pick.pick_idempotent(pick.pick_capped(people, 100, P), people, log, day).select("phone9", "arm", "p_click", "rank_on_day", "selected_date")
@@ -583,7 +589,7 @@ def pick_rerun(spark, sf):
 @query(f"select phone9, arm, p_click, rank_on_day, {TODAY} as selected_date from t_picked")
 def pick_new_day(spark, sf):
     """Nothing logged for the day yet: the new picks pass."""
-    people = audience(spark, sf)
+    people = stored_audience(spark, sf)
     log = d.sources(spark, sf).table("ledger")
     return pick.pick_idempotent(pick.pick_capped(people, 100, P), people, log, d.AS_OF.date()).select("phone9", "arm", "p_click", "rank_on_day", "selected_date")
 
@@ -591,8 +597,12 @@ def pick_new_day(spark, sf):
 # ---- ledger, send list -----------------------------------------------------------------------------------
 
 
+def _pick_of(people):
+    return pick.pick_capped(people, 100, P).withColumn("selected_date", F.lit(d.AS_OF.date()))
+
+
 def _picked(spark, sf):
-    return pick.pick_capped(audience(spark, sf), 100, P).withColumn("selected_date", F.lit(d.AS_OF.date()))
+    return _pick_of(aud.build(d.sources(spark, sf), d.AS_OF, P, d.VERSION, keep=checkpoint))
 
 
 LEDGER_COLUMNS = ("phone_number", "phone9", "audience", "arm", "was_sent", "selected_date", "rank_on_day", "p_click", "offered_discount_percentage", "logged_at")
@@ -629,16 +639,19 @@ def send_list(spark, sf):
     return ledger.send_list(_picked(spark, sf), eligibility.do_not_message(src, d.AS_OF, P), d.AS_OF.date())
 
 
-def _ticked(spark, sf):
+def _ticked(spark, sf, picked=None):
     """The sender has ticked a part of the list."""
-    return send_list(spark, sf).withColumn("has_been_messaged", F.col("user_id") <= "u7")
+    guard = eligibility.do_not_message(d.sources(spark, sf), d.AS_OF, P)
+    send = ledger.send_list(_picked(spark, sf) if picked is None else picked, guard, d.AS_OF.date())
+    return send.withColumn("has_been_messaged", F.col("user_id") <= "u7")
 
 
 @query(f"""select p.phone9, p.arm, true as was_sent, {TODAY} as selected_date, p.rank_on_day from t_picked p
     join t_ticked s on s.phone_number = p.phone_number and s.has_been_messaged where p.arm = 'treated'""", SEND)
 def confirm_sends(spark, sf):
     log = d.sources(spark, sf).table("ledger")
-    out = ledger.confirm_rows(_picked(spark, sf), _ticked(spark, sf), log, d.AS_OF)
+    picked = checkpoint(_picked(spark, sf))
+    out = ledger.confirm_rows(picked, _ticked(spark, sf, picked), log, d.AS_OF)
     return out.select("phone9", "arm", "was_sent", "selected_date", "rank_on_day")
 
 
@@ -701,4 +714,6 @@ def cap_rollup(spark, sf):
 
 @query("select (select count(*) from t_audience) as eligible, (select count_if(selectable) from t_audience) as selectable, (select count(*) from t_send) as send_rows", SEND)
 def run_summary(spark, sf):
-    return jobs.run_summary(audience(spark, sf), send_list(spark, sf))
+    people, src = stored_audience(spark, sf), d.sources(spark, sf)
+    guard = eligibility.do_not_message(src, d.AS_OF, P)
+    return jobs.run_summary(people, ledger.send_list(_pick_of(people), guard, d.AS_OF.date()))

@@ -100,7 +100,7 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
 
 def quotes(spark: SparkSession, sf: str) -> DataFrame:
     o = read(spark, sf, "orders").selectExpr(
-        "*", f"o_orderdate + make_dt_interval({SHIFT}, cast(o_orderkey % 24 as int)) as at",
+        "*", f"o_orderdate + make_dt_interval({SHIFT}, cast(o_orderkey % 24 as int)) as at_ts",
         "cast(600000000 + o_custkey as string) as n")
     return o.selectExpr(
         "concat('u', o_custkey) as user_id",
@@ -109,19 +109,19 @@ def quotes(spark: SparkSession, sf: str) -> DataFrame:
                 when o_orderpriority = '5-LOW' then concat('0', n) else concat('27', n) end as formatted_phone""",
         "concat('d', o_orderkey) as discount_activity_id",
         "case when o_orderpriority <> '5-LOW' then o_orderkey end as quote_no",
-        "case when o_orderpriority <> '4-NOT SPECIFIED' then at end as quoted_at",
-        "case when o_orderstatus <> 'F' then at - interval 1 hour end as quote_journey_start_at",
-        "cast(at as date) as quote_date",
-        "case when o_orderstatus = 'P' and o_orderpriority = '1-URGENT' then at + interval 1 day end as sold_at")
+        "case when o_orderpriority <> '4-NOT SPECIFIED' then at_ts end as quoted_at",
+        "case when o_orderstatus <> 'F' then at_ts - interval 1 hour end as quote_journey_start_at",
+        "cast(at_ts as date) as quote_date",
+        "case when o_orderstatus = 'P' and o_orderpriority = '1-URGENT' then at_ts + interval 1 day end as sold_at")
 
 
 def discount_activity(spark: SparkSession, sf: str) -> DataFrame:
     stamp = "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')"
     return read(spark, sf, "lineitem").selectExpr(
-        "concat('d', l_orderkey) as id", "cast(round(l_extendedprice / 40, 2) as string) as premium_comprehensive",
+        "concat('d', l_orderkey) as id", "cast(floor(l_extendedprice * 2.5) / 100 as string) as premium_comprehensive",
         "cast(cast(l_quantity as int) as string) as premium_car_hire",
         "case l_returnflag when 'N' then 'n/a' when 'A' then '' else '25.5' end as premium_credit_shortfall",
-        "cast(round(l_extendedprice / 40 * l_discount * 1.2, 2) as string) as discount_zar",
+        "cast(floor(l_extendedprice * l_discount * 3) / 100 as string) as discount_zar",
         "concat('ca ', l_partkey, '-gp') as vehicle_registration",
         "case when l_linestatus = 'O' then cast(l_suppkey as string) else 'none' end as policy_line_no",
         f"case when l_linenumber = 1 then 'unknown' else {stamp} end as updatedat", f"{stamp} as createdat")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,14 @@ SETTINGS = {
 }
 
 
+# Hook of the larger plans: what to do with an intermediate result that is used several times.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def build_session(app: str = "tideline", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings the jobs expect; ``extra`` wins over the defaults."""
     builder = SparkSession.builder.appName(app)

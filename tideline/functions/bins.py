@@ -59,7 +59,10 @@ FIRST_ALL_LEVELS = (
 
 def bin_column(c: Column | str, spec: BinSpec) -> Column:
     """Level of the first bin whose upper edge is not exceeded."""
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):  # one SQL text instead of a call per edge
+        none = f"{c} is null" if spec.above is None else f"{c} is null or {c} <= {spec.above}D"
+        whens = " ".join(f"when {c} <= {e}D then '{label}'" for e, label in zip(spec.edges, spec.labels))
+        return F.expr(f"case when {none} then '{spec.none}' {whens} else '{spec.labels[-1]}' end")
     missing = c.isNull() if spec.above is None else c.isNull() | (c <= spec.above)
     out = F.when(missing, F.lit(spec.none))
     for edge, label in zip(spec.edges, spec.labels):

@@ -119,13 +119,13 @@ class Encoding:
     def vectoriser(self, df: DataFrame) -> PipelineModel:
         """Slots to one sparse 0/1 vector; every level keeps its own position."""
         used = [f for f in self.features if self.order[f]]
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [list(self.order[f]) for f in used], [f"s_{f}" for f in used], [f"i_{f}" for f in used], handleInvalid="keep")
+        index = PipelineModel([
+            StringIndexerModel.from_labels(list(self.order[f]), f"s_{f}", f"i_{f}", handleInvalid="keep") for f in used])
         # The index of unknown levels is the last one; dropping it leaves the zero block.
         hot = OneHotEncoder(inputCols=[f"i_{f}" for f in used], outputCols=[f"v_{f}" for f in used],
-                            dropLast=True, handleInvalid="error").fit(indexer.transform(df.limit(1)))
+                            dropLast=True, handleInvalid="error").fit(index.transform(df.limit(1)))
         joined = VectorAssembler(inputCols=[f"v_{f}" for f in used], outputCol="x")
-        return PipelineModel([indexer, hot, joined])
+        return PipelineModel([*index.stages, hot, joined])
 
 
 # ---- fitting -------------------------------------------------------------------------

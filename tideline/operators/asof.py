@@ -136,12 +136,16 @@ def _running(
             F.when(F.expr(m.where), F.lit(1).cast("bigint") if m.kind == "count" else m.candidate()).alias(n)
             for n, m in mine.items()
         ]
-        parts.append(events.filter(F.col("ts").isNotNull()).select(key, F.col("ts").alias("_t"), *cols))
+        known = F.col("ts").isNotNull() & F.col(key).isNotNull()
+        parts.append(events.filter(known).select(key, F.col("ts").alias("_t"), *cols))
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     line = (
         probes.select(key, F.col("_t"), F.struct(*id_cols, "_offset").alias("_probe"))
         .unionByName(events, allowMissingColumns=True)
         .withColumn("_bucket", F.date_trunc(bucket, "_t") if bucket != "day" else F.to_date("_t"))
+        # Running values and bucket totals both read this one exchange: streams are scanned and
+        # shuffled once. Both sides ask for all columns, so Spark can reuse it.
+        .repartition(key, "_bucket")
     )
 
     forward = {n: m for n, m in names.items() if m.kind != "first"}
@@ -160,7 +164,9 @@ def _running(
         *[combine[m.kind](n).over(bwd).alias(n) for n, m in backward.items()],
     ).filter(~is_event)
 
-    totals = line.groupBy(key, "_bucket").agg(*[combine[m.kind](n).alias(n) for n, m in names.items()])
+    totals = line.groupBy(key, "_bucket").agg(
+        *[combine[m.kind](n).alias(n) for n, m in names.items()], F.count("_probe").alias("_n"), F.max("_t").alias("_last")
+    ).filter((F.col("_n") >= 0) & F.col("_last").isNotNull())
     earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(key).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
@@ -168,8 +174,8 @@ def _running(
         *[combine[m.kind](n).over(earlier).alias(f"c_{n}") for n, m in forward.items()],
         *[combine[m.kind](n).over(later).alias(f"c_{n}") for n, m in backward.items()],
     )
-    joined = inside.join(
-        carried, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_cb")), "left")
+    # A NULL key has no events, as in any equality join.
+    joined = inside.join(carried, (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_cb")), "left")
     merged = []
     for n, m in names.items():
         here, there = F.col(n), F.col(f"c_{n}")

@@ -46,14 +46,21 @@ def streams(src: Sources, p: Params, people: DataFrame | None = None, since: dat
     return {
         "leads": known(t.leads(src)).withColumnRenamed("lead_ts", "ts"),
         "calls": known(calls).withColumnRenamed("call_ts", "ts"),
-        "quotes": known(t.quotes(src)).select("phone9", F.col("quote_ts").alias("ts")),
-        "sold_quotes": known(t.quotes(src)).select("phone9", F.col("sold_at").alias("ts")),
+        "quotes": quote_moments(known(t.quotes(src))),
         "policies": known(t.policy_sales(src)).select("phone9", F.col("sale_ts").alias("ts")),
         "messages": messages.withColumn("ts", F.col("sent_ts")),
         "replies": known(msg.inbound(status, since)).select("phone9", F.col("reply_ts").alias("ts")),
     }
 
 
+def quote_moments(quotes: DataFrame) -> DataFrame:
+    """A quote is one event, its sale another; one scan gives both."""
+    moments = F.array(
+        F.struct(F.lit(False).alias("sold"), F.col("quote_ts").alias("ts")),
+        F.struct(F.lit(True).alias("sold"), F.col("sold_at").alias("ts")))
+    return quotes.select("phone9", F.explode(moments).alias("m")).select("phone9", "m.sold", "m.ts").filter(F.col("ts").isNotNull())
+
+
 def history_measures(p: Params, discount_lag: timedelta) -> list[Measure]:
     """What is known about a person just before the anchor.
 
@@ -74,8 +81,8 @@ def history_measures(p: Params, discount_lag: timedelta) -> list[Measure]:
         Measure("n_calls_30d_before", "calls", "count", count_back, ZERO),
         Measure("latest_call", "calls", "last", None, ZERO, value="struct(ts, outcome)", ties=("outcome",)),
         Measure("last_callback_ts", "calls", "last", None, ZERO, f"outcome ilike '{clean.CALLBACK_PATTERN}'"),
-        Measure("n_quotes_before", "quotes", "count", None, ZERO),
-        Measure("last_quote_ts", "quotes", "last", None, ZERO),
+        Measure("n_quotes_before", "quotes", "count", None, ZERO, "not sold"),
+        Measure("last_quote_ts", "quotes", "last", None, ZERO, "not sold"),
         Measure("n_wa_sent_180d", "messages", "count", back, lag),
         Measure("n_wa_delivered_180d", "messages", "count", back, lag, "was_delivered = 1"),
         Measure("n_wa_read_180d", "messages", "count", back, lag, "was_read = 1"),

@@ -166,8 +166,8 @@ def outcome_measures(p: Params) -> list[Measure]:
         Measure("first_other_lead_ts", "leads", "first", ZERO, days(SALE_DAYS), f"not ({click})"),
         Measure("n_calls_7d_after", "calls", "count", ZERO, days(CALL_DAYS)),
         Measure("first_salemade_call_after", "calls", "first", ZERO, None, sale),
-        Measure("first_quote_after_ts", "quotes", "first", ZERO, days(SALE_DAYS)),
-        Measure("golden_sale_ts", "sold_quotes", "first", ZERO, days(SALE_DAYS)),
+        Measure("first_quote_after_ts", "quotes", "first", ZERO, days(SALE_DAYS), "not sold"),
+        Measure("golden_sale_ts", "quotes", "first", ZERO, days(SALE_DAYS), "sold"),
         Measure("mtr_sale_ts", "policies", "first", ZERO, days(SALE_DAYS)),
         Measure("n_sales_before", "policies", "count", None, ZERO),
         Measure("n_wa_sent_7d_after", "messages", "count", ZERO, days(CALL_DAYS)),
@@ -222,7 +222,7 @@ def build(
 ) -> DataFrame:
     """The whole frame. ``keep`` may materialise shared inputs (jobs pass a checkpoint)."""
     aud = keep(audiences(src, p))
-    people = aud.select("phone9").distinct()
+    people = keep(aud.select("phone9").distinct())
     facts = dict(streams(src, p, people, p.history_start))
     facts["messages"] = keep(facts["messages"])
     base = keep(with_anchor(match_send(aud, facts["messages"], p.timeline_bucket)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.hashing import hash_mod
-from tideline.session import checkpoint
+from tideline.session import materialise
 
 # Spark drops rows beyond the limit before the shuffle only up to this many rows per group.
 GROUP_LIMIT = 1000
@@ -118,11 +118,11 @@ def spread_rank(df: DataFrame, group: Sequence[str], key: str, name: str, salt:
 def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Rank of every row of a table of any size.
 
-    Rows are range-partitioned by the order, the partition number is kept through a reliable
-    checkpoint (a recomputed range partitioning may draw other bounds), and partition sizes
-    give the offsets.
+    Rows are range-partitioned by the order, the partition number is kept in a written table
+    (a recomputed range partitioning may draw other bounds), and partition sizes give the
+    offsets.
     """
-    parts = checkpoint(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    parts = materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

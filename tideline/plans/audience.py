@@ -35,7 +35,7 @@ def selectable(df: DataFrame, p: Params) -> DataFrame:
 def build(
     src: Sources, as_of: datetime, p: Params, version: str, long_form: bool = False, keep: Keep = as_is
 ) -> DataFrame:
-    """``keep`` may materialise intermediate results (jobs pass a checkpoint)."""
+    """``keep`` may materialise intermediate results (jobs pass ``materialise``)."""
     pool = keep(eligibility.pool(src, as_of, p, keep))
     featured = features.features_now(pool, src, as_of, p)
     flagged = selectable(flag_in(featured, eligibility.cooldown(src, as_of, p), "phone9", "in_cooldown"), p)

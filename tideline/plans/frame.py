@@ -220,7 +220,7 @@ FRAME_COLUMNS = (
 def build(
     src: Sources, as_of: datetime, p: Params, keep: Keep = as_is
 ) -> DataFrame:
-    """The whole frame. ``keep`` may materialise shared inputs (jobs pass a checkpoint)."""
+    """The whole frame. ``keep`` may materialise shared inputs (jobs pass ``materialise``)."""
     aud = keep(audiences(src, p))
     people = keep(aud.select("phone9").distinct())
     facts = dict(streams(src, p, people, p.history_start))

@@ -14,7 +14,7 @@ from tideline.params import Params
 from tideline.plans import audience as aud
 from tideline.plans import checks, eligibility, frame, ledger, metrics, pick, registry, scoring, training
 from tideline.plans.features import FEATURES, features_from_frame
-from tideline.session import checkpoint
+from tideline.session import materialise
 from tideline.sources import sinks
 from tideline.sources.tables import REGISTRY, TEMPLATES, WEIGHTS, FolderSources
 
@@ -58,7 +58,7 @@ def run_daily(src: FolderSources, as_of: datetime, p: Params, daily_n: int | Non
     """
     p = quota_profile(p) if quota else p
     version, _ = registry.champion_version(src.table("model_registry"))
-    sinks.replace(aud.build(src, as_of, p, version, keep=checkpoint), src.path("audience"))
+    sinks.replace(aud.build(src, as_of, p, version, keep=materialise), src.path("audience"))
     audience = src.table("audience")
     if score_only:
         return run_summary(audience)
@@ -157,7 +157,7 @@ def retrain(src: FolderSources, as_of: datetime, p: Params, dry_run: bool = Fals
     """Rebuild the frame, train, compare, gate and publish. The frame never leaves Spark."""
     version = f"{p.model_name}{as_of:%Y%m%d}"
     if not skip_build:
-        sinks.replace(frame.build(src, as_of, p, keep=checkpoint), src.path("training_frame"), ["campaign"])
+        sinks.replace(frame.build(src, as_of, p, keep=materialise), src.path("training_frame"), ["campaign"])
     data = src.table("training_frame").drop("audience_id")
     rows = training.prepare(data, src.table("discount_templates"), p)
     reg = src.table("model_registry")

@@ -23,7 +23,7 @@ from tideline.queries import driver_tables as d
 from tideline.queries.oracle import (
     BEST, NOW, TODAY, bin_sql, capped_sql, days, hmod, hours, level_sql, outcome_sql, p9, sql,
 )
-from tideline.session import checkpoint
+from tideline.session import materialise
 from tideline.sources import sinks
 from tideline.sources import tables as t
 
@@ -433,7 +433,7 @@ def l2s_final(spark, sf):
 @query("""select phone9, user_id, audience, first_name, last_name, vehicle_make, vehicle_model, pre_prem, last_prem,
     round(prior_disc, 6) as prior_disc, psm_rmd, offer_pct, new_premium_offered from t_pool""")
 def eligible_pool(spark, sf):
-    return eligibility.pool(d.sources(spark, sf), d.AS_OF, P, checkpoint).withColumn("prior_disc", r("prior_disc"))
+    return eligibility.pool(d.sources(spark, sf), d.AS_OF, P, materialise).withColumn("prior_disc", r("prior_disc"))
 
 
 # ---- features, scoring ------------------------------------------------------------------------------
@@ -460,7 +460,7 @@ F_COLUMNS = ", ".join(f"f_{f}" for f in features.FEATURES)
 def binned_features(spark, sf):
     """All 21 features of the pool as of the run time."""
     src = d.sources(spark, sf)
-    out = features.features_now(checkpoint(eligibility.pool(src, d.AS_OF, P, checkpoint)), src, d.AS_OF, P)
+    out = features.features_now(materialise(eligibility.pool(src, d.AS_OF, P, materialise)), src, d.AS_OF, P)
     return out.select("phone9", *[f"f_{f}" for f in features.FEATURES], "phone_first")
 
 
@@ -513,12 +513,12 @@ def glm_score_wide(spark, sf):
 @query("select * from t_audience")
 def audience(spark, sf):
     """The complete daily audience: pool, features, two models, arm and flags."""
-    return aud.build(d.sources(spark, sf), d.AS_OF, P, d.VERSION, keep=checkpoint)
+    return aud.build(d.sources(spark, sf), d.AS_OF, P, d.VERSION, keep=materialise)
 
 
 def stored_audience(spark, sf, p=P):
     """The audience as the picks see it: materialised, because they read it several times."""
-    return checkpoint(aud.build(d.sources(spark, sf), d.AS_OF, p, d.VERSION, keep=checkpoint))
+    return materialise(aud.build(d.sources(spark, sf), d.AS_OF, p, d.VERSION, keep=materialise))
 
 
 # ---- arms, volume, picks ------------------------------------------------------------------------------
@@ -602,7 +602,7 @@ def _pick_of(people):
 
 
 def _picked(spark, sf):
-    return _pick_of(aud.build(d.sources(spark, sf), d.AS_OF, P, d.VERSION, keep=checkpoint))
+    return _pick_of(aud.build(d.sources(spark, sf), d.AS_OF, P, d.VERSION, keep=materialise))
 
 
 LEDGER_COLUMNS = ("phone_number", "phone9", "audience", "arm", "was_sent", "selected_date", "rank_on_day", "p_click", "offered_discount_percentage", "logged_at")
@@ -650,7 +650,7 @@ def _ticked(spark, sf, picked=None):
     join t_ticked s on s.phone_number = p.phone_number and s.has_been_messaged where p.arm = 'treated'""", SEND)
 def confirm_sends(spark, sf):
     log = d.sources(spark, sf).table("ledger")
-    picked = checkpoint(_picked(spark, sf))
+    picked = materialise(_picked(spark, sf))
     out = ledger.confirm_rows(picked, _ticked(spark, sf, picked), log, d.AS_OF)
     return out.select("phone9", "arm", "was_sent", "selected_date", "rank_on_day")
 
@@ -879,12 +879,12 @@ def _messages_since(src):
 def match_send(spark, sf):
     """The message that belongs to each audience row, and the anchor that follows from it."""
     src = d.sources(spark, sf)
-    out = frame.with_anchor(frame.match_send(checkpoint(frame.audiences(src, P)), _messages_since(src), P.timeline_bucket))
+    out = frame.with_anchor(frame.match_send(materialise(frame.audiences(src, P)), _messages_since(src), P.timeline_bucket))
     return out.select("campaign", "segment", "phone9", "send_ts", "send_status", "template_id", "audience_id", "is_discount_body", "anchor_ts")
 
 
 def stored_frame(spark, sf):
-    return frame.build(d.sources(spark, sf), d.AS_OF, P, keep=checkpoint)
+    return frame.build(d.sources(spark, sf), d.AS_OF, P, keep=materialise)
 
 
 @query("select * from t_frame", FRAME)

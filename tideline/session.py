@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,18 +36,28 @@ def build_session(app: str = "tideline", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a folder of this machine.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="tideline-", dir="/tmp")
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tideline-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written to the shared folder.
+
+    It survives lost executors like a reliable checkpoint, and later reads of it prune columns,
+    push filters down and know the size (so small results are broadcast by themselves).
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

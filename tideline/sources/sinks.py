@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.dates import at
-from tideline.session import checkpoint
+from tideline.session import materialise
 
 
 def conform(df: DataFrame, schema: T.StructType, stamp: dict[str, datetime] | None = None) -> DataFrame:
@@ -27,10 +27,10 @@ def conform(df: DataFrame, schema: T.StructType, stamp: dict[str, datetime] | No
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), reads_target: bool = False) -> None:
-    """Create or replace a table. When the frame reads its own target, the rows are first kept
-    in the reliable checkpoint folder, so the old files may go."""
+    """Create or replace a table. When the frame reads its own target, the rows are first
+    written to the shared folder, so the old files may go."""
     if reads_target:
-        df = checkpoint(df)
+        df = materialise(df)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 

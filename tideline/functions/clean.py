@@ -23,6 +23,8 @@ def digits(c: Column | str) -> Column:
 
 def phone9(c: Column | str) -> Column:
     """Last nine digits of the digits-only text; shorter text passes through, NULL stays NULL."""
+    if isinstance(c, str):
+        return F.expr(f"right(regexp_replace(`{c}`, '[^0-9]', ''), {KEY_DIGITS})")
     return F.right(digits(c), F.lit(KEY_DIGITS))
 
 
@@ -155,6 +157,13 @@ def matches(c: Column | str, patterns: Sequence[str] = (), names: Sequence[str]
 
 def outcome_group(c: Column | str, fold: bool = False) -> Column:
     """Class of the last call outcome; first matching class wins. ``fold`` merges the closed ones."""
+    if isinstance(c, str):  # one SQL text instead of a call per pattern
+        whens = []
+        for label, patterns, names in OUTCOME_CLASSES:
+            shown = "other_connected" if fold and label in FOLDED_CLASSES else label
+            tests = [f"`{c}` ilike '{p}'" for p in patterns] + ([f"`{c}` in ({', '.join(repr(n) for n in names)})"] if names else [])
+            whens.append(f"when {' or '.join(tests)} then '{shown}'")
+        return F.expr(f"case when `{c}` is null then 'no_prior_call' {' '.join(whens)} else 'other_connected' end")
     out = F.when(_col(c).isNull(), F.lit("no_prior_call"))
     for label, patterns, names in OUTCOME_CLASSES:
         shown = "other_connected" if fold and label in FOLDED_CLASSES else label

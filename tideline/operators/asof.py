@@ -57,8 +57,8 @@ class Measure:
 
     def candidate(self) -> Column:
         """Orderable struct of one event: order columns, ties, time, value."""
-        cols = [F.expr(o).alias(f"o{i}") for i, o in enumerate((*self.order, *self.ties))]
-        return F.struct(*cols, F.col("ts").alias("t"), F.expr(self.value).alias("v"))
+        cols = [f"{o} as o{i}" for i, o in enumerate((*self.order, *self.ties))]
+        return F.expr(f"struct({', '.join(cols)}, ts as t, {self.value} as v)")
 
     @property
     def accumulator(self) -> tuple:

@@ -125,6 +125,16 @@ def test_top_per_class_beyond_the_group_limit(spark):
     assert sorted(r["id"] for r in out.collect()) == list(range(3000))
 
 
+def test_top_per_class_keeps_every_class(spark):
+    """More than a thousand classes of two columns, NULL in either, and a limit above a thousand."""
+    df = spark.range(9000).selectExpr("id", "case when id % 3 = 0 then null else id % 1100 end as a", "case when id % 2 = 0 then null else 1 end as b")
+    out = keep.top_per_class(df, ["a", "b"], [F.col("id").asc()], 1200).collect()
+    groups = {}
+    for r in df.collect():
+        groups.setdefault((r["a"], r["b"]), []).append(r["id"])
+    assert sorted(r["id"] for r in out) == sorted(i for g in groups.values() for i in sorted(g)[:1200]) and len(groups) > 1000
+
+
 def test_episode_gap_is_closed_at_45_days(spark):
     d = lambda n: T0 + timedelta(days=n)
     rows = [("u", d(0)), ("u", d(0) + timedelta(hours=3)), ("u", d(45)), ("u", d(91)), ("u", d(100)), ("v", d(5))]

@@ -143,3 +143,15 @@ def test_retrain_promotes_through_the_gate(spark, tmp_path):
     # The champion was trained on these rows, so it is not compared on them.
     assert dry["champion"] is None
     assert spark.read.json(src.path("run_reports")).count() == 2
+
+
+def test_failed_retrain_leaves_a_report(spark, tmp_path):
+    from tideline.plans import jobs
+    from tideline.queries import driver_tables as d
+    from tideline.sources.tables import FolderSources
+
+    src = FolderSources(spark, str(tmp_path))
+    with pytest.raises(Exception):
+        jobs.retrain(src, d.AS_OF, d.params())
+    report = spark.read.json(src.path("run_reports")).first()
+    assert report["status"] == "failed" and report["gate_reasons"]

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tideline.functions.hashing import hash_mod
 from tideline.session import materialise
 
-# Spark drops rows beyond the limit before the shuffle only up to this many rows per group.
-GROUP_LIMIT = 1000
+# A class of rows is cut in so many parts before its first rows are chosen.
+CLASS_PARTS = 64
 
 
 def top_k(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], k: int = 1) -> DataFrame:
@@ -50,18 +50,13 @@ def rank_band(df: DataFrame, order: Sequence[Column], lo: int, hi: int, name: st
 
 
 def top_per_class(df: DataFrame, classes: Sequence[Column | str], order: Sequence[Column], n: int) -> DataFrame:
-    """At most ``n`` rows of each class. The classes are few, so a plain window would put
-    whole classes on one task; both forms below cut on the map side."""
-    if n <= GROUP_LIMIT:
-        return top_k(df, classes, order, n)
-    labelled = df.withColumn("_class", F.concat_ws("|", *[
-        (F.col(c) if isinstance(c, str) else c).cast("string") for c in classes]))
-    values = [r[0] for r in labelled.select("_class").distinct().limit(GROUP_LIMIT).collect()]
-    parts = [top_n(labelled.filter(F.col("_class") == v), order, n) for v in values]
-    out = parts[0] if parts else labelled
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.drop("_class")
+    """At most ``n`` rows of each class (NULL is a class like any other), for any ``n`` and any number of classes.
+
+    A class may hold most rows, so it is first cut by salted parts of it; the second cut sees
+    at most ``n * CLASS_PARTS`` rows of a class.
+    """
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(CLASS_PARTS))
+    return top_k(top_k(df, [*classes, part], order, n), classes, order, n)
 
 
 def quota(df: DataFrame, capped: Column, k: int, order: Sequence[Column]) -> DataFrame:
@@ -108,10 +103,15 @@ def spread_rank(df: DataFrame, group: Sequence[str], key: str, name: str, salt:
     offsets = sizes.select(*group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inner = Window.partitionBy(*group, "_slice").orderBy(key)
     local = sliced.withColumn("_local", F.row_number().over(inner))
+    # A NULL group is a group like any other.
+    offsets = offsets.withColumnsRenamed({c: f"_of_{c}" for c in (*group, "_slice")})
+    same = F.col("_slice") == F.col("_of__slice")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     return (
-        local.join(offsets, [*group, "_slice"])
+        local.join(offsets, same)
         .withColumn(name, F.col("_offset") + F.col("_local"))
-        .drop("_slice", "_offset", "_local")
+        .drop("_slice", "_offset", "_local", *[f"_of_{c}" for c in (*group, "_slice")])
     )
 
 

@@ -36,9 +36,12 @@ def collapse_status(status: DataFrame, since: datetime | None = None) -> DataFra
 
 
 def collapse_messages(
-    sent: DataFrame, status: DataFrame, discount_templates: DataFrame, since: datetime | None = None
+    sent: DataFrame, status: DataFrame, discount_templates: DataFrame, since: datetime | None = None, few: bool = False
 ) -> DataFrame:
-    """One row per (phone9, sid): template, audience, discount flags, times and statuses."""
+    """One row per (phone9, sid): template, audience, discount flags, times and statuses.
+
+    ``few`` says that ``sent`` is a part of all messages: the status log is then cut to theirs first.
+    """
     known = discount_templates.select(F.col("template_id").alias("trimmed_id")).distinct().withColumn("_known", F.lit(1))
     per_message = (
         sent.filter(F.col("sid").isNotNull())
@@ -52,6 +55,8 @@ def collapse_messages(
             flag(F.col("_known").isNotNull()).alias("is_disc_template"),
         )
     )
+    if few:
+        status = status.join(sent.select("sid").filter(F.col("sid").isNotNull()).distinct(), "sid", "left_semi")
     return per_message.join(collapse_status(status, since), "sid").select(
         "phone9", "sid", "template_id", "audience_id", "is_discount_body", "is_disc_template",
         "sent_ts", "was_delivered", "was_read", "was_failed")

@@ -14,8 +14,8 @@ def keys(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def restrict(df: DataFrame, people: DataFrame, key: str = "phone9") -> DataFrame:
-    """Rows of known people only."""
-    return df.join(people.select(key), key, "left_semi")
+    """Rows of known people only; a blank key is nobody's."""
+    return df.join(people.select(key).filter(F.col(key).cast("string") != ""), key, "left_semi")
 
 
 def exclude(df: DataFrame, blocked: DataFrame, on: str | Sequence[str] = "phone9") -> DataFrame:

@@ -118,18 +118,21 @@ def quoted_phones(src: Sources) -> DataFrame:
 # ---- pools -------------------------------------------------------------------------------
 
 
-def q2s_eligible(src: Sources, as_of: datetime, p: Params, reasons: DataFrame, newest_leads: DataFrame) -> DataFrame:
-    """Quoted, not excluded, quote young enough, with names, premiums, vehicle and sensitivity."""
+def q2s_eligible(src: Sources, as_of: datetime, p: Params, reasons: DataFrame, newest_leads: DataFrame, keep: Keep = as_is) -> DataFrame:
+    """Quoted, not excluded, quote young enough, with names, premiums, vehicle and sensitivity.
+
+    The surviving quotes (``keep`` may materialise them) name the rows that are read from the histories.
+    """
     quoted = governing_quote(t.quotes(src), p).filter(clean.has_phone("phone9", exact=True))
     quoted = quoted.withColumn("days_since_quote", day_diff(at(as_of), F.col("quote_ts")))
     # The age filter runs before the joins; it does not depend on them.
     young = quoted.filter(F.col("days_since_quote") <= p.quote_max_age)
-    free = exclude(young, blocked(reasons, QUOTED))
+    free = keep(exclude(young, blocked(reasons, QUOTED)))
     out = lookup(free, newest_leads.select("phone9", "first_name", "last_name"), "phone9")
-    out = lookup(out, t.premiums(src), "discount_activity_id")
-    out = lookup(out, t.vehicles_by_line(src), "line_no")
+    out = keep(lookup(out, t.premiums(src, free), "discount_activity_id"))
+    out = lookup(out, t.vehicles_by_line(src, out), "line_no")
     out = lookup(out, t.vehicles_by_registration(src), "reg_norm")
-    out = lookup(out, t.price_sensitivity(src), "quote_no")
+    out = lookup(out, t.price_sensitivity(src, free), "quote_no")
     return out.select(
         "phone9", F.col("user_id").cast("string").alias("user_id"), "quote_no", "days_since_quote",
         "first_name", "last_name", "pre_prem", "last_prem",
@@ -174,7 +177,7 @@ def pool(src: Sources, as_of: datetime, p: Params, keep: Keep = as_is) -> DataFr
     """
     reasons = keep(exclusion_reasons(src, as_of, p))
     leads = keep(newest_leads(src, as_of))
-    q2s = pricing.accept(pricing.price(q2s_eligible(src, as_of, p, reasons, leads), p), p)
+    q2s = pricing.accept(pricing.price(q2s_eligible(src, as_of, p, reasons, leads, keep), p), p)
     both = union_all([q2s.select(*POOL), l2s_final(src, as_of, p, reasons, leads).select(*POOL)])
     return clean_people(both, p)
 

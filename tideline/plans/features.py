@@ -42,7 +42,7 @@ def streams(src: Sources, p: Params, people: DataFrame | None = None, since: dat
     calls = t.sales_calls(src, p.sales_campaign_ids, p.local_hours)
     status = t.status_events(src)
     # Messages are restricted before the join with their status events.
-    messages = msg.collapse_messages(known(t.sent_messages(src)), status, t.discount_templates(src), since)
+    messages = msg.collapse_messages(known(t.sent_messages(src)), status, t.discount_templates(src), since, few=people is not None)
     return {
         "leads": known(t.leads(src)).withColumnRenamed("lead_ts", "ts"),
         "calls": known(calls).withColumnRenamed("call_ts", "ts"),
@@ -168,10 +168,10 @@ def add_channel_factor(df: DataFrame, src: Sources) -> DataFrame:
 
 
 def features_now(people: DataFrame, src: Sources, as_of: datetime, p: Params) -> DataFrame:
-    """Pool rows with raw columns and ``f_*`` levels as of the run time."""
+    """Pool rows with raw columns and ``f_*`` levels as of the run time. Streams are read for these people only."""
     anchor = at(as_of)
     measures = [*history_measures(p, ZERO), FIRST_LEAD]
-    measured = measures_at(streams(src, p), "phone9", anchor, measures)
+    measured = measures_at(streams(src, p, people.select("phone9").distinct()), "phone9", anchor, measures)
     raw = add_channel_factor(raw_features(lookup(people, measured, "phone9"), anchor), src)
     raw = raw.withColumn("segment", F.col("audience")).withColumn("first_all", F.col("first_all_src"))
     levels = {f"f_{name}": col for name, col in feature_columns().items()}

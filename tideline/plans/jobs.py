@@ -154,8 +154,24 @@ def _intercept(weights: DataFrame, model: str):
 
 def retrain(src: FolderSources, as_of: datetime, p: Params, dry_run: bool = False,
             skip_build: bool = False, force: bool = False) -> dict:
-    """Rebuild the frame, train, compare, gate and publish. The frame never leaves Spark."""
+    """Rebuild the frame, train, compare, gate and publish. The frame never leaves Spark.
+
+    A run that fails leaves a report too, with status ``failed`` and the reason.
+    """
     version = f"{p.model_name}{as_of:%Y%m%d}"
+    asked = {"version": version, "started": as_of, "dry_run": dry_run, "skip_build": skip_build, "force": force}
+    try:
+        report = _retrain(src, as_of, p, version, asked)
+    except Exception as error:
+        failed = asked | {"status": "failed", "gate_reasons": [f"{type(error).__name__}: {error}"[:500]]}
+        sinks.write_report(report_row(src.spark, failed), src.path("run_reports"))
+        raise
+    sinks.write_report(report_row(src.spark, report), src.path("run_reports"))
+    return report
+
+
+def _retrain(src: FolderSources, as_of: datetime, p: Params, version: str, asked: Mapping) -> dict:
+    skip_build, dry_run, force = asked["skip_build"], asked["dry_run"], asked["force"]
     if not skip_build:
         sinks.replace(frame.build(src, as_of, p, keep=materialise), src.path("training_frame"), ["campaign"])
     data = src.table("training_frame").drop("audience_id")
@@ -166,16 +182,14 @@ def retrain(src: FolderSources, as_of: datetime, p: Params, dry_run: bool = Fals
     out = train_and_compare(rows, p, version, old, live["trained_through"] if live else None)
     verdict = registry.gate(out["challenger"], out["champion"], p, force)
     report = {
-        "version": version, "started": as_of, "status": verdict.status, "gate_reasons": list(verdict.reasons),
+        **asked, "status": verdict.status, "gate_reasons": list(verdict.reasons),
         "challenger": out["challenger"], "champion": out["champion"],
         "champion_version": live["model_version"] if live else None, "test_batches": out["test_batches"],
         "train_rows": out["train_rows"], "train_clicks": out["train_clicks"],
         "trained_through": out["trained_through"], "by_segment": out["by_segment"],
-        "dry_run": dry_run, "skip_build": skip_build, "force": force,
     }
     if not dry_run:
         publish(src, out, verdict, version, report["champion_version"], as_of)
-    sinks.write_report(report_row(src.spark, report), src.path("run_reports"))
     return report
 
 
@@ -203,8 +217,8 @@ def report_row(spark: SparkSession, report: Mapping) -> DataFrame:
         "train_rows bigint, train_clicks bigint, trained_through date, "
         f"by_segment map<string,{metric}>, dry_run boolean, skip_build boolean, force boolean")
     data = dict(report)
-    data["by_segment"] = {r["segment"]: {k: v for k, v in r.items() if k != "segment"} for r in report["by_segment"]}
+    data["by_segment"] = {r["segment"]: {k: v for k, v in r.items() if k != "segment"} for r in report.get("by_segment", ())}
     names = [f.split()[0] for f in (
         "version", "started", "status", "gate_reasons", "challenger", "champion", "champion_version", "test_batches",
         "train_rows", "train_clicks", "trained_through", "by_segment", "dry_run", "skip_build", "force")]
-    return spark.createDataFrame([tuple(data[n] for n in names)], schema)
+    return spark.createDataFrame([tuple(data.get(n) for n in names)], schema)

@@ -8,24 +8,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.operators.keep import spread_rank
+from tideline.session import materialise
 
-# Scores are probabilities; slices of this width bound every running sum over scores.
-SLICES = 4096
+# A row without a score ranks below every probability.
+NO_SCORE = -1.0
 CAPTURE = (10, 30, 50)
 
 
 def score_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """One row per distinct score: n, pos, and how many rows and positives score higher.
 
-    Rows are combined per score on the map side. Running sums go slice by slice: inside a slice
-    of the score range, plus the totals of the higher slices (a few thousand rows).
+    Rows are combined per score on the map side. Running sums go slice by slice: inside a range
+    partition of the distinct scores, plus the totals of the higher ones (one row each). Ranges
+    follow the scores' distribution, and the partition number is kept in a written table. A NULL
+    group is a group; a NULL score counts as the lowest.
     """
     w = F.col(weight) if weight else F.lit(1)
     g = (
-        df.groupBy(*by, F.col(score).alias("score"))
+        df.groupBy(*by, F.coalesce(F.col(score), F.lit(NO_SCORE)).alias("score"))
         .agg(F.sum(w).alias("n"), F.sum(F.col(label) * w).alias("pos"))
-        .withColumn("slice", F.floor(F.col("score") * SLICES))
+        .repartitionByRange(F.col("score").desc())
     )
+    g = materialise(g.withColumn("slice", -F.spark_partition_id()))
     sums = ("n", "pos")
     slices = g.groupBy(*by, "slice").agg(*[F.sum(c).alias(c) for c in sums])
     part = list(by) or [F.lit(0)]
@@ -36,8 +40,11 @@ def score_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (), w
         *[F.sum(c).over(everything).alias(f"{c}_all") for c in sums])
     inner = Window.partitionBy(*by, "slice").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, -1)
     local = g.select("*", *[F.coalesce(F.sum(c).over(inner), F.lit(0)).alias(f"{c}_loc") for c in sums])
-    on = [*by, "slice"]
-    return local.join(offsets, on).select(
+    offsets = offsets.withColumnsRenamed({c: f"_of_{c}" for c in (*by, "slice")})
+    same = F.col("slice") == F.col("_of_slice")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return local.join(offsets, same).select(
         *by, "score", "n", "pos", *[(F.col(f"{c}_off") + F.col(f"{c}_loc")).alias(f"{c}_above") for c in sums], "n_all", "pos_all")
 
 
@@ -62,8 +69,10 @@ def evaluate(
     """Rows, clicks, AUC and the share of clicks among the first floor(n*k/100) rows.
 
     Equal scores are ordered by a hash slice of the key, then the key. Only rows whose score is
-    exactly at a cut need a rank; all others are counted from the score table.
+    exactly at a cut need a rank; all others are counted from the score table. Rows without a
+    score come last.
     """
+    df = df.withColumn(score, F.coalesce(F.col(score), F.lit(NO_SCORE)))
     table = score_table(df, score, label, by)
     cuts = table.select("*", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
     size = F.floor(F.col("n_all") * F.col("k") / 100)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tideline.operators.sets import with_scalar
 
 MODELS = ("deliver", "click")
-# A weight table is features x levels; beyond this it is no longer put into the plan as constants.
-MAX_INLINE_WEIGHTS = 5000
-
 
 def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
@@ -34,7 +31,8 @@ def to_long(df: DataFrame, key: str, features: Sequence[str], prefix: str = "f_"
 
 def intercepts(weights: DataFrame) -> DataFrame:
     one = weights.filter(F.col("feature") == "intercept")
-    return one.agg(*[F.max(F.when(F.col("model") == m, F.col("coef"))).alias(f"b_{m}") for m in MODELS])
+    missing = {m: F.raise_error(F.lit(f"no intercept for model {m}")).cast("double") for m in MODELS}
+    return one.agg(*[F.coalesce(F.max(F.when(F.col("model") == m, F.col("coef"))), missing[m]).alias(f"b_{m}") for m in MODELS])
 
 
 def z_scores(long: DataFrame, weights: DataFrame, key: str) -> DataFrame:
@@ -57,17 +55,19 @@ def add_probabilities(df: DataFrame) -> DataFrame:
 
 
 def score_long(df: DataFrame, weights: DataFrame, key: str, features: Sequence[str], prefix: str = "f_") -> DataFrame:
-    """Relational form: unpivot, join, sum. Works for a weight table of any size."""
+    """Relational form: unpivot, join, sum. Works for a weight table of any size.
+
+    A row whose levels are all NULL keeps the intercepts alone; a missing intercept is an error.
+    """
     z = z_scores(to_long(df, key, features, prefix), weights, key)
-    scored = add_probabilities(with_scalar(df.join(z, key), intercepts(weights)))
+    both = df.join(z, key, "left").withColumns({f"z_{m}": F.coalesce(f"z_{m}", F.lit(0.0)) for m in MODELS})
+    scored = add_probabilities(with_scalar(both, intercepts(weights)))
     return scored.drop("b_deliver", "b_click")
 
 
-def weight_maps(weights: DataFrame) -> dict[str, dict[str, dict[str, float]]] | None:
-    """Model -> feature -> level -> weight on the driver, or None when the table is too large."""
-    got = weights.select("model", "feature", "feature_level", "coef").limit(MAX_INLINE_WEIGHTS + 1).collect()
-    if len(got) > MAX_INLINE_WEIGHTS:
-        return None
+def weight_maps(weights: DataFrame) -> dict[str, dict[str, dict[str, float]]]:
+    """Model -> feature -> level -> weight on the driver: one entry for each weight of a published model."""
+    got = weights.select("model", "feature", "feature_level", "coef").collect()
     out: dict = {m: {} for m in MODELS}
     for r in got:
         levels = out[r["model"]].setdefault(r["feature"], {})
@@ -89,10 +89,11 @@ def z_column(maps: dict[str, dict[str, float]], features: Sequence[str], prefix:
 
 def score_wide(df: DataFrame, weights: DataFrame, key: str, features: Sequence[str], prefix: str = "f_") -> DataFrame:
     """Row-wise form: the weights become constant maps in the plan, so scoring is a projection.
-    Falls back to the relational form when the table is not small."""
+
+    Same rows and values as ``score_long``, which suits models of many thousand weights better;
+    the caller chooses (``long_form`` of the audience plan).
+    """
     maps = weight_maps(weights)
-    if maps is None:
-        return score_long(df, weights, key, features, prefix)
     for m in MODELS:
         if "intercept" not in maps[m]:
             raise ValueError(f"no intercept for model {m}")

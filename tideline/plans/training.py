@@ -21,7 +21,6 @@ from tideline.plans import metrics
 from tideline.plans.frame import CONTROL
 from tideline.plans.scoring import sigmoid, z_column
 
-MAX_LEVELS = 20_000
 POOLED = "__infrequent__"
 
 
@@ -96,9 +95,7 @@ class Encoding:
     @classmethod
     def learn(cls, df: DataFrame, features: Sequence[str], min_frequency: int, prefix: str = "f_") -> Encoding:
         pooled = pool_levels(level_counts(df, features, prefix), min_frequency)
-        got = pooled.select("feature", "feature_level", "slot").limit(MAX_LEVELS + 1).collect()
-        if len(got) > MAX_LEVELS:
-            raise ValueError(f"more than {MAX_LEVELS} levels: a feature is not categorical")
+        got = pooled.select("feature", "feature_level", "slot").collect()  # the model itself: one entry for each level
         slots: dict[str, dict[str, str]] = {}
         for r in got:
             slots.setdefault(r["feature"], {})[r["feature_level"]] = r["slot"]

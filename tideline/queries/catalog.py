@@ -189,6 +189,14 @@ def rank_in_large_groups(spark, sf):
     return keep.spread_rank(e, ["event_type"], "event_id", "place")
 
 
+@query("""select o_orderkey, class from (select *, row_number() over (partition by class order by o_totalprice desc, o_orderkey) as place from (
+    select o_orderkey, o_totalprice, case when o_orderkey % 3 <> 0 then o_custkey end as class from orders)) where place <= 1500""")
+def pick_large(spark, sf):
+    """The first 1,500 of every class: more than a thousand classes, and a NULL class that holds most rows."""
+    orders = d.read(spark, sf, "orders").selectExpr("o_orderkey", "o_totalprice", "case when o_orderkey % 3 <> 0 then o_custkey end as class")
+    return keep.top_per_class(orders, ["class"], [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], 1500).select("o_orderkey", "class")
+
+
 @query("""select * from orders where o_orderstatus <> 'F' or o_orderkey in
     (select o_orderkey from orders where o_orderstatus = 'F' order by o_totalprice desc, o_orderkey limit 40)
     order by o_totalprice desc, o_orderkey limit 200""")
@@ -510,6 +518,18 @@ def glm_score_wide(spark, sf):
     return out.select("id", "p_deliver", "p_click_if_delivered", "p_click")
 
 
+@query("""select c_custkey as id, round(1 / (1 + exp(-coalesce(zd, bd))), 5) as p_long, round(1 / (1 + exp(-coalesce(zd, bd))), 5) as p_wide
+    from customer left join t_cz on id = c_custkey, (select coef as bd from t_weights where model = 'deliver' and feature = 'intercept')""",
+       {**SCORED_CUSTOMERS, "t_clong": SCORED_CUSTOMERS["t_clong"] + " where id % 3 <> 0"})
+def score_without_levels(spark, sf):
+    """Every third customer has no level at all: both forms keep the row and score the intercept."""
+    known = F.col("id") % 3 != 0
+    df = scored_input(spark, sf).withColumns({f"f_{f}": F.when(known, F.col(f"f_{f}")) for f in CUSTOMER_FEATURES})
+    long, wide = (form(df, _weights(spark, sf), "id", CUSTOMER_FEATURES).select("id", F.col("p_deliver").alias(name))
+                  for form, name in ((scoring.score_long, "p_long"), (scoring.score_wide, "p_wide")))
+    return long.join(wide, "id")
+
+
 @query("select * from t_audience")
 def audience(spark, sf):
     """The complete daily audience: pool, features, two models, arm and flags."""
@@ -987,13 +1007,26 @@ def auc_by_segment(spark, sf):
     return metrics.evaluate(scored_orders(spark, sf), "p", "y", "id", by=["seg"])
 
 
+@query(_metrics_sql("seg"), {"t_sc": """select o_orderkey as id, nullif(o_orderpriority, '1-URGENT') as seg, case when o_orderkey % 10 = 0 then -1 else round(o_totalprice / 600000, 3) end as p,
+    (o_orderstatus = 'F' and o_totalprice > 100000)::int as y from orders"""})
+def auc_with_nulls(spark, sf):
+    """A NULL segment is a segment; rows without a score rank last."""
+    scored = scored_orders(spark, sf).withColumns({"seg": F.expr("nullif(seg, '1-URGENT')"), "p": F.expr("case when id % 10 <> 0 then p end")})
+    return metrics.evaluate(scored, "p", "y", "id", by=["seg"])
+
+
+CUSTOMER_WEIGHTS = {"t_cw": """select 'click' as model, 'segment' as feature, c_mktsegment as feature_level, ln(avg(c_acctbal + 1000)) as coef from customer group by 3
+    union all select 'click', 'nation', c_nationkey::varchar, ln(avg(c_acctbal + 1000)) from customer group by 3"""}
+
+
 @query("""select a.model, a.feature, a.feature_level as level_a, b.feature_level as level_b, round(exp(a.coef - b.coef), 6) as odds
-    from t_weights a join t_weights b on a.model = b.model and a.feature = b.feature and a.feature_level <> b.feature_level
-    where a.feature in (select 'segment' from customer union select 'quote_age' from customer)""")
+    from t_cw a join t_cw b on a.feature = b.feature and a.feature_level <> b.feature_level""", CUSTOMER_WEIGHTS)
 def weight_contrasts(spark, sf):
-    """Odds between levels of the features that the given customers can take."""
-    used = d.read(spark, sf, "customer").select(F.explode(F.array(F.lit("segment"), F.lit("quote_age"))).alias("feature")).distinct()
-    return metrics.weight_contrasts(_weights(spark, sf).join(used, "feature", "left_semi"))
+    """Odds between levels whose weights come from the customers."""
+    c, coef = d.read(spark, sf, "customer"), F.log(F.avg(F.col("c_acctbal") + 1000)).alias("coef")
+    parts = [c.groupBy(F.lit("click").alias("model"), F.lit(name).alias("feature"), F.col(col).cast("string").alias("feature_level")).agg(coef)
+             for name, col in (("segment", "c_mktsegment"), ("nation", "c_nationkey"))]
+    return metrics.weight_contrasts(parts[0].unionByName(parts[1]))
 
 
 @query("""select c_nationkey, clicks, auc, champion_auc, concat_ws(',', case when clicks < 30 then 'few_clicks' end,
@@ -1083,12 +1116,18 @@ def glm_fit(spark, sf):
     return training.weights_table(spark, {"deliver": fitted}, "fit")
 
 
-@query("""select count(*) as n, sum(y)::bigint as clicks, true as calibrated from (select c_custkey, (exists (select 1 from orders where o_custkey = c_custkey
-    and o_orderpriority = '1-URGENT' and o_totalprice > 350000))::int as y from customer)""")
+@query("""select (select count(*) from t_zy) as n, (select sum(y)::bigint from t_zy) as clicks, round((lo + hi) / 2, 5) as shift from (
+    with recursive halves(step, lo, hi) as (
+      select 0, -9.0::double, 9.0::double union all
+      select step + 1, case when s > y then lo else mid end, case when s > y then mid else hi end from (
+        select step, lo, hi, (lo + hi) / 2 as mid, (select sum(1 / (1 + exp(-(z + (lo + hi) / 2)))) from t_zy) as s, (select sum(y) from t_zy) as y from halves where step < 50))
+    select lo, hi from halves where step = 50)""",
+       {**SCORED_CUSTOMERS, "t_zy": """select c_custkey as id, (exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT' and o_totalprice > 350000))::int as y,
+          coalesce(l.z, 0) as z from customer left join (select id, sum(coef) as z from (select id, feature, feature_level from t_clong union all
+            select id, 'premium', 'none' from t_cust where premium is null) join t_weights using (feature, feature_level) where model = 'click' group by id) l on l.id = c_custkey"""})
 def recalibrate(spark, sf):
-    """After the shift the mean prediction equals the observed rate."""
+    """The shift after which the mean prediction equals the observed rate."""
     data = _labelled_customers(spark, sf)
     z = scoring.z_column(scoring.weight_maps(_weights(spark, sf))["click"], CUSTOMER_FEATURES)
     shift = training.recalibrate(data, z, "y", -9.0, 9.0)
-    mean = F.avg(scoring.sigmoid(z + F.lit(shift)))
-    return data.agg(F.count("*").alias("n"), F.sum("y").alias("clicks"), (F.abs(mean - F.avg("y")) < 1e-7).alias("calibrated"))
+    return data.agg(F.count("*").alias("n"), F.sum("y").alias("clicks")).withColumn("shift", F.round(F.lit(shift), 5))

@@ -203,9 +203,17 @@ def status_events(src: Sources) -> DataFrame:
         "sid", "status", "date_sent", clean.phone9(F.coalesce("from", F.lit(""))).alias("from_phone9"), "error_code")
 
 
-def premiums(src: Sources) -> DataFrame:
-    """Newest row per discount activity with both premiums and the discount amount."""
-    a = src.table("discount_activity").select(
+def only(df: DataFrame, wanted: DataFrame | None, key: str, wanted_key: str) -> DataFrame:
+    """Raw rows of the wanted keys, cut before anything is parsed or ordered; all rows when none are named."""
+    if wanted is None:
+        return df
+    keys = wanted.select(F.col(wanted_key).cast(df.schema[key].dataType).alias(key)).where(F.col(key).isNotNull()).distinct()
+    return df.join(keys, key, "left_semi")
+
+
+def premiums(src: Sources, wanted: DataFrame | None = None) -> DataFrame:
+    """Newest row per discount activity (of the wanted ones) with both premiums and the discount amount."""
+    a = only(src.table("discount_activity"), wanted, "id", "discount_activity_id").select(
         F.col("id").alias("discount_activity_id"),
         clean.money("premium_comprehensive", "premium_car_hire", "premium_credit_shortfall").alias("last_prem"),
         clean.money("discount_zar").alias("discount_zar"),
@@ -219,9 +227,9 @@ def premiums(src: Sources) -> DataFrame:
         "last_prem", "discount_zar", "reg_norm", "line_no")
 
 
-def vehicles_by_line(src: Sources) -> DataFrame:
-    """Newest make and model per policy line."""
-    o = src.table("policy_objects").filter(
+def vehicles_by_line(src: Sources, wanted: DataFrame | None = None) -> DataFrame:
+    """Newest make and model per policy line (of the wanted ones)."""
+    o = only(src.table("policy_objects"), wanted, "agr_line_no", "line_no").filter(
         F.col("agr_line_no").isNotNull() & F.col("make").isNotNull() & (F.trim("make") != ""))
     order = [F.col("seq_no").desc_nulls_first(), F.col("make").asc_nulls_last(), F.col("model").asc_nulls_last()]
     return top_k(o, ["agr_line_no"], order).select(
@@ -233,9 +241,9 @@ def vehicles_by_registration(src: Sources) -> DataFrame:
     return v.filter(F.col("reg_norm").isNotNull())
 
 
-def price_sensitivity(src: Sources) -> DataFrame:
-    """Newest recommendation per quote number: psm_rmd, alpha_active, alpha_locked."""
-    p = src.table("price_sensitivity").filter(F.col("motor_quote_no").isNotNull()).select(
+def price_sensitivity(src: Sources, wanted: DataFrame | None = None) -> DataFrame:
+    """Newest recommendation per quote number (of the wanted ones): psm_rmd, alpha_active, alpha_locked."""
+    p = only(src.table("price_sensitivity").filter(F.col("motor_quote_no").isNotNull()), wanted, "motor_quote_no", "quote_no").select(
         F.col("motor_quote_no").cast("string").alias("quote_no"),
         clean.try_double("recommended_discount_percentage").alias("psm_rmd"),
         F.coalesce(clean.try_bool("alpha_group_is_active"), F.lit(False)).alias("alpha_active"),

@@ -35,7 +35,7 @@ LENGTH, PIECE = 50, 24
 AHEAD = LENGTH - PIECE
 WIDTH = AHEAD + LENGTH
 SLICE_BYTES = 2 << 20
-ROUTE_BYTES, REFINE_BYTES = 64 << 20, 16 << 20
+ROUTE_BYTES, REFINE_BYTES = 64 << 20, 8 << 20
 HOT_DOCUMENTS = 2000
 C = constants(31, 16)
 LOW = np.uint64(63)
@@ -95,13 +95,13 @@ def by_document(doc: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.n
 BUCKETS = "route int, docs binary, bounds binary, keys binary, places binary, doc_id long, known binary"
 
 
-def to_buckets(routes: int):
+def to_buckets(routes: int, slice_bytes: int):
     """Slices of documents -> rows of (route, anchors); places count from the start of the slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for row, data, offsets in byte_slices(batch.column(1), SLICE_BYTES):
+            for row, data, offsets in byte_slices(batch.column(1), slice_bytes):
                 at, key = anchors(data, offsets)
                 mine = ids[row:row + len(offsets) - 1]
                 doc = np.searchsorted(offsets, at, "right") - 1
@@ -129,7 +129,7 @@ def to_buckets(routes: int):
     return run
 
 
-def shared_buckets(rows: pd.DataFrame) -> pd.DataFrame:
+def shared_buckets(rows: pd.DataFrame, hot_documents: int) -> pd.DataFrame:
     """One route's anchors -> doc_id, places (from the start of the document) of those in shared buckets, hot."""
     known = rows[rows["doc_id"].notna()]
     out = [(int(d), p, False) for d, p in zip(known["doc_id"], known["known"])]
@@ -147,7 +147,7 @@ def shared_buckets(rows: pd.DataFrame) -> pd.DataFrame:
         heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         n = np.diff(np.r_[heads, len(key)])
         shared = np.repeat(np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads), n)
-        hot = np.repeat(n > HOT_DOCUMENTS, n)
+        hot = np.repeat(n > hot_documents, n)
         for is_hot in (False, True):
             pick = shared & (hot == is_hot)
             out += [(d, p.astype("<u4").tobytes(), is_hot) for d, p in by_document(doc[pick], place[pick])]
@@ -173,13 +173,13 @@ def identifiers(context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 STRINGS = "route int, docs binary, contexts binary, lows binary, highs binary, places binary, doc_id long, covered binary"
 
 
-def to_strings(routes: int):
+def to_strings(routes: int, slice_bytes: int):
     """(doc_id, text, places, hot) -> rows of (route, surroundings of the anchors in shared buckets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, listed = batch.column(0).to_numpy(), batch.column(2)
-            for row, data, offsets in byte_slices(batch.column(1), SLICE_BYTES // 4):
+            for row, data, offsets in byte_slices(batch.column(1), slice_bytes // 4):
                 doc, at, hot = [], [], []
                 for i in range(len(offsets) - 1):
                     for item in listed[row + i].as_py():
@@ -288,7 +288,7 @@ def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([kept], pa.binary())], ["doc_id", "spans", "kept"])
 
 
-def removed(docs: DataFrame) -> DataFrame:
+def removed(docs: DataFrame, hot_documents: int = HOT_DOCUMENTS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row for each row of ``docs``: doc_id, sha (of the text), n_bytes, copy (an equal text has a smaller doc_id), spans, kept (null where nothing goes)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text())
     light = stage(rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha")), "digests")
@@ -298,11 +298,11 @@ def removed(docs: DataFrame) -> DataFrame:
     light = stage(light.join(firsts, "sha").withColumn("copy", F.coalesce(F.col("least") < F.col("doc_id"), F.lit(False))).drop("least"), "copies")
 
     known = rows.where("doc_id is not null")
-    flagged = stage(known.mapInArrow(to_buckets(routes), BUCKETS).groupBy("route").applyInPandas(shared_buckets, "doc_id long, places binary, hot boolean"), "shared")
+    flagged = stage(known.mapInArrow(to_buckets(routes, slice_bytes), BUCKETS).groupBy("route").applyInPandas(lambda route: shared_buckets(route, hot_documents), "doc_id long, places binary, hot boolean"), "shared")
     lists = flagged.groupBy("doc_id").agg(F.collect_list(F.struct("places", "hot")).alias("places"))
     whole = light.where("not copy").select("doc_id").distinct()
     texts = known.repartition(max(routes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "doc_id")
-    found = texts.join(lists.join(whole, "doc_id", "left_semi"), "doc_id").select("doc_id", "text", "places").mapInArrow(to_strings(refine_routes), STRINGS)
+    found = texts.join(lists.join(whole, "doc_id", "left_semi"), "doc_id").select("doc_id", "text", "places").mapInArrow(to_strings(refine_routes, slice_bytes), STRINGS)
     covered = found.groupBy("route").applyInPandas(refine, "doc_id long, covered binary").groupBy("doc_id").agg(F.collect_list("covered").alias("covered"))
     changed = texts.join(covered, "doc_id").select("doc_id", "text", "covered").mapInArrow(cut_out, "doc_id long, spans array<struct<start: long, end: long>>, kept binary")
     changed = changed.withColumn("changed_id", F.col("doc_id")).drop("doc_id")

@@ -8,10 +8,11 @@ often as their Jaccard similarity J says. Bands of four registers give buckets;
 bands with probability (1 - 0.85**4)**32 < 1e-10.
 
 Documents with equal sets are one class, held by its smallest doc_id. Each class in a bucket is verified on the
-full sets against the bucket's smallest class, which joins large groups without forming their pairs. Classes of
-one bucket that are still apart are then paired, unless their sizes or the triangle inequality of the Jaccard
-distance (both distances to the bucket's smallest are known) exclude a link, or the joint likelihood of both
-sketches puts J more than six standard deviations below the threshold; the rest is verified on full sets.
+full sets against the bucket's smallest class, which joins large groups without forming their pairs. Of classes of
+one bucket that are still apart, those leave that cannot reach any size in the bucket: the shingles a set shares with
+any other of these sets bound every intersection. The others are paired unless that bound or the triangle inequality
+of the Jaccard distance (both distances to the bucket's smallest are known) excludes a link, or the joint likelihood
+of both sketches puts J more than six standard deviations below the threshold; the rest is verified on full sets.
 
 Rows with one doc_id are one document, linked if any of their texts is. A null doc_id is its own component
 (null) unless its set equals another document's. Null and empty texts have no shingles. An empty table gives
@@ -105,6 +106,20 @@ def overlap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "common", (F.col("all") - F.col("common")).alias("joint"))
 
 
+def still_apart(placed: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components."""
+    apart = placed.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band", "key")
+    return placed.join(apart, ["band", "key"])
+
+
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """id, shared: how many shingles of a set occur in any other of these sets; no intersection is larger."""
+    single = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.min("id").alias("id"), F.max("id").alias("most")).where("id = most")
+    alone = single.groupBy("id").agg(F.count("*").alias("alone"))
+    sizes = sets.groupBy("id").agg(F.sum(F.size("set")).alias("n"))  # an id may have several sets
+    return sizes.join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
 def linked() -> Column:
     return 100 * F.col("common") >= PERCENT * F.col("joint")
 
@@ -133,13 +148,21 @@ def components_of(docs: DataFrame) -> DataFrame:
     placed = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     placed = placed.join(verified.select(F.col("a").alias("least"), F.col("b").alias("id"), (1 - F.col("j")).alias("far")), ["least", "id"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
     placed = stage(placed.select("band", "key", "least", "id", "n_shingles", "label", "far"), "placed")
-    apart = placed.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band", "key")
-    open_ = stage(placed.join(apart, ["band", "key"]), "open")
-    one, two = (open_.select("band", "key", "least", F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("label").alias(f"label_{k}"), F.col("far").alias(f"far_{k}")) for k in "ab")
+    open_ = stage(still_apart(placed), "open")
+    own = shared_sizes(sets.join(open_.select("id").distinct(), "id", "left_semi"))
+    least = open_.groupBy("band", "key").agg(F.min("n_shingles").alias("smallest"))
+    open_ = open_.join(own, "id").join(least, ["band", "key"]).where(f"{100 + PERCENT} * shared - {PERCENT} * n_shingles >= {PERCENT} * smallest")
+    open_ = stage(still_apart(open_.drop("smallest")), "open")
+    one, two = (open_.select("band", "key", "least", F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("label").alias(f"label_{k}"),
+                             F.col("far").alias(f"far_{k}"), F.col("shared").alias(f"shared_{k}")) for k in "ab")
     slack = 1 - PERCENT / 100 + 1e-9
-    rest = one.join(two.drop("least"), ["band", "key"]).where(
-        f"a < b and a > least and label_a <> label_b and 100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b) and abs(far_a - far_b) <= {slack}")
-    rest = rest.select("a", "b", "n_a", "n_b").distinct()
+    # Members of the first one's component meet only those outside it.
+    mains = open_.groupBy("band", "key").agg(F.min_by("label", "id").alias("main"))
+    outside = one.join(mains, ["band", "key"]).where("label_a <> main")
+    rest = outside.join(two.drop("least"), ["band", "key"]).where(
+        f"""label_a <> label_b and (label_b = main or a < b) and a <> least and b <> least and abs(far_a - far_b) <= {slack}
+            and {100 + PERCENT} * least(shared_a, shared_b) >= {PERCENT} * (n_a + n_b)""")
+    rest = rest.selectExpr("least(a, b) as a", "greatest(a, b) as b", "if(a < b, n_a, n_b) as n_a", "if(a < b, n_b, n_a) as n_b").distinct()
     sketched = classes.select("id", "bands")
     rest = rest.join(sketched.select(F.col("id").alias("a"), F.col("bands").alias("bands_a")), "a").join(sketched.select(F.col("id").alias("b"), F.col("bands").alias("bands_b")), "b")
     j = PERCENT / 100

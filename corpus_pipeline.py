@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    packed = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=1)
-    return packed.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    packed = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=1).placed
+    return packed.select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [

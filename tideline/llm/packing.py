@@ -14,6 +14,7 @@ not looked at. An empty table gives no sequence.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -68,34 +69,49 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text()).mapInArrow(run, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, start, length, doc_tokens, ids (binary, unsigned 32 bit), sequence_id, offset: one row for each piece."""
+@dataclass
+class Packed:
+    """``cuts``: staged pieces with their ids; ``placed``: where each lies, without ids."""
+
+    cuts: DataFrame
+    placed: DataFrame
+
+    def sequences(self) -> DataFrame:
+        """The placed pieces with their ids (binary, unsigned 32 bit)."""
+        key = ["worker", "class", "number"]
+        return self.placed.join(self.cuts.select(*key, "ids"), key).withColumn("ids", F.expr("substring(ids, int(4 * skip + 1), int(4 * length))"))
+
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int) -> Packed:
+    """Placed pieces: doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset; worker, class, number, skip lead to their ids."""
     cuts = stage(pieces(docs, tokenizer, end_id), "pieces")
+    light = cuts.select("worker", "class", "number", "doc_id", "start", "length", "doc_tokens", F.crc32("ids").alias("ids_crc32"))
     # Where each worker's numbers start within its class, and where each class's sequences start.
     counts = cuts.groupBy("worker", "class").agg(F.count("*").alias("n"))
     before = Window.partitionBy("class").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     places = counts.select("worker", "class", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("at"))
     classes = stage(counts.groupBy("class").agg(F.floor(F.sum("n") / F.col("class")).alias("full")), "classes").collect()  # at most CLASSES rows
-    first, total = {}, 0
+    first, total = [], 0
     for c in sorted(classes, key=lambda c: c["class"]):
-        first[c["class"]] = (total, c["full"])
+        first += [F.lit(c["class"]), F.struct(F.lit(total).cast("long").alias("base"), F.lit(c["full"]).cast("long").alias("full"))]
         total += c["full"]
     if not first:
-        return cuts.select("doc_id", "start", "length", "doc_tokens", "ids", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    base = F.create_map(*(F.lit(x) for k, v in first.items() for x in (k, v[0])))[F.col("class")]
-    full = F.create_map(*(F.lit(x) for k, v in first.items() for x in (k, v[1])))[F.col("class")]
-    ranked = cuts.join(places, ["worker", "class"]).withColumn("rank", F.col("at") + F.col("number"))
-    ranked = ranked.withColumn("bin", F.floor(F.col("rank") / F.col("class"))).withColumn("tail", F.col("bin") >= full)
-    keep = ["doc_id", "start", "length", "doc_tokens", "ids"]
-    whole = ranked.where("class = 1").select(*keep, (base + F.col("bin")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        return Packed(cuts, light.withColumns({k: F.lit(0).cast("long") for k in ("sequence_id", "offset", "skip")}))
+    ranked = light.join(places, ["worker", "class"]).withColumn("rank", F.col("at") + F.col("number")).withColumn("c", F.create_map(*first)[F.col("class")])
+    ranked = ranked.withColumn("bin", F.floor(F.col("rank") / F.col("class"))).withColumn("tail", F.col("bin") >= F.col("c.full"))
+    columns = [*light.columns, (F.col("c.base") + F.col("bin")).alias("sequence_id")]
+    none = F.lit(0).cast("long")
+    whole = ranked.where("class = 1").select(*columns, none.alias("offset"), none.alias("skip"))
     in_bin = Window.partitionBy("class", "bin").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    shared = ranked.where("class > 1 and not tail").select(*keep, (base + F.col("bin")).alias("sequence_id"), F.coalesce(F.sum("length").over(in_bin), F.lit(0)).alias("offset"))
-    # At most class-1 pieces of each class are left.
-    left = ranked.where("class > 1 and tail").withColumn("_at", F.coalesce(F.sum("length").over(Window.orderBy("class", "rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    left = left.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_at") / CAPACITY), F.floor((F.col("_at") + F.col("length") - 1) / CAPACITY))))
-    a = F.greatest(F.col("_at"), F.col("_bin") * CAPACITY)
-    b = F.least(F.col("_at") + F.col("length"), (F.col("_bin") + 1) * CAPACITY)
-    left = left.withColumn("_a", a).withColumn("_n", (b - a)).select(
-        "doc_id", (F.col("start") + F.col("_a") - F.col("_at")).alias("start"), F.col("_n").cast("int").alias("length"), "doc_tokens",
-        F.expr("substring(ids, int(4 * (_a - _at) + 1), int(4 * _n))").alias("ids"), (F.lit(total) + F.col("_bin")).alias("sequence_id"), (F.col("_a") - F.col("_bin") * CAPACITY).alias("offset"))
-    return whole.unionByName(shared).unionByName(left)
+    shared = ranked.where("class > 1 and not tail").select(*columns, F.coalesce(F.sum("length").over(in_bin), none).alias("offset"), none.alias("skip"))
+    # What is left, at most class-1 pieces of each class, is joined end to end.
+    key = ["worker", "class", "number"]
+    left = ranked.where("class > 1 and tail").withColumn("_at", F.coalesce(F.sum("length").over(Window.orderBy("class", "rank").rowsBetween(Window.unboundedPreceding, -1)), none))
+    left = stage(left.select(*key, "_at"), "left")
+    left = cuts.join(F.broadcast(left), key).withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_at") / CAPACITY), F.floor((F.col("_at") + F.col("length") - 1) / CAPACITY))))
+    left = left.withColumn("_a", F.greatest(F.col("_at"), F.col("_bin") * CAPACITY)).withColumn("_b", F.least(F.col("_at") + F.col("length"), (F.col("_bin") + 1) * CAPACITY))
+    left = left.select(
+        *key, "doc_id", (F.col("start") + F.col("_a") - F.col("_at")).alias("start"), (F.col("_b") - F.col("_a")).cast("int").alias("length"), "doc_tokens",
+        F.expr("crc32(substring(ids, int(4 * (_a - _at) + 1), int(4 * (_b - _a))))").alias("ids_crc32"),
+        (F.lit(total) + F.col("_bin")).alias("sequence_id"), (F.col("_a") - F.col("_bin") * CAPACITY).alias("offset"), (F.col("_a") - F.col("_at")).alias("skip"))
+    return Packed(cuts, whole.unionByName(shared).unionByName(left))

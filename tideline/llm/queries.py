@@ -57,8 +57,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=1)
-    return packed.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    packed = packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=1).placed
+    return packed.select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

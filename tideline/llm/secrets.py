@@ -1,11 +1,10 @@
 """Secret scans, in DataFrame functions only.
 
 Three base patterns give spans of kinds assign, access and hex. The method adds spans of kind random: runs of key
-characters whose log-likelihood under a character Markov model of random strings exceeds that under a model of
-ordinary identifiers. Both models are bigram counts over labelled samples of the corpus itself, all rows of it:
-random are the values that base patterns matched, ordinary are the plain words and identifiers beside them (letters,
-digits, ``_`` and ``-`` with at most a few digits). The models are tables of ``CLASSES**2`` numbers, so their size is
-fixed.
+characters whose log-likelihood under a character Markov model of random strings (the best of one for each base kind,
+whose alphabets differ) exceeds that under a model of ordinary identifiers. The models are bigram counts over labelled
+samples of the corpus itself, all rows of it: random are the values that base patterns matched, ordinary are words
+and identifiers of letters, ``_`` and ``-``. They are tables of ``CLASSES**2`` numbers, so their size is fixed.
 
 Positions count code points, ends are exclusive. Null texts count as empty. A corpus without labelled samples
 adds nothing. An empty table gives an empty result.
@@ -13,6 +12,7 @@ adds nothing. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +30,7 @@ RUN = "[A-Za-z0-9+/_=-]{20,}"
 ORDINARY = "(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{6,}(?![A-Za-z0-9+/_=-])"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 CLASSES = len(ALPHABET) + 1
+SMOOTH_RANDOM, SMOOTH_PLAIN = 0.5, 0.05  # added to the count of every pair
 MARGIN = 0.7  # nats for each character: a run is added when its mean log-likelihood ratio exceeds this
 
 
@@ -80,38 +81,37 @@ def pair_code(s: str, i: str) -> str:
     return f"instr('{ALPHABET}', substring({s}, {i}, 1)) * {CLASSES} + instr('{ALPHABET}', substring({s}, {i} + 1, 1))"
 
 
-def model(docs: DataFrame) -> list[float] | None:
-    """Log-likelihood ratio (random against ordinary) of each character pair; CLASSES**2 numbers, or None without samples."""
+def model(docs: DataFrame) -> list[list[float]]:
+    """For each base kind with samples: log-likelihood ratio (its random strings against ordinary words) of each character pair."""
     base = scan_base(docs)
-    secret = F.expr(f"transform(base, x -> struct(true as random, case when x.kind = 'assign' then regexp_extract(x.value, {sql_text('^' + ASSIGN)}, 2) else x.value end as s))")
-    plain = F.expr(f"transform(regexp_extract_all(text, {sql_text(ORDINARY)}, 0), x -> struct(false as random, x as s))")
-    samples = base.select(F.explode(F.concat(secret, plain)).alias("x")).select("x.random", "x.s").groupBy("random", "s").agg(F.count("*").alias("n"))
+    secret = F.expr(f"transform(base, x -> struct(x.kind as kind, case when x.kind = 'assign' then regexp_extract(x.value, {sql_text('^' + ASSIGN)}, 2) else x.value end as s))")
+    plain = F.expr(f"transform(regexp_extract_all(text, {sql_text(ORDINARY)}, 0), x -> struct('plain' as kind, x as s))")
     # A secret counts once however often it is copied; so does a word.
-    pairs = samples.where("char_length(s) > 1").select("random", F.expr(f"explode(transform(sequence(1, char_length(s) - 1), i -> {pair_code('s', 'i')}))").alias("pair"))
-    counts = pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()  # at most 2 * CLASSES**2 rows
-    n = {(r["random"], r["pair"]): r["n"] for r in counts}
-    if not all(any(k[0] == side for k in n) for side in (True, False)):
-        return None
+    samples = base.select(F.explode(F.concat(secret, plain)).alias("x")).select("x.kind", "x.s").groupBy("kind", "s").agg(F.count("*").alias("n"))
+    pairs = samples.where("char_length(s) > 1").select("kind", F.expr(f"explode(transform(sequence(1, char_length(s) - 1), i -> {pair_code('s', 'i')}))").alias("pair"))
+    counts = pairs.groupBy("kind", "pair").agg(F.count("*").alias("n")).collect()  # at most 4 * CLASSES**2 rows
+    n, rows = {(r["kind"], r["pair"]): r["n"] for r in counts}, Counter()
+    for (kind, pair), c in n.items():
+        rows[kind, pair // CLASSES] += c
 
-    def chance(side: bool, a: int, b: int, rows: dict[tuple[bool, int], int]) -> float:
-        return (n.get((side, a * CLASSES + b), 0) + 0.5) / (rows.get((side, a), 0) + 0.5 * CLASSES)
+    def chance(kind: str, pair: int, more: float) -> float:
+        return (n.get((kind, pair), 0) + more) / (rows[kind, pair // CLASSES] + more * CLASSES)
 
-    rows: dict[tuple[bool, int], int] = {}
-    for (side, pair), c in n.items():
-        rows[side, pair // CLASSES] = rows.get((side, pair // CLASSES), 0) + c
-    return [log(chance(True, a, b, rows) / chance(False, a, b, rows)) for a in range(CLASSES) for b in range(CLASSES)]
+    kinds = sorted({kind for kind, _ in n} - {"plain"}) if any(kind == "plain" for kind, _ in n) else []
+    return [[log(chance(kind, pair, SMOOTH_RANDOM) / chance("plain", pair, SMOOTH_PLAIN)) for pair in range(CLASSES**2)] for kind in kinds]
 
 
-def scan(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
+def scan(docs: DataFrame, ratios: list[list[float]] | None = None) -> DataFrame:
     """doc_id, assign, access, hex, base (spans by start) and spans (with the added ones)."""
     ratios = model(docs) if ratios is None else ratios
     rows = scan_base(docs)
-    if ratios is None:
+    if not ratios:
         added = F.expr("filter(base, x -> false)")
     else:
-        table = "from_json('[" + ",".join(f"{r:.6f}" for r in ratios) + "]', 'array<double>')"
+        table = "from_json('[" + ",".join(f"{r:.6f}" for kind in ratios for r in kind) + "]', 'array<double>')"
         runs = found("text", RUN, "random")
-        score = f"aggregate(sequence(1, char_length(x.value) - 1), 0D, (a, i) -> a + t[{pair_code('x.value', 'i')}]) / (char_length(x.value) - 1)"
+        sums = [f"aggregate(sequence(1, char_length(x.value) - 1), 0D, (a, i) -> a + t[{k * CLASSES**2} + {pair_code('x.value', 'i')}])" for k in range(len(ratios))]
+        score = f"array_max(array({', '.join(sums)})) / (char_length(x.value) - 1)"
         rows = rows.withColumn("runs", runs)
         added = F.expr(f"case when size(runs) = 0 then runs else transform(array({table}), t -> filter(runs, x -> not exists(base, b -> b.start < x.end and x.start < b.end) and {score} > {MARGIN}))[0] end")
     rows = rows.withColumns({"base": order("base"), "added": added})

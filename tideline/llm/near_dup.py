@@ -11,7 +11,7 @@ Documents with equal sets are one class, held by its smallest doc_id. Each class
 full sets against the bucket's smallest class, which joins large groups without forming their pairs. Of classes of
 one bucket that are still apart, those leave that cannot reach any size in the bucket: the shingles a set shares with
 any other of these sets bound every intersection. The others are paired unless that bound or the triangle inequality
-of the Jaccard distance (both distances to the bucket's smallest are known) excludes a link, or the joint likelihood
+of the Jaccard distance (both distances to the bucket's smallest are known) excludes a link, each pair in the first band it shares only, or the joint likelihood
 of both sketches puts J more than six standard deviations below the threshold; the rest is verified on full sets.
 
 Rows with one doc_id are one document, linked if any of their texts is. A null doc_id is its own component
@@ -140,34 +140,34 @@ def components_of(docs: DataFrame) -> DataFrame:
     ids = members.select("id").distinct()
     sets = stage(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text").mapInArrow(full_sets, "id long, set array<long>").where("size(set) > 0"), "sets")
     star = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    verified = stage(overlap(star, sets).groupBy("a", "b").agg(F.max(F.struct((F.col("common") / F.col("joint")).alias("j"), "common", "joint")).alias("m")).select("a", "b", "m.*"), "verified")
+    verified = stage(overlap(star, sets).groupBy("a", "b").agg(F.count("*").alias("n"), F.max(F.struct((F.col("common") / F.col("joint")).alias("j"), "common", "joint")).alias("m")).select("a", "b", "n", "m.*"), "verified")
     links = verified.where(linked()).select("a", "b")
     labels = components(links)
 
     # Classes of one bucket that are still apart.
     placed = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    placed = placed.join(verified.select(F.col("a").alias("least"), F.col("b").alias("id"), (1 - F.col("j")).alias("far")), ["least", "id"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
+    # An id with several sets has several distances; they exclude nothing.
+    placed = placed.join(verified.select(F.col("a").alias("least"), F.col("b").alias("id"), F.expr("if(n = 1, 1 - j, null)").alias("far")), ["least", "id"], "left")
     placed = stage(placed.select("band", "key", "least", "id", "n_shingles", "label", "far"), "placed")
     open_ = stage(still_apart(placed), "open")
     own = shared_sizes(sets.join(open_.select("id").distinct(), "id", "left_semi"))
     least = open_.groupBy("band", "key").agg(F.min("n_shingles").alias("smallest"))
     open_ = open_.join(own, "id").join(least, ["band", "key"]).where(f"{100 + PERCENT} * shared - {PERCENT} * n_shingles >= {PERCENT} * smallest")
     open_ = stage(still_apart(open_.drop("smallest")), "open")
-    one, two = (open_.select("band", "key", "least", F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("label").alias(f"label_{k}"),
-                             F.col("far").alias(f"far_{k}"), F.col("shared").alias(f"shared_{k}")) for k in "ab")
+    sketched = open_.join(classes.select("id", "n_shingles", "bands"), ["id", "n_shingles"]).where("bands[band] = key")
+    one, two = (sketched.select("band", "key", "least", F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("label").alias(f"label_{k}"),
+                                F.col("far").alias(f"far_{k}"), F.col("shared").alias(f"shared_{k}"), F.col("bands").alias(f"bands_{k}")) for k in "ab")
     slack = 1 - PERCENT / 100 + 1e-9
-    # Members of the first one's component meet only those outside it.
+    # Members of the first one's component meet only those outside it, and two sketches meet in the first band they share.
     mains = open_.groupBy("band", "key").agg(F.min_by("label", "id").alias("main"))
     outside = one.join(mains, ["band", "key"]).where("label_a <> main")
     rest = outside.join(two.drop("least"), ["band", "key"]).where(
-        f"""label_a <> label_b and (label_b = main or a < b) and a <> least and b <> least and abs(far_a - far_b) <= {slack}
-            and {100 + PERCENT} * least(shared_a, shared_b) >= {PERCENT} * (n_a + n_b)""")
-    rest = rest.selectExpr("least(a, b) as a", "greatest(a, b) as b", "if(a < b, n_a, n_b) as n_a", "if(a < b, n_b, n_a) as n_b").distinct()
-    sketched = classes.select("id", "bands")
-    rest = rest.join(sketched.select(F.col("id").alias("a"), F.col("bands").alias("bands_a")), "a").join(sketched.select(F.col("id").alias("b"), F.col("bands").alias("bands_b")), "b")
+        f"""label_a <> label_b and (label_b = main or a < b) and a <> least and b <> least and coalesce(abs(far_a - far_b) <= {slack}, true)
+            and {100 + PERCENT} * least(shared_a, shared_b) >= {PERCENT} * (n_a + n_b)
+            and array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1""")
     j = PERCENT / 100
     likely = rest.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(estimate, "a long, b long, j double").where(F.col("j") >= j - 6 * (j * (1 - j) / REGISTERS) ** 0.5)
-    more = stage(overlap(likely.select("a", "b").distinct(), sets).where(linked()).select("a", "b"), "links")
+    more = stage(overlap(likely.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct(), sets).where(linked()).select("a", "b"), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 

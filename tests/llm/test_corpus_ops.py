@@ -189,6 +189,19 @@ def test_suffix_dedup_matches_brute_force(make, seed, hot):
     assert sum(n - len(k) for _, n, k, _ in got) > 1000
 
 
+def test_hot_piece_meets_all_its_anchors(make, monkeypatch):
+    """Documents 2i and 2i+1 share passage i and lie in one slice; document 1000 + i repeats it beyond the limit of hot pieces."""
+    monkeypatch.setattr(suffix_dedup, "REFINE_BYTES", 500)
+    rng = random.Random(4)
+    shared = [prose(rng, 12) for _ in range(20)]
+    rows = [(i, f"{prose(rng, 10)} {shared[i // 2]} {prose(rng, 10)}", "en", "s") for i in range(40)]
+    rows += [(1000 + i, " ".join(f"{x} {prose(rng, 2)}" for x in [shared[i]] * 8), "en", "s") for i in range(20)]
+    texts = {r[0]: r[1].encode() for r in rows}
+    docs, one_slice = make(rows).coalesce(1), sum(len(texts[i]) for i in range(40))
+    got = [(d, n, texts[d] if k is None else k, s) for d, n, k, s in cut_rows(suffix_dedup.removed(docs, 4, one_slice))]
+    assert sorted(got, key=str) == removed(rows)
+
+
 def test_suffix_dedup_edges(odd, odd_rows, empty):
     got = cut_rows(suffix_dedup.removed(odd))
     want = removed(odd_rows)

@@ -10,7 +10,8 @@ string in every later document. Identifiers are two 64-bit hashes, so no string
 
 Workers first settle what they can see alone (equal pieces or equal surroundings of several documents of a slice) and
 pass on one representative, so a passage that many documents share reaches a task once for each slice. A piece that
-is frequent all the same is dealt by the content of its single strings. Routes grow with the bytes of the corpus.
+is frequent all the same is dealt by the content of its single strings, and that holds for all its anchors, also for
+those that a worker settled by itself. Routes grow with the bytes of the corpus.
 
 Texts are UTF-8 bytes; null texts are empty. Documents with equal texts: the smallest doc_id is treated, the others
 lose all bytes if they have ``LENGTH`` or more. Rows with one doc_id are one place in the order: they do not cover each other.
@@ -93,6 +94,7 @@ def by_document(doc: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.n
 
 
 BUCKETS = "route int, docs binary, bounds binary, keys binary, places binary, doc_id long, known binary"
+SHARED = "doc_id long, places binary, hot boolean, settled boolean, keys binary"
 
 
 def to_buckets(routes: int, slice_bytes: int):
@@ -130,9 +132,12 @@ def to_buckets(routes: int, slice_bytes: int):
 
 
 def shared_buckets(rows: pd.DataFrame, hot_documents: int) -> pd.DataFrame:
-    """One route's anchors -> doc_id, places (from the start of the document) of those in shared buckets, hot."""
+    """One route's anchors -> doc_id, places (from the start of the document) of those in shared buckets, hot, settled.
+
+    The buckets of settled (known) anchors may be on other routes, so whether they are hot is left open; a row without doc_id has the keys of this route's hot buckets.
+    """
     known = rows[rows["doc_id"].notna()]
-    out = [(int(d), p, False) for d, p in zip(known["doc_id"], known["known"])]
+    out = [(int(d), p, False, True, b"") for d, p in zip(known["doc_id"], known["known"])]
     keys, docs, places = [], [], []
     for ids, bounds, key, place in rows.loc[rows["doc_id"].isna(), ["docs", "bounds", "keys", "places"]].itertuples(index=False):
         bounds, place = from_planes(bounds), from_planes(place)
@@ -150,8 +155,47 @@ def shared_buckets(rows: pd.DataFrame, hot_documents: int) -> pd.DataFrame:
         hot = np.repeat(n > hot_documents, n)
         for is_hot in (False, True):
             pick = shared & (hot == is_hot)
-            out += [(d, p.astype("<u4").tobytes(), is_hot) for d, p in by_document(doc[pick], place[pick])]
-    return pd.DataFrame(out, columns=["doc_id", "places", "hot"])
+            out += [(d, p.astype("<u4").tobytes(), is_hot, False, b"") for d, p in by_document(doc[pick], place[pick])]
+        if hot.any():
+            out.append((None, b"", True, False, key[heads[n > hot_documents]].tobytes()))
+    return pd.DataFrame(out, columns=["doc_id", "places", "hot", "settled", "keys"]).astype({"doc_id": "Int64"})
+
+
+def hot_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for keys in batch.column(0):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys.as_py(), np.int64))], ["key"])
+
+
+def keys_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, places) -> doc_id, place, key of the piece at each of the places."""
+    for batch in batches:
+        for row, data, offsets in byte_slices(batch.column(1), SLICE_BYTES):
+            h = pieces(eights(data))
+            for i in range(len(offsets) - 1):
+                place = np.frombuffer(b"".join(batch.column(2)[row + i].as_py()), "<u4").astype(np.int64)
+                place = place[place + PIECE <= offsets[i + 1] - offsets[i]]  # rows with one doc_id share their places
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(place), batch.column(0)[row + i].as_py(), np.int64)), pa.array(place), pa.array(h[offsets[i] + place].view(np.int64))], ["doc_id", "place", "key"])
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, place, hot) -> doc_id, places, hot."""
+    for batch in batches:
+        doc, place, hot = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        rows = [(d, p.astype("<u4").tobytes(), is_hot) for is_hot in (False, True) for d, p in by_document(doc[hot == is_hot], place[hot == is_hot])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.int64(), pa.binary(), pa.bool_()))], ["doc_id", "places", "hot"])
+
+
+def with_buckets_flag(flagged: DataFrame, texts: DataFrame) -> DataFrame:
+    """doc_id, places, hot, where settled anchors take the flag of their bucket; their keys are only formed if any bucket is hot."""
+    sent = flagged.where("doc_id is not null and not settled").select("doc_id", "places", "hot")
+    settled = flagged.where("settled")
+    keys = stage(flagged.where("doc_id is null").select("keys").mapInArrow(hot_keys, "key long"), "hot")
+    if keys.isEmpty():
+        return sent.unionByName(settled.select("doc_id", "places", "hot"))
+    listed = texts.join(settled.groupBy("doc_id").agg(F.collect_list("places").alias("places")), "doc_id").select("doc_id", "text", "places")
+    known = listed.mapInArrow(keys_at, "doc_id long, place long, key long").join(keys.withColumn("hot", F.lit(True)), "key", "left")
+    return sent.unionByName(known.select("doc_id", "place", F.coalesce("hot", F.lit(False)).alias("hot")).mapInArrow(gathered, "doc_id long, places binary, hot boolean"))
 
 
 def identifiers(context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +234,8 @@ def to_strings(routes: int, slice_bytes: int):
                 doc, at, hot = np.concatenate(doc), np.concatenate(at), np.concatenate(hot)
                 order = np.lexsort((~hot, at, doc))
                 doc, at, hot = doc[order], at[order], hot[order]
-                new = np.r_[True, (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])]
+                # Rows with one doc_id share their places, and a place can be hot in one of them only: then it is dealt both ways.
+                new = np.r_[True, (doc[1:] != doc[:-1]) | (at[1:] != at[:-1]) | (hot[1:] != hot[:-1])]
                 doc, at, hot = doc[new], at[new], hot[new]
                 size = offsets[1:] - offsets[:-1]
                 low = np.maximum(0, AHEAD - at)
@@ -298,10 +343,10 @@ def removed(docs: DataFrame, hot_documents: int = HOT_DOCUMENTS, slice_bytes: in
     light = stage(light.join(firsts, "sha").withColumn("copy", F.coalesce(F.col("least") < F.col("doc_id"), F.lit(False))).drop("least"), "copies")
 
     known = rows.where("doc_id is not null")
-    flagged = stage(known.mapInArrow(to_buckets(routes, slice_bytes), BUCKETS).groupBy("route").applyInPandas(lambda route: shared_buckets(route, hot_documents), "doc_id long, places binary, hot boolean"), "shared")
-    lists = flagged.groupBy("doc_id").agg(F.collect_list(F.struct("places", "hot")).alias("places"))
+    flagged = stage(known.mapInArrow(to_buckets(routes, slice_bytes), BUCKETS).groupBy("route").applyInPandas(lambda route: shared_buckets(route, hot_documents), SHARED), "shared")
     whole = light.where("not copy").select("doc_id").distinct()
     texts = known.repartition(max(routes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "doc_id")
+    lists = with_buckets_flag(flagged, texts).groupBy("doc_id").agg(F.collect_list(F.struct("places", "hot")).alias("places"))
     found = texts.join(lists.join(whole, "doc_id", "left_semi"), "doc_id").select("doc_id", "text", "places").mapInArrow(to_strings(refine_routes, slice_bytes), STRINGS)
     covered = found.groupBy("route").applyInPandas(refine, "doc_id long, covered binary").groupBy("doc_id").agg(F.collect_list("covered").alias("covered"))
     changed = texts.join(covered, "doc_id").select("doc_id", "text", "covered").mapInArrow(cut_out, "doc_id long, spans array<struct<start: long, end: long>>, kept binary")

@@ -13,6 +13,8 @@ from tideline.llm import exact_dedup, language, mixing, near_dup, packing
 from tideline.llm.common import documents, stage
 from tideline.llm.encode import tokenizer_path
 
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the language of the others is the predicted one."""
@@ -26,7 +28,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.representatives(docs)
+    return near_dup.representatives(docs, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -98,6 +98,29 @@ def test_near_components_match_brute_force(make, seed):
     assert len(set(want.values())) < len(rows)
 
 
+def test_pipeline_drops_near_copies_from_80_percent(spark, make):
+    """Brute force at 80 percent on families, among them pairs that only link below 85."""
+    rows = near_rows(5)
+    rng = random.Random(6)
+    for i in range(10):
+        words = prose(rng, 104).split()
+        other = [*words]
+        other[20], other[70] = "new", "other"  # 90 of 110 shingles are shared
+        rows += [(10_000 + 2 * i, " ".join(words), "en", "s"), (10_001 + 2 * i, " ".join(other), "en", "s")]
+    sets = {d: shingle_set(t) for d, t, *_ in rows}
+    label = {d: d for d in sets}
+    for _ in sets:
+        was = dict(label)
+        for a, b in itertools.combinations(sets, 2):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                label[a] = label[b] = min(label[a], label[b])
+        if was == label:
+            break
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, make(rows).repartition(3), SMALL).collect()}
+    assert got == set(label.values())
+    assert got < set(near_components(rows).values())
+
+
 def test_near_dedup_edges(odd, odd_rows, empty):
     want = near_components(odd_rows)
     got = near_dup.components_of(odd).collect()

@@ -5,7 +5,7 @@ words make one shingle, no words an empty set that links with nothing). Register
 ``floor(1 - log_b(x_i))`` for the smallest exponential variate ``x_i`` that hash i gives any shingle: truncated,
 exponentially spaced minima, whose maximum merges two sketches. With b = 1.001 two sets share a register about as
 often as their Jaccard similarity J says. Bands of four registers give buckets; a pair at J = 0.85 escapes all 32
-bands with probability (1 - 0.85**4)**32 < 1e-10.
+bands with probability (1 - 0.85**4)**32 < 1e-10, one at J = 0.80 with 5e-8. The threshold is ``percent``.
 
 Documents with equal sets are one class, held by its smallest doc_id. Each class in a bucket is verified on the
 full sets against the bucket's smallest class, which joins large groups without forming their pairs. Of classes of
@@ -120,12 +120,12 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     return sizes.join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
-def linked() -> Column:
-    return 100 * F.col("common") >= PERCENT * F.col("joint")
+def linked(percent: int) -> Column:
+    return 100 * F.col("common") >= percent * F.col("joint")
 
 
-def components_of(docs: DataFrame) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, component_id."""
+def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id; sets link from a Jaccard similarity of ``percent`` / 100."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text())
     sketches = stage(texts.mapInArrow(sketch, SKETCH), "sketches")
     digest = ["set_a", "set_b", "n_shingles"]
@@ -141,7 +141,7 @@ def components_of(docs: DataFrame) -> DataFrame:
     sets = stage(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text").mapInArrow(full_sets, "id long, set array<long>").where("size(set) > 0"), "sets")
     star = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     verified = stage(overlap(star, sets).groupBy("a", "b").agg(F.count("*").alias("n"), F.max(F.struct((F.col("common") / F.col("joint")).alias("j"), "common", "joint")).alias("m")).select("a", "b", "n", "m.*"), "verified")
-    links = verified.where(linked()).select("a", "b")
+    links = verified.where(linked(percent)).select("a", "b")
     labels = components(links)
 
     # Classes of one bucket that are still apart.
@@ -152,22 +152,22 @@ def components_of(docs: DataFrame) -> DataFrame:
     open_ = stage(still_apart(placed), "open")
     own = shared_sizes(sets.join(open_.select("id").distinct(), "id", "left_semi"))
     least = open_.groupBy("band", "key").agg(F.min("n_shingles").alias("smallest"))
-    open_ = open_.join(own, "id").join(least, ["band", "key"]).where(f"{100 + PERCENT} * shared - {PERCENT} * n_shingles >= {PERCENT} * smallest")
+    open_ = open_.join(own, "id").join(least, ["band", "key"]).where(f"{100 + percent} * shared - {percent} * n_shingles >= {percent} * smallest")
     open_ = stage(still_apart(open_.drop("smallest")), "open")
     sketched = open_.join(classes.select("id", "n_shingles", "bands"), ["id", "n_shingles"]).where("bands[band] = key")
     one, two = (sketched.select("band", "key", "least", F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("label").alias(f"label_{k}"),
                                 F.col("far").alias(f"far_{k}"), F.col("shared").alias(f"shared_{k}"), F.col("bands").alias(f"bands_{k}")) for k in "ab")
-    slack = 1 - PERCENT / 100 + 1e-9
+    slack = 1 - percent / 100 + 1e-9
     # Members of the first one's component meet only those outside it, and two sketches meet in the first band they share.
     mains = open_.groupBy("band", "key").agg(F.min_by("label", "id").alias("main"))
     outside = one.join(mains, ["band", "key"]).where("label_a <> main")
     rest = outside.join(two.drop("least"), ["band", "key"]).where(
         f"""label_a <> label_b and (label_b = main or a < b) and a <> least and b <> least and coalesce(abs(far_a - far_b) <= {slack}, true)
-            and {100 + PERCENT} * least(shared_a, shared_b) >= {PERCENT} * (n_a + n_b)
+            and {100 + percent} * least(shared_a, shared_b) >= {percent} * (n_a + n_b)
             and array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1""")
-    j = PERCENT / 100
+    j = percent / 100
     likely = rest.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(estimate, "a long, b long, j double").where(F.col("j") >= j - 6 * (j * (1 - j) / REGISTERS) ** 0.5)
-    more = stage(overlap(likely.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct(), sets).where(linked()).select("a", "b"), "links")
+    more = stage(overlap(likely.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct(), sets).where(linked(percent)).select("a", "b"), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 
@@ -177,7 +177,7 @@ def components_of(docs: DataFrame) -> DataFrame:
     return grouped.unionByName(single)
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest doc_id."""
-    drop = components_of(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    drop = components_of(docs, percent).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(stage(drop, "dropped"), "doc_id", "left_anti").select(*docs.columns)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, fingerprints, language, mixing, near_dup, packing, resharding, secrets, suffix_dedup, token_index
+from tideline.llm import (
+    exact_dedup, fingerprints, hard_negatives, kd_search, language, mixing, near_dup, packing, phrases, resharding, secrets, suffix_dedup, token_index)
 from tideline.llm.common import documents, new_folder
 from tideline.llm.encode import tokenizer_path
 
@@ -78,6 +79,20 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op11_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir), support=100, longest=5, top=2000)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hard_negatives.mine(rows, label, F.col("vec_id") % 100 == 0, positives=5, negatives=5, share=80, scale=256)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_language": op2_language,
@@ -89,6 +104,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
     "op10_near_dup": op10_near_dup,
+    "op11_kd_search": op11_kd_search,
+    "op12_phrases": op12_phrases,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 FINGERPRINTS = """
@@ -160,7 +178,57 @@ NEAR_DUP = """
     select d.doc_id, coalesce(n.n, 0) as n_shingles, min(other) as component_id, d.doc_id = min(other) as kept
     from documents d join reach on reach.doc_id = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id, n.n"""
 
+VECTORS = """
+    select vec_id, {label} as label, list_transform(embedding, lambda x: floor({scale} * x::double)) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+KD_SEARCH = f"""
+    with v as ({VECTORS.format(label="0", scale=1024)}),
+    s as (
+        select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+        from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id)
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from s qualify rank <= 10"""
+
+HARD_NEGATIVES = f"""
+    with v as (select * from ({VECTORS.format(label="case when vec_id % 7 = 0 then (label + 1) % 10 else label end", scale=256)}) where label is not null),
+    s as (
+        select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_dot_product(a.v, c.v)::bigint as score
+        from v a join v c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id),
+    p as (
+        select anchor_id, vec_id as positive_id, score as positive_score from s where same
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+    select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as rank, vec_id as negative_id,
+        positive_score, score as negative_score
+    from p join s using (anchor_id) where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+    qualify rank <= 5"""
+
+PHRASES = """
+    with d as (select doc_id, coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as s from documents),
+    pieces as (select lang, unnest(string_split_regex(s, '[.,;:!?\x0A-\x0D]')) as s from d),
+    w as (select lang, list_filter(string_split_regex(s, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+    totals as (select lang, sum(len(w)) as n from w group by lang),
+    f as (
+        select lang, m, phrase, count(*) as a from (
+            select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+            from w, (select unnest(range(1, 6)) as m) where len(w) >= m)
+        group by all having count(*) >= 100),
+    cuts as (
+        select c.lang, c.m, c.phrase, c.a, k, l.a as l, r.a as r, n::hugeint as n, (1000::hugeint * c.a * n::hugeint) // (l.a::hugeint * r.a) as score
+        from (select *, unnest(range(1, m)) as k from f where m >= 2) c
+        join f l on l.lang = c.lang and l.phrase = array_to_string(string_split(c.phrase, ' ')[:k], ' ')
+        join f r on r.lang = c.lang and r.phrase = array_to_string(string_split(c.phrase, ' ')[k + 1:], ' ')
+        join totals t on t.lang = c.lang),
+    best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+    own as (
+        select * from best b where not exists (
+            select 1 from f x where x.lang = b.lang and x.m > b.m and 100 * x.a >= 100 * b.a and contains(' ' || x.phrase || ' ', ' ' || b.phrase || ' ')))
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n::bigint as n, score::bigint as score
+    from own qualify rank <= 2000"""
+
 ORACLE = {
+    "op11_kd_search": KD_SEARCH,
+    "op12_phrases": PHRASES,
+    "op13_hard_negatives": HARD_NEGATIVES,
     "op8_exact_dedup": """
         select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id, count(*) over (partition by coalesce(text, '')) as group_size,
                doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept, sha256(coalesce(text, '')) as text_sha256

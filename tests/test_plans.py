@@ -8,6 +8,7 @@ from tideline.params import Params
 from tideline.plans import checks, ledger, pick, pricing, registry, scoring
 from tideline.sources import sinks
 from tideline.sources.tables import LEDGER, REGISTRY, FolderSources
+from tideline.sources.versions import Folder, Replacement, current
 
 DAY = date(2026, 10, 20)
 NOW = datetime(2026, 10, 20, 8)
@@ -150,10 +151,78 @@ def test_sinks(spark, tmp_path):
     sinks.replace_partitions(a, path, ["k"])
     sinks.replace_partitions(b, path, ["k"])
     assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [("x", 1), ("y", 9), ("z", 3)]
-    sinks.replace(spark.read.parquet(path).filter("v > 2"), path, reads_target=True)
-    assert spark.read.parquet(path).count() == 2
+    sinks.replace(spark.read.parquet(path).filter("v > 2"), path)
+    assert spark.read.parquet(current(spark, path)).count() == 2
+    sinks.replace_partitions(b.withColumn("v", F.lit(5)), path, ["k"])
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(current(spark, path)).collect()) == [("y", 5), ("z", 5)]
     out = sinks.conform(spark.createDataFrame([("p",)], "phone9 string"), LEDGER, {"logged_at": NOW})
     assert out.schema == LEDGER or [f.name for f in out.schema] == [f.name for f in LEDGER]
     sinks.write_csv(a, str(tmp_path / "c"))
     from tideline.sources.tables import read_csv
     assert read_csv(spark, str(tmp_path / "c"), "k string, v int").count() == 2
+
+
+def rows_at(spark, path):
+    return sorted(map(tuple, spark.read.parquet(current(spark, path)).collect()))
+
+
+def test_replacement_is_one_commit(spark, tmp_path):
+    """A writer that dies leaves the old rows, one that was overtaken fails, readers of the version before may finish."""
+    path = str(tmp_path / "t")
+    table = lambda n: spark.range(n).withColumn("v", F.lit(n))
+    sinks.append(table(2), path)
+    died = F.udf(lambda i: 1 // 0, "long")
+    with pytest.raises(Exception):
+        sinks.replace(table(3).withColumn("v", died("id")), path)
+    assert rows_at(spark, path) == [(0, 2), (1, 2)]
+    reader = spark.read.parquet(current(spark, path))
+    sinks.replace(table(1), path)
+    assert rows_at(spark, path) == [(0, 1)] and reader.count() == 2
+    slow = Replacement(spark, path)
+    sinks.replace(table(3), path)
+    table(9).write.parquet(slow.path)
+    with pytest.raises(RuntimeError):
+        slow.commit()
+    assert len(rows_at(spark, path)) == 3
+    # a commit file without content belongs to a writer that died there
+    Folder(spark, path).create(f"_commits/{3:08d}", "")
+    assert len(rows_at(spark, path)) == 3
+    sinks.replace(spark.read.parquet(current(spark, path)).where("id > 0"), path, reads_target=True)
+    assert len(rows_at(spark, path)) == 2 and len(Folder(spark, path).names("_versions")) <= 3
+    sinks.append(table(1), path)
+    assert len(rows_at(spark, path)) == 3
+
+
+def test_a_run_is_appended_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "k string, day int")
+    assert not sinks.append_once(rows.limit(0), path, "none", ["day"])
+    assert sinks.append_once(rows, path, "run1", ["day"]) and not sinks.append_once(rows, path, "run1", ["day"])
+    assert spark.read.parquet(path).count() == 3
+    # the second run dies after its rows were written aside, and once more between two moves
+    folder = Folder(spark, path)
+    rows.write.partitionBy("day").parquet(folder.at("_runs/run2/data"))
+    folder.create("_runs/run2/ready", "done")
+    first = folder.files("_runs/run2/data")[0]
+    folder.move(f"_runs/run2/data/{first}", folder.at(f"{first.rpartition('/')[0]}/run2-{first.rpartition('/')[2]}"))
+    assert sinks.append_once(rows, path, "run2", ["day"])
+    got = spark.read.parquet(path).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in got} == {"a": 2, "b": 2, "c": 2}
+
+
+def test_catalog_targets(spark, tmp_path):
+    """Round trip through catalog tables: create, append, swap partitions, replace from its own rows."""
+    spark.sql("create database if not exists tideline_test location '" + str(tmp_path / "db") + "'")
+    try:
+        src = FolderSources(spark, str(tmp_path), {"log": "table:tideline_test.log", "list": "table:tideline_test.list"})
+        rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, day int")
+        for _ in range(2):
+            sinks.append(rows.select("day", "k"), src.path("log"), ["day"])
+        assert src.table("log").count() == 4
+        sinks.replace_partitions(rows.where("day = 2").withColumn("k", F.lit("new")), src.path("log"), ["day"])
+        assert sorted((r["k"], r["day"]) for r in src.table("log").collect()) == [("a", 1), ("a", 1), ("new", 2)]
+        sinks.replace(rows, src.path("list"))
+        sinks.replace(src.table("list").where("day > 1"), src.path("list"), reads_target=True)
+        assert [r["k"] for r in src.table("list").collect()] == ["b"]
+    finally:
+        spark.sql("drop database tideline_test cascade")

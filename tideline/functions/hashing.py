@@ -6,12 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def hash_mod(key: Column | str, n: int, *salts: Column | str) -> Column:
-    """First 60 bits of md5(key|salt…) modulo n."""
+HASH_BITS = 60
+
+
+def hash_whole(key: Column | str, *salts: Column | str) -> Column:
+    """First 60 bits of md5(key|salt…)."""
     key = F.col(key) if isinstance(key, str) else key
     parts = [key.cast("string")] + [F.lit(s) if isinstance(s, str) else s.cast("string") for s in salts]
     head = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15)
-    return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(n))
+    return F.conv(head, 16, 10).cast("bigint")
+
+
+def hash_mod(key: Column | str, n: int, *salts: Column | str) -> Column:
+    """``hash_whole`` modulo n."""
+    return F.pmod(hash_whole(key, *salts), F.lit(n))
 
 
 def arm(key: Column | str, salt: str) -> Column:

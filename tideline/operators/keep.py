@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.functions.hashing import hash_mod
+from tideline.functions.hashing import HASH_BITS, hash_whole
 from tideline.session import materialise
 
 # A class of rows is cut in so many parts before its first rows are chosen.
 CLASS_PARTS = 64
+# A group is cut in 2 ** SLICE_BITS slices before its rows are ranked.
+SLICE_BITS = 12
 
 
 def top_k(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], k: int = 1) -> DataFrame:
@@ -92,16 +94,16 @@ def capped_top(
 
 
 def spread_rank(df: DataFrame, group: Sequence[str], key: str, name: str, salt: str = "spread") -> DataFrame:
-    """Row number inside a group of any size, ordered by (hash slice, key).
+    """Row number inside a group of any size, ordered by (hash of the key, key).
 
-    Each group is cut in 256 slices by hash; slice sizes give the offsets, so no task holds
-    a whole group.
+    Each group is cut in ``2 ** SLICE_BITS`` ranges of the hash; their sizes give the offsets, so no task holds
+    a whole group. The number of slices does not change the order.
     """
-    sliced = df.withColumn("_slice", hash_mod(key, 256, salt))
+    sliced = df.withColumn("_hash", hash_whole(key, salt)).withColumn("_slice", F.shiftright("_hash", HASH_BITS - SLICE_BITS))
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inner = Window.partitionBy(*group, "_slice").orderBy(key)
+    inner = Window.partitionBy(*group, "_slice").orderBy("_hash", key)
     local = sliced.withColumn("_local", F.row_number().over(inner))
     # A NULL group is a group like any other.
     offsets = offsets.withColumnsRenamed({c: f"_of_{c}" for c in (*group, "_slice")})
@@ -111,7 +113,7 @@ def spread_rank(df: DataFrame, group: Sequence[str], key: str, name: str, salt:
     return (
         local.join(offsets, same)
         .withColumn(name, F.col("_offset") + F.col("_local"))
-        .drop("_slice", "_offset", "_local", *[f"_of_{c}" for c in (*group, "_slice")])
+        .drop("_hash", "_slice", "_offset", "_local", *[f"_of_{c}" for c in (*group, "_slice")])
     )
 
 

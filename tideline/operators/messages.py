@@ -35,12 +35,35 @@ def collapse_status(status: DataFrame, since: datetime | None = None) -> DataFra
     )
 
 
+def message_days(status: DataFrame) -> DataFrame:
+    """Outbound status events by (day, sid): partial states that ``merge_days`` puts together."""
+    out = status.filter(F.col("sid").isNotNull() & (F.col("status") != INBOUND) & F.col("date_sent").isNotNull())
+    return out.groupBy(F.to_date("date_sent").alias("day"), "sid").agg(
+        F.min("date_sent").alias("sent_ts"),
+        flag(F.col("status").isin(*DELIVERED)).alias("was_delivered"),
+        flag(F.col("status") == "read").alias("was_read"),
+        flag(F.col("status").isin(*FAILED)).alias("was_failed"),
+    )
+
+
+def merge_days(days: DataFrame) -> DataFrame:
+    """One row per message, as ``collapse_status`` gives it."""
+    return days.groupBy("sid").agg(F.min("sent_ts").alias("sent_ts"), *[F.max(c).alias(c) for c in ("was_delivered", "was_read", "was_failed")])
+
+
+def reply_days(status: DataFrame) -> DataFrame:
+    """Replies with their day."""
+    return inbound(status).filter(F.col("reply_ts").isNotNull()).withColumn("day", F.to_date("reply_ts"))
+
+
 def collapse_messages(
-    sent: DataFrame, status: DataFrame, discount_templates: DataFrame, since: datetime | None = None, few: bool = False
+    sent: DataFrame, status: DataFrame, discount_templates: DataFrame, since: datetime | None = None, few: bool = False,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (phone9, sid): template, audience, discount flags, times and statuses.
 
-    ``few`` says that ``sent`` is a part of all messages: the status log is then cut to theirs first.
+    ``few`` says that ``sent`` is a part of all messages: the statuses are then cut to theirs first. ``days`` are daily
+    states of the log, read instead of it.
     """
     known = discount_templates.select(F.col("template_id").alias("trimmed_id")).distinct().withColumn("_known", F.lit(1))
     per_message = (
@@ -55,9 +78,11 @@ def collapse_messages(
             flag(F.col("_known").isNotNull()).alias("is_disc_template"),
         )
     )
+    log = status if days is None else days
     if few:
-        status = status.join(sent.select("sid").filter(F.col("sid").isNotNull()).distinct(), "sid", "left_semi")
-    return per_message.join(collapse_status(status, since), "sid").select(
+        log = log.join(sent.select("sid").filter(F.col("sid").isNotNull()).distinct(), "sid", "left_semi")
+    states = collapse_status(log, since) if days is None else merge_days(log)
+    return per_message.join(states, "sid").select(
         "phone9", "sid", "template_id", "audience_id", "is_discount_body", "is_disc_template",
         "sent_ts", "was_delivered", "was_read", "was_failed")
 

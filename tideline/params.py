@@ -88,6 +88,7 @@ class Params:
     undeliverable_days: int = 180
     undeliverable_codes: tuple[int, ...] = (63003, 63024)
     local_hours: int = 2
+    status_late_days: int = 30
     # training
     min_days_observed: int = 7
     min_test_clicks: int = 40
@@ -96,6 +97,9 @@ class Params:
     min_frequency: int = 100
     max_iter: int = 500
     tol: float = 1e-10
+    newton_iter: int = 100
+    # The driver solves systems of up to so many slots; wider models go to Spark ML
+    newton_slots: int = 500
     # Promotion gate
     gate_min_auc: float = 0.65
     gate_tolerance: float = 0.01
@@ -127,5 +131,7 @@ class Params:
     block_undeliverable: bool = False
     require_mobile: bool = False
     # Plan settings
+    constant_weights: bool = False
+    optional_features: bool = False
     timeline_bucket: str = "day"
     model_name: str = "model_v"

@@ -13,6 +13,7 @@ from tideline.functions.hashing import arm
 from tideline.operators.sets import flag_in
 from tideline.params import Params
 from tideline.plans import eligibility, features, scoring
+from tideline.plans.message_log import MessageLog
 from tideline.session import Keep, as_is
 from tideline.sources.tables import Sources
 
@@ -33,15 +34,18 @@ def selectable(df: DataFrame, p: Params) -> DataFrame:
 
 
 def build(
-    src: Sources, as_of: datetime, p: Params, version: str, long_form: bool = False, keep: Keep = as_is
+    src: Sources, as_of: datetime, p: Params, version: str, keep: Keep = as_is, log: MessageLog | None = None
 ) -> DataFrame:
-    """``keep`` may materialise intermediate results (jobs pass ``materialise``)."""
+    """``keep`` may materialise intermediate results (jobs pass ``materialise``).
+
+    Weights are joined as a table of any size; ``p.constant_weights`` puts a small one into the plan instead.
+    """
     pool = keep(eligibility.pool(src, as_of, p, keep))
-    featured = features.features_now(pool, src, as_of, p)
+    featured = features.features_now(pool, src, as_of, p, log)
     flagged = selectable(flag_in(featured, eligibility.cooldown(src, as_of, p), "phone9", "in_cooldown"), p)
     weights = scoring.of_version(src.table("model_weights"), version)
-    score = scoring.score_long if long_form else scoring.score_wide
-    scored = score(flagged, weights, "phone9", features.FEATURES)
+    score = scoring.score_wide if p.constant_weights else scoring.score_long
+    scored = score(keep(flagged), weights, "phone9", features.FEATURES)
     return scored.withColumns({
         "phone_number": clean.e164("phone9", p.number_prefix),
         "arm": arm("phone9", p.arm_salt),

@@ -15,6 +15,7 @@ from tideline.operators import messages as msg
 from tideline.operators.asof import ZERO, Measure, measures_at
 from tideline.operators.sets import lookup, restrict
 from tideline.params import Params
+from tideline.plans.message_log import MessageLog, first_moment
 from tideline.sources import tables as t
 from tideline.sources.tables import Sources
 
@@ -33,8 +34,12 @@ def days(n: float) -> timedelta:
     return timedelta(days=n)
 
 
-def streams(src: Sources, p: Params, people: DataFrame | None = None, since: datetime | None = None) -> Mapping[str, DataFrame]:
-    """Event streams with a ``ts`` column, restricted to known people when given."""
+def streams(src: Sources, p: Params, people: DataFrame | None = None, since: datetime | None = None,
+            log: MessageLog | None = None) -> Mapping[str, DataFrame]:
+    """Event streams with a ``ts`` column, restricted to known people when given.
+
+    ``log`` holds daily states of the message statuses, read in place of the status log.
+    """
 
     def known(df: DataFrame) -> DataFrame:
         return df if people is None else restrict(df, people)
@@ -42,14 +47,16 @@ def streams(src: Sources, p: Params, people: DataFrame | None = None, since: dat
     calls = t.sales_calls(src, p.sales_campaign_ids, p.local_hours)
     status = t.status_events(src)
     # Messages are restricted before the join with their status events.
-    messages = msg.collapse_messages(known(t.sent_messages(src)), status, t.discount_templates(src), since, few=people is not None)
+    messages = msg.collapse_messages(
+        known(t.sent_messages(src)), status, t.discount_templates(src), since, few=people is not None, days=None if log is None else log.days)
+    replies = msg.inbound(status, since) if log is None else log.replies
     return {
         "leads": known(t.leads(src)).withColumnRenamed("lead_ts", "ts"),
         "calls": known(calls).withColumnRenamed("call_ts", "ts"),
         "quotes": quote_moments(known(t.quotes(src))),
         "policies": known(t.policy_sales(src)).select("phone9", F.col("sale_ts").alias("ts")),
         "messages": messages.withColumn("ts", F.col("sent_ts")),
-        "replies": known(msg.inbound(status, since)).select("phone9", F.col("reply_ts").alias("ts")),
+        "replies": known(replies).select("phone9", F.col("reply_ts").alias("ts")),
     }
 
 
@@ -167,11 +174,13 @@ def add_channel_factor(df: DataFrame, src: Sources) -> DataFrame:
     return lookup(df, factors, "last_channel_key")
 
 
-def features_now(people: DataFrame, src: Sources, as_of: datetime, p: Params) -> DataFrame:
-    """Pool rows with raw columns and ``f_*`` levels as of the run time. Streams are read for these people only."""
+def features_now(people: DataFrame, src: Sources, as_of: datetime, p: Params, log: MessageLog | None = None) -> DataFrame:
+    """Pool rows with raw columns and ``f_*`` levels as of the run time. Streams are read for these people only, message
+    states from the first day that can count."""
     anchor = at(as_of)
     measures = [*history_measures(p, ZERO), FIRST_LEAD]
-    measured = measures_at(streams(src, p, people.select("phone9").distinct()), "phone9", anchor, measures)
+    known = None if log is None else log.since(first_moment(as_of, p))
+    measured = measures_at(streams(src, p, people.select("phone9").distinct(), log=known), "phone9", anchor, measures)
     raw = add_channel_factor(raw_features(lookup(people, measured, "phone9"), anchor), src)
     raw = raw.withColumn("segment", F.col("audience")).withColumn("first_all", F.col("first_all_src"))
     levels = {f"f_{name}": col for name, col in feature_columns().items()}

@@ -167,8 +167,8 @@ def outcome_measures(p: Params) -> list[Measure]:
         Measure("n_calls_7d_after", "calls", "count", ZERO, days(CALL_DAYS)),
         Measure("first_salemade_call_after", "calls", "first", ZERO, None, sale),
         Measure("first_quote_after_ts", "quotes", "first", ZERO, days(SALE_DAYS), "not sold"),
-        Measure("golden_sale_ts", "quotes", "first", ZERO, days(SALE_DAYS), "sold"),
-        Measure("mtr_sale_ts", "policies", "first", ZERO, days(SALE_DAYS)),
+        Measure("quote_sale_ts", "quotes", "first", ZERO, days(SALE_DAYS), "sold"),
+        Measure("policy_sale_ts", "policies", "first", ZERO, days(SALE_DAYS)),
         Measure("n_sales_before", "policies", "count", None, ZERO),
         Measure("n_wa_sent_7d_after", "messages", "count", ZERO, days(CALL_DAYS)),
         Measure("first_reply_ts", "replies", "first", ZERO, days(REPLY_DAYS)),
@@ -189,7 +189,7 @@ def labels(df: DataFrame) -> DataFrame:
     earlier click, and a sale call within a day of the sale)."""
     click, sale = F.col("first_click_ts"), F.col("sale_ts")
     near = F.abs(hour_diff(sale, F.col("first_salemade_call_after"))) <= PHONE_SALE_HOURS
-    return df.withColumn("sale_ts", earliest(F.col("mtr_sale_ts"), F.col("golden_sale_ts"))).withColumns({
+    return df.withColumn("sale_ts", earliest(F.col("policy_sale_ts"), F.col("quote_sale_ts"))).withColumns({
         "click_7d": _bit(click < F.col("anchor_ts") + F.make_dt_interval(days=F.lit(CLICK_DAYS))),
         "reply_7d": _bit(F.col("first_reply_ts").isNotNull()),
         "quote_14d": _bit(F.col("first_quote_after_ts").isNotNull()),
@@ -211,7 +211,7 @@ FRAME_COLUMNS = (
     "n_replies_180d", "sold_before_anchor", "prev_disc_campaign", "prev_disc_offer_pct", "n_prev_campaign_rows",
     "prev_disc_msg_status", "days_since_prev_disc_msg", "n_wa_delivered_180d", "n_wa_failed_180d",
     "days_since_last_disc_msg", "n_disc_delivered_28d", "n_calls_7d_after", "n_wa_sent_7d_after", "first_click_ts",
-    "first_other_lead_ts", "first_reply_ts", "first_quote_after_ts", "mtr_sale_ts", "golden_sale_ts",
+    "first_other_lead_ts", "first_reply_ts", "first_quote_after_ts", "policy_sale_ts", "quote_sale_ts",
     "first_salemade_call_after", "sale_ts", "click_7d", "reply_7d", "quote_14d", "sale_14d", "msg_path_sale",
     "phone_path_sale",
 )

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from tideline.operators.sets import if_empty
 from tideline.params import Params
 from tideline.plans import audience as aud
-from tideline.plans import checks, eligibility, frame, ledger, metrics, pick, registry, scoring, training
-from tideline.plans.features import FEATURES, features_from_frame
+from tideline.plans import checks, eligibility, frame, ledger, message_log, metrics, pick, registry, scoring, training
+from tideline.plans.features import FEATURES, OPTIONAL_FEATURES, features_from_frame
 from tideline.session import materialise
 from tideline.sources import sinks
 from tideline.sources.tables import REGISTRY, TEMPLATES, WEIGHTS, FolderSources
+from tideline.sources.versions import Journal
 
 
 def quota_profile(p: Params) -> Params:
@@ -34,11 +35,9 @@ def setup_tables(src: FolderSources, now: datetime, weights: DataFrame | None =
         rows = sinks.conform(templates, TEMPLATES, {"added_at": now})
         sinks.append(sinks.add_missing(src.table("discount_templates"), rows, "template_id"), src.path("discount_templates"))
     if seed is not None:
-        current = src.table("model_registry")
-        if current.isEmpty():
-            values = {"status": registry.CHAMPION, "created_at": now, "promoted_at": now, **seed}
-            row = src.spark.createDataFrame([tuple(values.get(f.name) for f in REGISTRY.fields)], REGISTRY)
-            sinks.append(row, src.path("model_registry"))
+        values = {"status": registry.CHAMPION, "created_at": now, "promoted_at": now, **seed}
+        row = src.spark.createDataFrame([tuple(values.get(f.name) for f in REGISTRY.fields)], REGISTRY)
+        sinks.append(if_empty(row, src.table("model_registry")), src.path("model_registry"))
 
 
 def run_summary(audience: DataFrame, send: DataFrame | None = None) -> DataFrame:
@@ -49,6 +48,16 @@ def run_summary(audience: DataFrame, send: DataFrame | None = None) -> DataFrame
     return out.join(send.agg(F.count("*").alias("send_rows")), F.lit(True))
 
 
+def log_rows(src: FolderSources, rows: DataFrame, run: str) -> None:
+    """Append to the ledger once for each run. A run that is repeated finds its mark; without one, rows that are logged
+    already are left out by their keys."""
+    path = src.path("ledger")
+    if path.startswith("table:"):
+        sinks.append(rows, path, ["selected_date"])
+    else:
+        sinks.append_once(rows, path, run, ["selected_date"])
+
+
 def run_daily(src: FolderSources, as_of: datetime, p: Params, daily_n: int | None = None,
               quota: bool = False, score_only: bool = False) -> DataFrame:
     """Score everybody, pick, log the picks, write the send list; returns the summary row.
@@ -58,17 +67,18 @@ def run_daily(src: FolderSources, as_of: datetime, p: Params, daily_n: int | Non
     """
     p = quota_profile(p) if quota else p
     version, _ = registry.champion_version(src.table("model_registry"))
-    sinks.replace(aud.build(src, as_of, p, version, keep=materialise), src.path("audience"))
+    log = message_log.refresh(src, as_of, p)
+    sinks.replace(aud.build(src, as_of, p, version, keep=materialise, log=log), src.path("audience"))
     audience = src.table("audience")
     if score_only:
         return run_summary(audience)
     if daily_n is None:
         daily_n = p.quota_n if quota else pick.daily_volume(audience, p).first()["daily_n"]
-    log = src.table("ledger")
+    logged = src.table("ledger")
     new = pick.pick_quota(audience, daily_n, as_of, p) if quota else pick.pick_capped(audience, daily_n, p)
-    sinks.replace(pick.pick_idempotent(new, audience, log, as_of.date()), src.path("picked_today"))
+    sinks.replace(pick.pick_idempotent(new, audience, logged, as_of.date()), src.path("picked_today"))
     picked = src.table("picked_today")
-    sinks.append(ledger.pick_rows(picked, log, as_of), src.path("ledger"), ["selected_date"])
+    log_rows(src, ledger.pick_rows(picked, logged, as_of), f"picks-{as_of:%Y%m%d}")
     guard = eligibility.do_not_message(src, as_of, p)
     sinks.replace(ledger.send_list(picked, guard, as_of.date()), src.path("send_today"))
     return run_summary(audience, src.table("send_today"))
@@ -77,7 +87,7 @@ def run_daily(src: FolderSources, as_of: datetime, p: Params, daily_n: int | Non
 def run_confirm(src: FolderSources, as_of: datetime) -> DataFrame:
     """Log confirmed sends, then take them off the list; returns (confirmed, unsent)."""
     send, picked = src.table("send_today"), src.table("picked_today")
-    sinks.append(ledger.confirm_rows(picked, send, src.table("ledger"), as_of), src.path("ledger"), ["selected_date"])
+    log_rows(src, ledger.confirm_rows(picked, send, src.table("ledger"), as_of), f"confirm-{as_of:%Y%m%dT%H%M%S%f}")
     sinks.replace(ledger.remaining(send), src.path("send_today"), reads_target=True)
     today = src.table("ledger").filter((F.col("selected_date") == F.lit(as_of.date())) & F.col("was_sent"))
     left = src.table("send_today").agg(F.count("*").alias("unsent"))
@@ -101,79 +111,91 @@ def _one(df: DataFrame) -> dict:
     return row.asDict() if row is not None else {}
 
 
+LABELS = {"deliver": "delivered", "click": "click_7d"}
+
+
+def _only(model: str):
+    """Rows a model learns from: clicks are judged among delivered messages."""
+    return F.col("delivered") == 1 if model == "click" else F.lit(True)
+
+
+def joint(scored: DataFrame, name: str) -> DataFrame:
+    """z of both models to the probability of a click."""
+    return scored.withColumn(name, scoring.sigmoid(F.col("z_deliver")) * scoring.sigmoid(F.col("z_click")))
+
+
 def train_and_compare(rows: DataFrame, p: Params, version: str, champion_weights: DataFrame | None = None,
-                      champion_through=None, features=FEATURES, c: float | None = None) -> dict:
+                      champion_through=None, features: Sequence[str] | None = None, c: float | None = None) -> dict:
     """Validate on the newest batch, compare with the champion on the same rows, refit on all.
 
-    ``rows`` come from ``training.prepare``; they are persisted for the many passes.
+    ``rows`` come from ``training.prepare``; what the many passes read is written once.
     """
-    spark = rows.sparkSession
-    data = features_from_frame(training.split_latest(rows, p))
-    data = data.withColumn("row_key", F.concat_ws("|", "campaign", "segment", "phone9")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        test, train = data.filter("is_test"), data.filter(~F.col("is_test"))
-        label = {"deliver": "delivered", "click": "click_7d"}
-        only = {"deliver": F.lit(True), "click": F.col("delivered") == 1}
-        trial = {m: training.fit(train.filter(only[m]), features, label[m], "row_key", p, c) for m in label}
-        z = {m: f.z() for m, f in trial.items()}
-        scored = test.withColumns({f"p_{m}": scoring.sigmoid(z[m]) for m in z}).withColumn("p", F.col("p_deliver") * F.col("p_click"))
-        challenger = _one(metrics.evaluate(scored, "p", "click_7d", "row_key"))
-        challenger["deliver_auc"] = _one(metrics.auc(scored, "p_deliver", "delivered"))["auc"]
-        by_segment = metrics.evaluate(scored, "p", "click_7d", "row_key", by=["segment"])
-        start = test.agg(F.min("anchor_ts")).first()[0]
-        champion = None
-        if champion_weights is not None and registry.comparable(champion_through, start) and not champion_weights.isEmpty():
-            old = scoring.score_wide(test, champion_weights, "row_key", features)
-            old = old.withColumn("p", scoring.sigmoid(F.col("z_deliver") + _intercept(champion_weights, "deliver"))
-                                 * scoring.sigmoid(F.col("z_click") + _intercept(champion_weights, "click")))
-            champion = _one(metrics.evaluate(old, "p", "click_7d", "row_key"))
-
-        final = {m: training.fit(data.filter(only[m]), features, label[m], "row_key", p, c) for m in label}
-        for m, f in final.items():
-            f.shift = training.recalibrate(test.filter(only[m]), f.z(), label[m])
-        weights = training.weights_table(spark, final, version)
-        error = training.max_lookup_error(data, final, weights, version, features, "row_key")
-        if error > p.self_check_tolerance:
-            raise RuntimeError(f"weights do not reproduce the models: {error:.2e}")
-        counts = _one(train.agg(F.count("*").alias("train_rows"), F.sum("click_7d").alias("train_clicks")))
-        through = data.agg(F.max("anchor_ts")).first()[0].date()
-        batches = [r[0] for r in test.groupBy("batch").agg(F.max("batch_start").alias("s")).orderBy(F.col("s").desc(), "batch").collect()]
-        return {
-            "weights": weights, "challenger": challenger, "champion": champion,
-            "by_segment": [r.asDict() for r in by_segment.collect()], "test_batches": batches, **counts,
-            "trained_through": through, "self_check": error, "fits": final,
-        }
-    finally:
-        data.unpersist()
-
-
-def _intercept(weights: DataFrame, model: str):
-    row = weights.filter((F.col("model") == model) & (F.col("feature") == "intercept")).first()
-    return F.lit(float(row["coef"]))
+    if features is None:
+        features = FEATURES + OPTIONAL_FEATURES if p.optional_features else FEATURES
+    data = features_from_frame(training.split_latest(rows, p), p.optional_features)
+    names = ("segment", "batch", "batch_start", "anchor_ts", "is_test", "delivered", "click_7d", *[f"f_{f}" for f in features])
+    data = materialise(data.select(F.concat_ws("|", "campaign", "segment", "phone9").alias("row_key"), *names))
+    test, train = data.filter("is_test"), data.filter(~F.col("is_test"))
+    trial = {m: training.fit(train.filter(_only(m)), features, LABELS[m], "row_key", p, c) for m in LABELS}
+    scored = joint(scoring.add_z(test, training.weights_of(trial), "row_key", features), "p").withColumn("p_deliver", scoring.sigmoid(F.col("z_deliver")))
+    scored = scored.drop("z_deliver", "z_click")
+    judged = {"challenger": "p"}
+    start = test.agg(F.min("anchor_ts")).first()[0]
+    if champion_weights is not None and registry.comparable(champion_through, start) and not champion_weights.isEmpty():
+        scored = joint(scoring.add_z(scored, champion_weights, "row_key", features), "p_champion")
+        judged["champion"] = "p_champion"
+    scored = materialise(scored)
+    both = {r["which"]: {k: v for k, v in r.asDict().items() if k not in ("which", "auc_gap")}
+            for r in metrics.compare(scored, judged, "click_7d", "row_key").collect()}
+    challenger = both["challenger"]
+    challenger["deliver_auc"] = _one(metrics.auc(scored, "p_deliver", "delivered"))["auc"]
+    by_segment = metrics.evaluate(scored, "p", "click_7d", "row_key", by=["segment"])
+
+    final = {m: training.fit(data.filter(_only(m)), features, LABELS[m], "row_key", p, c) for m in LABELS}
+    again = materialise(scoring.add_z(test, training.weights_of(final), "row_key", features).select("delivered", "click_7d", "z_deliver", "z_click"))
+    for m, f in final.items():
+        f.shift = training.recalibrate(again.filter(_only(m)), F.col(f"z_{m}"), LABELS[m])
+    weights = materialise(training.weights_table(final, version))
+    check = training.self_check(data, final, scoring.of_version(weights, version), features, "row_key")
+    if check["max_error"] > p.self_check_tolerance or check["nulls"]:
+        raise RuntimeError(f"weights do not reproduce the models: {check}")
+    counts = _one(train.agg(F.count("*").alias("train_rows"), F.sum("click_7d").alias("train_clicks")))
+    through = data.agg(F.max("anchor_ts")).first()[0].date()
+    batches = [r[0] for r in test.groupBy("batch").agg(F.max("batch_start").alias("s")).orderBy(F.col("s").desc(), "batch").collect()]
+    return {
+        "weights": weights, "challenger": challenger, "champion": both.get("champion"),
+        "by_segment": [r.asDict() for r in by_segment.collect()], "test_batches": batches, **counts,
+        "trained_through": through, "self_check": check, "fits": final,
+    }
 
 
 def retrain(src: FolderSources, as_of: datetime, p: Params, dry_run: bool = False,
             skip_build: bool = False, force: bool = False) -> dict:
     """Rebuild the frame, train, compare, gate and publish. The frame never leaves Spark.
 
-    A run that fails leaves a report too, with status ``failed`` and the reason.
+    Each finished step is noted in a journal: a run that failed and is started again for the same time goes on after its
+    last finished step (the frame is not rebuilt). A run that fails, at whatever step, leaves a report with status
+    ``failed`` and the reason.
     """
     version = f"{p.model_name}{as_of:%Y%m%d}"
+    steps = Journal(src.spark, src.path("run_steps"), f"{version}-{as_of:%H%M%S}")
     asked = {"version": version, "started": as_of, "dry_run": dry_run, "skip_build": skip_build, "force": force}
     try:
-        report = _retrain(src, as_of, p, version, asked)
+        report = _retrain(src, as_of, p, version, asked, steps)
+        sinks.write_report(report_row(src.spark, report), src.path("run_reports"))
     except Exception as error:
         failed = asked | {"status": "failed", "gate_reasons": [f"{type(error).__name__}: {error}"[:500]]}
         sinks.write_report(report_row(src.spark, failed), src.path("run_reports"))
         raise
-    sinks.write_report(report_row(src.spark, report), src.path("run_reports"))
+    steps.clear()
     return report
 
 
-def _retrain(src: FolderSources, as_of: datetime, p: Params, version: str, asked: Mapping) -> dict:
+def _retrain(src: FolderSources, as_of: datetime, p: Params, version: str, asked: Mapping, steps: Journal) -> dict:
     skip_build, dry_run, force = asked["skip_build"], asked["dry_run"], asked["force"]
-    if not skip_build:
+    if not skip_build and not steps.done("frame"):
         sinks.replace(frame.build(src, as_of, p, keep=materialise), src.path("training_frame"), ["campaign"])
+        steps.mark("frame")
     data = src.table("training_frame").drop("audience_id")
     rows = training.prepare(data, src.table("discount_templates"), p)
     reg = src.table("model_registry")
@@ -188,8 +210,9 @@ def _retrain(src: FolderSources, as_of: datetime, p: Params, version: str, asked
         "train_rows": out["train_rows"], "train_clicks": out["train_clicks"],
         "trained_through": out["trained_through"], "by_segment": out["by_segment"],
     }
-    if not dry_run:
+    if not dry_run and not steps.done("published"):
         publish(src, out, verdict, version, report["champion_version"], as_of)
+        steps.mark("published")
     return report
 
 
@@ -208,17 +231,16 @@ def publish(src: FolderSources, out: Mapping, verdict: registry.Verdict, version
     sinks.replace(registry.record(src.table("model_registry"), row, verdict, now), src.path("model_registry"), reads_target=True)
 
 
+METRIC = "rows:bigint,clicks:bigint,auc:double,top10_capture:double,top30_capture:double,top50_capture:double"
+REPORT = {
+    "version": "string", "started": "timestamp_ntz", "status": "string", "gate_reasons": "array<string>",
+    "challenger": f"struct<{METRIC},deliver_auc:double>", "champion": f"struct<{METRIC},deliver_auc:double>", "champion_version": "string",
+    "test_batches": "array<string>", "train_rows": "bigint", "train_clicks": "bigint", "trained_through": "date",
+    "by_segment": f"array<struct<segment:string,{METRIC}>>", "dry_run": "boolean", "skip_build": "boolean", "force": "boolean",
+}
+
+
 def report_row(spark: SparkSession, report: Mapping) -> DataFrame:
-    """Run report as a one-row frame with nested metrics."""
-    metric = "struct<rows:bigint,clicks:bigint,auc:double,top10_capture:double,top30_capture:double,top50_capture:double,deliver_auc:double>"
-    schema = (
-        "version string, started timestamp_ntz, status string, gate_reasons array<string>, "
-        f"challenger {metric}, champion {metric}, champion_version string, test_batches array<string>, "
-        "train_rows bigint, train_clicks bigint, trained_through date, "
-        f"by_segment map<string,{metric}>, dry_run boolean, skip_build boolean, force boolean")
-    data = dict(report)
-    data["by_segment"] = {r["segment"]: {k: v for k, v in r.items() if k != "segment"} for r in report.get("by_segment", ())}
-    names = [f.split()[0] for f in (
-        "version", "started", "status", "gate_reasons", "challenger", "champion", "champion_version", "test_batches",
-        "train_rows", "train_clicks", "trained_through", "by_segment", "dry_run", "skip_build", "force")]
-    return spark.createDataFrame([tuple(data.get(n) for n in names)], schema)
+    """Run report as a one-row frame with nested metrics; a NULL segment is a segment."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in REPORT.items())
+    return spark.createDataFrame([tuple(report.get(name) for name in REPORT)], schema)

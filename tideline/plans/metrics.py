@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tideline.operators.keep import spread_rank
 from tideline.session import materialise
 
-# A row without a score ranks below every probability.
-NO_SCORE = -1.0
+# A row without a score ranks below every score.
+NO_SCORE = float("-inf")
 CAPTURE = (10, 30, 50)
 
 
@@ -72,7 +72,8 @@ def evaluate(
     exactly at a cut need a rank; all others are counted from the score table. Rows without a
     score come last.
     """
-    df = df.withColumn(score, F.coalesce(F.col(score), F.lit(NO_SCORE)))
+    # The narrow rows are read by the ranges, the totals and the cuts: written once.
+    df = materialise(df.select(*by, key, F.coalesce(F.col(score), F.lit(NO_SCORE)).alias(score), label))
     table = score_table(df, score, label, by)
     cuts = table.select("*", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
     size = F.floor(F.col("n_all") * F.col("k") / 100)
@@ -101,6 +102,18 @@ def evaluate(
     return joined.withColumns(capture).select(*by, "rows", "clicks", "auc", *capture)
 
 
+def compare(df: DataFrame, scores: Mapping[str, str], label: str, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """Several scores judged on the same rows: (by, which, rows, clicks, auc, captures, auc_gap), ``auc_gap`` against the first.
+
+    All scores go through one ranking, as groups of one table of (which, score).
+    """
+    long = df.select(*by, key, label, F.explode(F.array(*[
+        F.struct(F.lit(name).alias("which"), F.col(c).cast("double").alias("s")) for name, c in scores.items()])).alias("_j"))
+    judged = evaluate(long.select(*by, key, label, "_j.which", "_j.s"), "s", label, key, by=[*by, "which"])
+    first = F.max(F.when(F.col("which") == next(iter(scores)), F.col("auc"))).over(Window.partitionBy(*(by or [F.lit(0)])))
+    return judged.withColumn("auc_gap", F.col("auc") - first)
+
+
 def status_click_rate(frame: DataFrame) -> DataFrame:
     """Sends and click rate per final status."""
     sent = frame.filter(F.col("send_status").isNotNull())

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.params import Params
@@ -49,23 +48,9 @@ class Verdict:
         return CHAMPION if self.promote else REJECTED
 
 
-def gate(challenger: Mapping[str, float], champion_metrics: Mapping[str, float] | None, p: Params, force: bool = False) -> Verdict:
-    """Enough clicks, AUC above the floor, and not clearly below the champion."""
-    reasons = []
-    auc = challenger.get("auc")
-    auc = math.nan if auc is None else auc
-    if challenger["clicks"] < p.gate_min_clicks:
-        reasons.append(f"test batch has {challenger['clicks']} clicks, {p.gate_min_clicks} are needed")
-    if not auc >= p.gate_min_auc:
-        reasons.append(f"AUC {auc:.3f} is below the floor {p.gate_min_auc}")
-    best = None if champion_metrics is None else champion_metrics.get("auc")
-    if best is not None and auc < best - p.gate_tolerance:
-        reasons.append(f"AUC {auc:.3f} is more than {p.gate_tolerance} below the champion's {best:.3f}")
-    return Verdict(force or not reasons, tuple(reasons))
-
-
 def gate_columns(df: DataFrame, p: Params) -> DataFrame:
-    """The same gate for a table of candidate metrics (clicks, auc, champion_auc)."""
+    """The gate over a table of candidate metrics (clicks, auc, champion_auc): enough clicks, AUC above the floor, and
+    not clearly below the champion. Adds ``gate_reasons`` (codes) and ``status``."""
     auc = F.coalesce("auc", F.lit(float("-inf")))
     few = F.col("clicks") < p.gate_min_clicks
     weak = F.isnan(auc) | (auc < p.gate_min_auc)
@@ -76,6 +61,21 @@ def gate_columns(df: DataFrame, p: Params) -> DataFrame:
         "status", F.when(F.size(reasons) == 0, F.lit(CHAMPION)).otherwise(F.lit(REJECTED)))
 
 
+def gate(challenger: Mapping[str, float], champion_metrics: Mapping[str, float] | None, p: Params, force: bool = False) -> Verdict:
+    """``gate_columns`` for one challenger, with its reasons in words."""
+    best = None if champion_metrics is None else champion_metrics.get("auc")
+    one = SparkSession.active().createDataFrame(
+        [(challenger["clicks"], challenger.get("auc"), best)], "clicks long, auc double, champion_auc double")
+    row = gate_columns(one, p).first()
+    words = {
+        "few_clicks": f"test batch has {row['clicks']} clicks, {p.gate_min_clicks} are needed",
+        "low_auc": f"AUC {row['auc']} is below the floor {p.gate_min_auc}",
+        "below_champion": f"AUC {row['auc']} is more than {p.gate_tolerance} below the champion's {best}",
+    }
+    reasons = tuple(words[code] for code in row["gate_reasons"].split(",") if code)
+    return Verdict(force or not reasons, reasons)
+
+
 def record(registry: DataFrame, row: Mapping[str, object], verdict: Verdict, now: datetime) -> DataFrame:
     """Registry after a retrain: the old champion retires only when the new one is promoted."""
     values = {**row, "status": verdict.status, "created_at": now,

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tideline.operators.sets import with_scalar
 
 MODELS = ("deliver", "click")
+INTERCEPT = "intercept"
+
 
 def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
@@ -29,20 +31,28 @@ def to_long(df: DataFrame, key: str, features: Sequence[str], prefix: str = "f_"
     return named.unpivot([key], list(features), "feature", "feature_level").filter(F.col("feature_level").isNotNull())
 
 
-def intercepts(weights: DataFrame) -> DataFrame:
-    one = weights.filter(F.col("feature") == "intercept")
-    missing = {m: F.raise_error(F.lit(f"no intercept for model {m}")).cast("double") for m in MODELS}
-    return one.agg(*[F.coalesce(F.max(F.when(F.col("model") == m, F.col("coef"))), missing[m]).alias(f"b_{m}") for m in MODELS])
+def intercepts(weights: DataFrame, models: Sequence[str] = MODELS) -> DataFrame:
+    one = weights.filter(F.col("feature") == INTERCEPT)
+    missing = {m: F.raise_error(F.lit(f"no intercept for model {m}")).cast("double") for m in models}
+    return one.agg(*[F.coalesce(F.max(F.when(F.col("model") == m, F.col("coef"))), missing[m]).alias(f"b_{m}") for m in models])
 
 
-def z_scores(long: DataFrame, weights: DataFrame, key: str) -> DataFrame:
+def z_scores(long: DataFrame, weights: DataFrame, key: str, models: Sequence[str] = MODELS) -> DataFrame:
     """Sum of weights per key and model; levels without a weight add nothing."""
-    w = weights.filter(F.col("feature") != "intercept")
-    # One row per (feature, level) with both weights: the join never multiplies rows.
+    w = weights.filter(F.col("feature") != INTERCEPT)
+    # One row per (feature, level) with all weights: the join never multiplies rows.
     both = w.groupBy("feature", "feature_level").agg(
-        *[F.sum(F.when(F.col("model") == m, F.col("coef"))).alias(f"w_{m}") for m in MODELS])
+        *[F.sum(F.when(F.col("model") == m, F.col("coef"))).alias(f"w_{m}") for m in models])
     hit = long.join(both, ["feature", "feature_level"], "left")
-    return hit.groupBy(key).agg(*[F.coalesce(F.sum(f"w_{m}"), F.lit(0.0)).alias(f"z_{m}") for m in MODELS])
+    return hit.groupBy(key).agg(*[F.coalesce(F.sum(f"w_{m}"), F.lit(0.0)).alias(f"z_{m}") for m in models])
+
+
+def add_z(df: DataFrame, weights: DataFrame, key: str, features: Sequence[str], models: Sequence[str] = MODELS, prefix: str = "f_") -> DataFrame:
+    """Adds z_<model>, intercept included; the key is unique."""
+    z = z_scores(to_long(df, key, features, prefix), weights, key, models)
+    both = with_scalar(df.join(z, key, "left"), intercepts(weights, models))
+    names = [f"b_{m}" for m in models]
+    return both.withColumns({f"z_{m}": F.coalesce(f"z_{m}", F.lit(0.0)) + F.col(f"b_{m}") for m in models}).drop(*names)
 
 
 def add_probabilities(df: DataFrame) -> DataFrame:
@@ -90,8 +100,8 @@ def z_column(maps: dict[str, dict[str, float]], features: Sequence[str], prefix:
 def score_wide(df: DataFrame, weights: DataFrame, key: str, features: Sequence[str], prefix: str = "f_") -> DataFrame:
     """Row-wise form: the weights become constant maps in the plan, so scoring is a projection.
 
-    Same rows and values as ``score_long``, which suits models of many thousand weights better;
-    the caller chooses (``long_form`` of the audience plan).
+    Same rows and values as ``score_long``. All weights go through the driver into the plan, so this form is for
+    tables known to be small; the caller chooses it (``constant_weights`` of the audience plan).
     """
     maps = weight_maps(weights)
     for m in MODELS:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -17,11 +15,13 @@ from tideline.functions import clean
 from tideline.operators.keep import spread_rank
 from tideline.operators.sets import lookup
 from tideline.params import Params
-from tideline.plans import metrics
+from tideline.plans import metrics, solver
+from tideline.plans.encoding import POOLED, Dictionary, cells, level_counts, part_of, pool_levels
 from tideline.plans.frame import CONTROL
-from tideline.plans.scoring import sigmoid, z_column
+from tideline.plans.scoring import INTERCEPT, add_z, sigmoid, to_long
+from tideline.session import materialise
 
-POOLED = "__infrequent__"
+__all__ = ["POOLED", "level_counts", "pool_levels"]
 
 
 # ---- rows ----------------------------------------------------------------------------
@@ -65,108 +65,60 @@ def split_latest(rows: DataFrame, p: Params) -> DataFrame:
     return lookup(rows, batches.select("batch", "is_test"), "batch")
 
 
-# ---- encoding ------------------------------------------------------------------------
-
-
-def level_counts(df: DataFrame, features: Sequence[str], prefix: str = "f_") -> DataFrame:
-    """(feature, feature_level, n) in one pass."""
-    from tideline.plans.scoring import to_long
-
-    keyed = df.select(F.lit(1).alias("_one"), *[f"{prefix}{f}" for f in features])
-    return to_long(keyed, "_one", features, prefix).groupBy("feature", "feature_level").agg(F.count("*").alias("n"))
-
-
-def pool_levels(counts: DataFrame, min_frequency: int) -> DataFrame:
-    """Adds ``slot``: the level itself, or one shared slot for all rare levels of the feature."""
-    return counts.withColumn("slot", F.when(F.col("n") < min_frequency, F.lit(POOLED)).otherwise(F.col("feature_level")))
-
-
-@dataclass
-class Encoding:
-    """Feature -> level -> slot, with a fixed slot order."""
-
-    features: tuple[str, ...]
-    slots: Mapping[str, Mapping[str, str]]
-    order: Mapping[str, Sequence[str]] = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.order = {f: sorted(set(self.slots.get(f, {}).values())) for f in self.features}
-
-    @classmethod
-    def learn(cls, df: DataFrame, features: Sequence[str], min_frequency: int, prefix: str = "f_") -> Encoding:
-        pooled = pool_levels(level_counts(df, features, prefix), min_frequency)
-        got = pooled.select("feature", "feature_level", "slot").collect()  # the model itself: one entry for each level
-        slots: dict[str, dict[str, str]] = {}
-        for r in got:
-            slots.setdefault(r["feature"], {})[r["feature_level"]] = r["slot"]
-        return cls(tuple(features), slots)
-
-    def names(self) -> list[tuple[str, str]]:
-        return [(f, s) for f in self.features for s in self.order[f]]
-
-    def slot_columns(self, prefix: str = "f_") -> list[Column]:
-        """Level to slot; a level never seen becomes NULL, i.e. an all-zero block."""
-        out = []
-        for f in self.features:
-            pairs = [x for k, v in sorted(self.slots.get(f, {}).items()) for x in (F.lit(k), F.lit(v))]
-            slot = F.try_element_at(F.create_map(*pairs), F.col(f"{prefix}{f}")) if pairs else F.lit(None).cast("string")
-            out.append(slot.alias(f"s_{f}"))
-        return out
-
-    def vectoriser(self, df: DataFrame) -> PipelineModel:
-        """Slots to one sparse 0/1 vector; every level keeps its own position."""
-        used = [f for f in self.features if self.order[f]]
-        index = PipelineModel([
-            StringIndexerModel.from_labels(list(self.order[f]), f"s_{f}", f"i_{f}", handleInvalid="keep") for f in used])
-        # The index of unknown levels is the last one; dropping it leaves the zero block.
-        hot = OneHotEncoder(inputCols=[f"i_{f}" for f in used], outputCols=[f"v_{f}" for f in used],
-                            dropLast=True, handleInvalid="error").fit(index.transform(df.limit(1)))
-        joined = VectorAssembler(inputCols=[f"v_{f}" for f in used], outputCol="x")
-        return PipelineModel([*index.stages, hot, joined])
-
-
 # ---- fitting -------------------------------------------------------------------------
 
 
 @dataclass
 class Fit:
-    """A fitted logistic model: exact coefficients by slot, and the chosen C."""
+    """A fitted logistic model: a coefficient for each slot number, the intercept, and the chosen C."""
 
-    encoding: Encoding
-    coefs: Sequence[float]
+    dictionary: Dictionary
+    coefs: np.ndarray
     intercept: float
     c: float
     cv_auc: Mapping[float, float] = field(default_factory=dict)
     shift: float = 0.0
-    model: object = None
 
-    def level_weights(self) -> dict[str, dict[str, float]]:
-        by_slot = dict(zip(self.encoding.names(), self.coefs))
-        return {f: {lv: by_slot[(f, s)] for lv, s in self.encoding.slots.get(f, {}).items()} for f in self.encoding.features}
+    def slot_weights(self) -> DataFrame:
+        """(slot_no, coef)."""
+        table = pd.DataFrame({"slot_no": np.arange(len(self.coefs), dtype=np.int32), "coef": np.asarray(self.coefs, dtype=np.float64)})
+        return self.dictionary.table.sparkSession.createDataFrame(table, "slot_no int, coef double")
 
-    def z(self, prefix: str = "f_") -> Column:
-        return z_column(self.level_weights(), self.encoding.features, prefix) + F.lit(self.intercept + self.shift)
+    def weights(self) -> DataFrame:
+        """(feature, feature_level, coef), the shifted intercept among them; rare levels repeat their pooled weight."""
+        levels = self.dictionary.table.join(self.slot_weights(), "slot_no").select("feature", "feature_level", "coef")
+        one = levels.sparkSession.createDataFrame([(INTERCEPT, "", float(self.intercept + self.shift))], "feature string, feature_level string, coef double")
+        return levels.unionByName(one)
 
 
-def compress(df: DataFrame, encoding: Encoding, label: str, extra: Sequence[str] = ()) -> DataFrame:
-    """Equal rows of (slots, label, extra) become one weighted row: fits then iterate over the
-    distinct combinations of levels instead of all rows."""
-    slotted = df.select(*encoding.slot_columns(), F.col(label).cast("double").alias("y"), *extra)
-    return slotted.groupBy(*[f"s_{f}" for f in encoding.features], "y", *extra).agg(F.count("*").cast("double").alias("w"))
+def weights_of(fits: Mapping[str, Fit]) -> DataFrame:
+    """(model, feature, feature_level, coef) of several models, not rounded."""
+    parts = [f.weights().select(F.lit(m).alias("model"), "feature", "feature_level", "coef") for m, f in fits.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
-def fit_glm(vectors: DataFrame, c: float, p: Params, n: float | None = None):
-    """L2-penalised logistic regression: ½‖w‖² + C·Σ loss, free intercept.
+def design(rows: DataFrame, dictionary: Dictionary) -> DataFrame:
+    """Compressed rows as the solver reads them: equal sets of slots are one row; the intercept comes last."""
+    top = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(dictionary.sizes.items()) for x in (k, n)]), F.col("part"))
+    encoded = dictionary.encode(rows, "id")
+    part = F.col(dictionary.by).cast("int") if dictionary.by else F.lit(0)
+    return encoded.withColumn("part", part).withColumn("x", F.concat("x", F.array(top)))
 
-    Spark minimises the mean loss, hence the penalty 1/(C·n); columns are used as they are.
-    """
-    if n is None:
-        n = vectors.agg(F.sum("w")).first()[0]
-    if not n:
-        raise ValueError("no training rows")
-    return LogisticRegression(
-        featuresCol="x", labelCol="y", weightCol="w", regParam=1.0 / (c * n), elasticNetParam=0.0,
-        standardization=False, fitIntercept=True, maxIter=p.max_iter, tol=p.tol, family="binomial").fit(vectors)
+
+def fit_cells(held: DataFrame, features: Sequence[str], c: float, p: Params, cv: Mapping[float, float] | None = None) -> Fit:
+    """Fit on the compressed rows of ``encoding.cells``."""
+    counts = level_counts(held.withColumn("_w", F.col("pos") + F.col("neg")), features, weight="_w")
+    dictionary = Dictionary.number(counts, features, p.min_frequency)
+    sized = Dictionary(dictionary.features, dictionary.table, dictionary.sizes or {0: 0})
+    rows = materialise(design(held, sized).groupBy("part", "x").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    if sized.size <= p.newton_slots:
+        beta = solver.newton(rows, sized.sizes, [c], p.newton_iter)[0, c]
+    else:
+        beta = solver.first_order(rows, sized.size, c, p.max_iter, p.tol)
+    return Fit(sized, beta[:-1], float(beta[-1]), c, dict(cv or {}))
 
 
 def add_folds(df: DataFrame, label: str, key: str, folds: int, salt: str = "folds_v1") -> DataFrame:
@@ -175,31 +127,49 @@ def add_folds(df: DataFrame, label: str, key: str, folds: int, salt: str = "fold
     return dealt.withColumn("fold", F.pmod(F.col("_deal") - 1, F.lit(folds)).cast("int")).drop("_deal")
 
 
-def choose_c(df: DataFrame, features: Sequence[str], label: str, key: str, p: Params) -> dict[float, float]:
-    """Mean AUC over the folds for every C; encodings are learned on each training part.
+def fold_dictionary(held: DataFrame, features: Sequence[str], p: Params) -> Dictionary:
+    """Levels of each training part: what all rows have, less what the fold has."""
+    folds = F.explode(F.array(*[F.lit(k) for k in range(p.folds)])).alias("fold")
+    each = held.select("*", folds).withColumn("_w", F.col("pos") + F.col("neg") - part_of("pos", F.col("fold")) - part_of("neg", F.col("fold")))
+    counts = level_counts(each.where("_w > 0"), features, weight="_w", by=["fold"])
+    found = Dictionary.number(counts, features, p.min_frequency, by="fold")
+    return Dictionary(found.features, found.table, {k: found.sizes.get(k, 0) for k in range(p.folds)}, "fold")
+
 
-    Loops over folds x grid on the driver only start Spark jobs; rows stay on the executors.
+def fold_scores(held: DataFrame, features: Sequence[str], p: Params) -> DataFrame:
+    """(fold, c, rows, clicks, auc): every C judged on every fold by a model of the other folds.
+
+    One grouped table serves all: a training part is the total less its fold, and all problems take their Newton steps
+    together, one job for each step. Above ``newton_slots`` the problems are solved one after the other by Spark ML.
     """
-    folded = add_folds(df, label, key, p.folds).persist(StorageLevel.MEMORY_AND_DISK)
-    scores: dict[float, list[float]] = {c: [] for c in p.c_grid}
-    try:
-        for k in range(p.folds):
-            train, held = folded.filter(F.col("fold") != k), folded.filter(F.col("fold") == k)
-            enc = Encoding.learn(train, features, p.min_frequency)
-            small = compress(train, enc, label)
-            vec = enc.vectoriser(small)
-            vectors = vec.transform(small).select("x", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
-            held_vectors = vec.transform(compress(held, enc, label)).select("x", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
-            n = vectors.agg(F.sum("w")).first()[0]
-            for c in p.c_grid:
-                scored = fit_glm(vectors, c, p, n).transform(held_vectors).withColumn("s", vector_to_array("probability")[1])
-                got = metrics.auc(scored, "s", "y", weight="w").first()["auc"]
-                scores[c].append(float("nan") if got is None else got)
-            vectors.unpersist()
-            held_vectors.unpersist()
-    finally:
-        folded.unpersist()
-    return {c: sum(v) / len(v) for c, v in scores.items()}
+    dictionary = fold_dictionary(held, features, p)
+    own = {name: part_of(name, F.col("part")) for name in ("pos", "neg")}
+    rows = materialise(design(held, dictionary).select(
+        "part", "x", *[(F.col(n) - own[n]).alias(n) for n in own], *[own[n].alias(f"held_{n}") for n in own]
+    ).groupBy("part", "x").agg(*[F.sum(n).alias(n) for n in ("pos", "neg", "held_pos", "held_neg")]))
+    train = rows.where("pos + neg > 0")
+    if dictionary.size <= p.newton_slots:
+        betas = solver.newton(train, dictionary.sizes, p.c_grid, p.newton_iter)
+    else:
+        betas = {(k, c): solver.first_order(train.where(F.col("part") == k), n, c, p.max_iter, p.tol)
+                 for k, n in dictionary.sizes.items() for c in p.c_grid}
+    judged = [F.struct(F.lit(float(c)).alias("c"), sigmoid(F.expr(solver.score_sql({k: betas[k, c] for k in dictionary.sizes}))).alias("p")) for c in p.c_grid]
+    labels = [F.struct(F.lit(y).alias("y"), F.col(f"held_{n}").alias("w")) for y, n in ((1, "pos"), (0, "neg"))]
+    scored = rows.where("held_pos + held_neg > 0").select(F.col("part").alias("fold"), "held_pos", "held_neg", F.explode(F.array(*judged)).alias("s"))
+    long = scored.select("fold", "s.c", "s.p", F.explode(F.array(*labels)).alias("l")).select("fold", "c", "p", "l.y", "l.w").where("w > 0")
+    return metrics.auc(long, "p", "y", by=["fold", "c"], weight="w")
+
+
+def choose_c(df: DataFrame, features: Sequence[str], label: str, key: str, p: Params) -> dict[float, float]:
+    """Mean AUC over the folds for every C of the grid; a fold without an AUC makes the mean undefined."""
+    return mean_auc(fold_scores(cells(add_folds(df, label, key, p.folds), features, label, "fold"), features, p), p)
+
+
+def mean_auc(scores: DataFrame, p: Params) -> dict[float, float]:
+    got: dict[float, list[float]] = {c: [] for c in p.c_grid}
+    for r in scores.collect():  # folds times grid
+        got[r["c"]].append(float("nan") if r["auc"] is None else r["auc"])
+    return {c: sum(v) / len(v) if v else float("nan") for c, v in got.items()}
 
 
 def best_c(scores: Mapping[float, float]) -> float:
@@ -212,29 +182,22 @@ def best_c(scores: Mapping[float, float]) -> float:
 
 
 def fit(df: DataFrame, features: Sequence[str], label: str, key: str, p: Params, c: float | None = None) -> Fit:
-    """Choose C by cross-validation (unless given) and fit on all rows."""
-    cv: dict[float, float] = {}
-    if c is None:
-        cv = choose_c(df, features, label, key, p)
-        c = best_c(cv)
-    enc = Encoding.learn(df, features, p.min_frequency)
-    small = compress(df, enc, label)
-    vec = enc.vectoriser(small)
-    vectors = vec.transform(small).select("x", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit_glm(vectors, c, p)
-    finally:
-        vectors.unpersist()
-    return Fit(enc, [float(v) for v in model.coefficients.toArray()], float(model.intercept), c, cv,
-               model=PipelineModel([*vec.stages, model]))
+    """Choose C by cross-validation (unless it is given, or the grid leaves no choice) and fit on all rows, read once."""
+    if c is None and len(p.c_grid) == 1:
+        c = p.c_grid[0]
+    if c is not None:
+        return fit_cells(cells(df, features, label), features, c, p)
+    held = cells(add_folds(df, label, key, p.folds), features, label, "fold")
+    cv = mean_auc(fold_scores(held, features, p), p)
+    return fit_cells(held, features, best_c(cv), p, cv)
 
 
-def model_probability(fitted: Fit, df: DataFrame, name: str) -> DataFrame:
-    """Adds the probability of the Spark ML model itself (with the recalibrated intercept)."""
-    slotted = df.select("*", *fitted.encoding.slot_columns())
-    out = fitted.model.transform(slotted)
-    raw = vector_to_array("rawPrediction")[1]
-    return out.withColumn(name, sigmoid(raw + F.lit(fitted.shift))).select(*df.columns, name)
+def own_z(fitted: Fit, df: DataFrame, key: str, name: str, prefix: str = "f_") -> DataFrame:
+    """Adds the model's own z, by way of slot numbers (the weight table has no part in it)."""
+    hit = to_long(df, key, fitted.dictionary.features, prefix).join(
+        fitted.dictionary.table.select("feature", "feature_level", "slot_no"), ["feature", "feature_level"]).join(fitted.slot_weights(), "slot_no")
+    z = hit.groupBy(key).agg(F.sum("coef").alias(name))
+    return df.join(z, key, "left").withColumn(name, F.coalesce(name, F.lit(0.0)) + F.lit(fitted.intercept + fitted.shift))
 
 
 def recalibrate(df: DataFrame, z: Column, label: str, lo: float = -3.0, hi: float = 3.0,
@@ -264,33 +227,27 @@ def recalibrate(df: DataFrame, z: Column, label: str, lo: float = -3.0, hi: floa
 # ---- publishing ------------------------------------------------------------------------
 
 
-def weight_rows(fits: Mapping[str, Fit], version: str) -> list[tuple]:
-    """(model_version, feature, feature_level, coef): rare levels repeat their pooled weight."""
-    out = []
-    for model, f in fits.items():
-        for feature, levels in f.level_weights().items():
-            out += [(f"{version}_{model}", feature, level, round(w, 4)) for level, w in sorted(levels.items())]
-        out.append((f"{version}_{model}", "intercept", "", round(f.intercept + f.shift, 4)))
-    return out
-
+def weights_table(fits: Mapping[str, Fit], version: str) -> DataFrame:
+    """(model_version, feature, feature_level, coef): the published weights, four digits each."""
+    return weights_of(fits).select(F.concat(F.lit(f"{version}_"), "model").alias("model_version"), "feature", "feature_level", F.round("coef", 4).alias("coef"))
 
-def weights_table(spark: SparkSession, fits: Mapping[str, Fit], version: str) -> DataFrame:
-    schema = "model_version string, feature string, feature_level string, coef double"
-    return spark.createDataFrame(weight_rows(fits, version), schema)
 
+def self_check(df: DataFrame, fits: Mapping[str, Fit], weights: DataFrame, features: Sequence[str], key: str) -> dict:
+    """Score every row by the published weights and by the models themselves, in one pass.
 
-def max_lookup_error(df: DataFrame, fits: Mapping[str, Fit], weights: DataFrame, version: str, features: Sequence[str], key: str) -> float:
-    """Largest difference between lookup scores and the models' own scores."""
-    from tideline.plans.scoring import of_version, weight_maps
-
-    maps = weight_maps(of_version(weights, version))
-    looked = F.lit(1.0)
-    for m in fits:
-        looked = looked * sigmoid(z_column(maps[m], features) + F.lit(maps[m]["intercept"][""]))
-    scored = df
+    The scores are written; rows, rows without a score and the largest difference are observed on the way.
+    ``weights`` holds (model, feature, feature_level, coef).
+    """
+    scored = add_z(df.select(key, *[f"f_{f}" for f in features]), weights, key, features, tuple(fits))
     for m, f in fits.items():
-        scored = model_probability(f, scored, f"_p_{m}")
-    own = F.lit(1.0)
+        scored = own_z(f, scored, key, f"own_{m}")
+    looked, own = F.lit(1.0), F.lit(1.0)
     for m in fits:
-        own = own * F.col(f"_p_{m}")
-    return scored.agg(F.max(F.abs(looked - own))).first()[0] or 0.0
+        looked, own = looked * sigmoid(F.col(f"z_{m}")), own * sigmoid(F.col(f"own_{m}"))
+    seen = Observation("self_check")
+    out = scored.select(key, looked.alias("p_lookup"), own.alias("p_model")).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p_lookup").isNull() | F.col("p_model").isNull()).alias("nulls"),
+        F.max(F.abs(F.col("p_lookup") - F.col("p_model"))).alias("max_error"))
+    materialise(out)
+    got = seen.get
+    return {"rows": got["rows"], "nulls": got["nulls"], "max_error": got["max_error"] or 0.0}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import timedelta
@@ -18,12 +19,13 @@ from tideline.operators import messages as msg
 from tideline.operators.asof import ZERO, Measure
 from tideline.operators.sets import any_of, exclude, flag_in, if_empty, lookup, pivot_flags, union_all
 from tideline.plans import audience as aud
-from tideline.plans import checks, eligibility, features, frame, jobs, ledger, metrics, pick, pricing, registry, scoring, training
+from tideline.plans import checks, eligibility, features, frame, jobs, ledger, message_log, metrics, pick, pricing, registry, scoring, training
 from tideline.queries import driver_tables as d
+from tideline.queries.frame_oracle import FRAME
 from tideline.queries.oracle import (
     BEST, NOW, TODAY, bin_sql, capped_sql, days, hmod, hours, level_sql, outcome_sql, p9, sql,
 )
-from tideline.session import materialise
+from tideline.session import materialise, shared_folder
 from tideline.sources import sinks
 from tideline.sources import tables as t
 
@@ -182,7 +184,7 @@ def global_rank(spark, sf):
 
 
 @query(f"""select event_id, event_type, row_number() over (partition by event_type
-    order by {hmod('event_id::varchar', 256, 'spread')}, event_id) as place from events""")
+    order by {hmod('event_id::varchar', 2**60, 'spread')}, event_id) as place from events""")
 def rank_in_large_groups(spark, sf):
     """Row numbers within five groups that hold a fifth of all rows each."""
     e = d.read(spark, sf, "events").select("event_id", "event_type")
@@ -466,9 +468,10 @@ F_COLUMNS = ", ".join(f"f_{f}" for f in features.FEATURES)
 
 @query(f"select phone9, {F_COLUMNS}, phone_first from t_featured")
 def binned_features(spark, sf):
-    """All 21 features of the pool as of the run time."""
+    """All 21 features of the pool as of the run time; message states come from daily partitions."""
     src = d.sources(spark, sf)
-    out = features.features_now(materialise(eligibility.pool(src, d.AS_OF, P, materialise)), src, d.AS_OF, P)
+    pool = materialise(eligibility.pool(src, d.AS_OF, P, materialise))
+    out = features.features_now(pool, src, d.AS_OF, P, message_log.build(src, spark))
     return out.select("phone9", *[f"f_{f}" for f in features.FEATURES], "phone_first")
 
 
@@ -635,11 +638,17 @@ def ledger_append(spark, sf):
     return ledger.pick_rows(_picked(spark, sf), d.sources(spark, sf).table("ledger"), d.AS_OF).select(*LEDGER_COLUMNS)
 
 
-@query("select * from (select phone9, selected_date from t_raw_ledger where false)")
+@query(f"select phone9, {TODAY} as selected_date, rank_on_day, 1::bigint as copies from t_picked")
 def ledger_append_again(spark, sf):
-    """Appending rows that are already logged adds nothing."""
-    log = d.sources(spark, sf).table("ledger")
-    return ledger.pick_rows(log, log, d.AS_OF).select("phone9", "selected_date")
+    """The day is half logged when the run starts; it then runs twice. Every pick is in the ledger once."""
+    folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    picked = materialise(_picked(spark, sf))
+    half = ledger.pick_rows(picked.where("rank_on_day % 2 = 1"), d.sources(spark, sf).table("ledger"), d.AS_OF)
+    sinks.append(half, folder, ["selected_date"])
+    log = lambda: spark.read.schema(t.LEDGER).parquet(folder)
+    for _ in range(2):
+        sinks.append_once(ledger.pick_rows(picked, log(), d.AS_OF), folder, "picks-today", ["selected_date"])
+    return log().groupBy("phone9", "selected_date", "rank_on_day").agg(F.count("*").alias("copies"))
 
 
 SEND = {
@@ -741,145 +750,13 @@ def run_summary(spark, sf):
 
 # ---- training frame ---------------------------------------------------------------------------------------
 
-A = ("timestamp '2024-01-05'", "timestamp '2024-01-12'", "timestamp '2024-01-05 08:00:00'")
-B = ("timestamp '2024-01-15'", "timestamp '2024-01-22'", "timestamp '2024-01-15 08:00:00'")
-
-
-def _campaign_sql(seg: str, campaign: str, segment: str, win: tuple[str, str, str], quoted: bool, rank: str = "null::bigint") -> str:
-    prem, dsq = ("pre_prem", "dsq") if quoted else ("null", "null")
-    return f"""select '{campaign}' as campaign, '{segment}' as segment, c.phone9, messaged as marked_messaged, prior_disc, offer_pct,
-      {prem} as pre_prem, first_source as first_source_tbl, first_all_source as first_all_source_tbl, {dsq} as dsq_build, dsl as dsl_build,
-      dslc as dslc_build, composite as composite_score, {rank} as gt45_rank, {win[0]} as win_start, {win[1]} as win_end, {win[2]} as default_anchor
-      from t_raw_campaign c {'left join (select phone9, band_rank from t_band) b on b.phone9 = c.phone9' if rank != 'null::bigint' else ''} where c.seg = '{seg}'"""
-
-
-FRAME = {
-    "t_band": """select *, row_number() over (order by composite desc nulls first, dsq, dsl nulls last, dslc nulls last, phone_number) as band_rank
-      from t_raw_campaign where dsq > 45""",
-    "t_band_rows": f"""select 'B' as campaign, 'Q2S_GT45_CTRL' as segment, phone9, false as marked_messaged, prior_disc, offer_pct, pre_prem,
-      first_source as first_source_tbl, first_all_source as first_all_source_tbl, dsq as dsq_build, dsl as dsl_build, dslc as dslc_build,
-      composite as composite_score, band_rank as gt45_rank, {B[0]} as win_start, {B[1]} as win_end, {B[2]} as default_anchor
-      from t_band where band_rank between 101 and 200""",
-    "t_ledger_rows": """select 'CPC_' || strftime(selected_date, '%Y%m%d') as campaign,
-      case when arm = 'control' then audience || '_CTRL' else audience end as segment, phone9, arm <> 'control' as marked_messaged,
-      prior_disc, 10.0::double as offer_pct, pre_prem, null as first_source_tbl, null as first_all_source_tbl, null as dsq_build, null as dsl_build,
-      null as dslc_build, p_click as composite_score, null as gt45_rank, selected_date::timestamp as win_start,
-      selected_date::timestamp + interval 3 day as win_end, selected_date::timestamp + interval 9 hour as default_anchor
-      from t_raw_ledger qualify row_number() over (partition by phone9, selected_date order by was_sent desc nulls last) = 1""",
-    "t_aud": "\nunion all ".join([
-        _campaign_sql("AUTOMOBILE", "A", "Q2S_LT45", A, True), _campaign_sql("BUILDING", "A", "Q2S_GT45", A, True),
-        _campaign_sql("FURNITURE", "A", "L2S", A, False), _campaign_sql("HOUSEHOLD", "B", "Q2S_LT45", B, True),
-        _campaign_sql("MACHINERY", "B", "Q2S_GT45", B, True, "band_rank"), _campaign_sql("AUTOMOBILE", "B", "L2S", B, False),
-        "select * from t_band_rows", "select * from t_ledger_rows"]),
-    "t_hist_msgs": "select * from t_s_messages_since",
-    "t_sends": """select a.campaign, a.segment, a.phone9, sent_ts as send_ts,
-      case when was_read = 1 then 'read' when was_delivered = 1 then 'delivered' when was_failed = 1 then 'failed' else 'sent' end as send_status,
-      template_id, audience_id, is_discount_body
-      from t_aud a join t_hist_msgs m on m.phone9 = a.phone9 and m.sent_ts >= a.win_start and m.sent_ts < a.win_end
-      qualify row_number() over (partition by a.campaign, a.segment, a.phone9 order by is_discount_body desc, sent_ts, sid) = 1""",
-    "t_base": """select a.*, send_ts, send_status, template_id, audience_id, is_discount_body,
-      case when a.segment like '%\\_CTRL' escape '\\' then default_anchor else coalesce(send_ts, default_anchor) end as anchor
-      from t_aud a left join t_sends s using (campaign, segment, phone9)""",
-}
-# Messages and replies of the frame start at the history date, before they are collapsed.
-FRAME["t_s_messages_since"] = f"""select {p9("split_part(number, '.', 1)")} as phone9, w.sid, max(w.template_id) as template_id, max(audience_id) as audience_id,
-  max(case when body ilike '%discount%' or contains(body, '%') then 1 else 0 end) as is_discount_body,
-  max(case when trim(w.template_id) in (select template_id from t_templates) then 1 else 0 end) as is_disc_template, min(date_sent) as sent_ts,
-  max(case when status in ('delivered', 'read') then 1 else 0 end) as was_delivered, max(case when status = 'read' then 1 else 0 end) as was_read,
-  max(case when status = 'failed' then 1 else 0 end) as was_failed
-  from t_raw_sent w join t_raw_status m on m.sid = w.sid where status <> 'received' and date_sent >= timestamp '2024-01-02' group by 1, 2"""
-
-G = "b.campaign, b.segment, b.phone9"
-
-
-def _per_row(stream: str, cols: str) -> str:
-    return f"select {G}, {cols} from t_base b left join {stream} e on e.phone9 = b.phone9 group by all"
-
-
-def _between(c: str, lo: str, hi: str) -> str:
-    return f"{c} >= b.anchor + interval {lo} and {c} < b.anchor + interval {hi}"
-
-
-_HIST = _between("e.sent_ts", "'-180 days'", "'-1 days'")
-_DISC = "is_disc_template = 1 and was_delivered = 1 and e.sent_ts < b.anchor - interval 1 hour"
-_HIT = "e.ucid ilike 'CAMP%'"
-_KEY = "lpad(cast(epoch_us(lead_ts) as varchar), 20, '0') || '|' || attr_source || '|' || all_src || '|' || coalesce(channel_key, '') || '|' || ucid"
-FRAME |= {
-    "t_f_leads": _per_row("t_s_leads", f"""coalesce(count_if(lead_ts < b.anchor), 0) as n_leads_before,
-      coalesce(count_if({_between('lead_ts', "'-30 days'", "'0 days'")}), 0) as n_leads_30d_before, coalesce(count_if(lead_ts < b.anchor and {_HIT}), 0) as n_prior_campaign_clicks,
-      min(case when lead_ts < b.anchor then lead_ts end) as first_lead_ts, max(case when lead_ts < b.anchor then lead_ts end) as last_lead_ts,
-      min(case when {_HIT} and {_between('lead_ts', "'0 days'", "'14 days'")} then lead_ts end) as first_click_ts,
-      min(case when not {_HIT} and {_between('lead_ts', "'0 days'", "'14 days'")} then lead_ts end) as first_other_lead_ts"""),
-    "t_f_lead_ends": f"""select {G}, arg_max(attr_source, {_KEY}) as last_attr_source, arg_max(all_src, {_KEY}) as last_all_src,
-      arg_min(attr_source, {_KEY}) as first_attr_source, arg_min(all_src, {_KEY}) as first_all_src,
-      max({_KEY}) as last_key, min({_KEY}) as first_key
-      from t_base b join t_s_leads e on e.phone9 = b.phone9 and lead_ts < b.anchor group by all""",
-    "t_f_calls": _per_row("t_s_calls", f"""coalesce(count_if(call_ts < b.anchor), 0) as n_calls_before,
-      coalesce(count_if({_between('call_ts', "'-30 days'", "'0 days'")}), 0) as n_calls_30d_before, max(case when call_ts < b.anchor then call_ts end) as last_call_ts,
-      max(case when call_ts < b.anchor and outcome ilike 'callback scheduled%' then call_ts end) as last_callback_ts,
-      coalesce(count_if({_between('call_ts', "'0 days'", "'7 days'")}), 0) as n_calls_7d_after,
-      arg_max(case when call_ts < b.anchor then outcome end, case when call_ts < b.anchor then call_ts end) as last_outcome,
-      min(case when call_ts >= b.anchor and outcome ilike 'sale made%' then call_ts end) as first_salemade_call_after"""),
-    "t_f_quotes": _per_row("t_s_quotes", f"""coalesce(count_if(quote_ts < b.anchor), 0) as n_quotes_before, max(case when quote_ts < b.anchor then quote_ts end) as last_quote_ts,
-      min(case when {_between('quote_ts', "'0 days'", "'14 days'")} then quote_ts end) as first_quote_after_ts,
-      min(case when {_between('sold_at', "'0 days'", "'14 days'")} then sold_at end) as golden_sale_ts"""),
-    "t_f_sales": _per_row("t_s_policies", f"""min(case when {_between('sale_ts', "'0 days'", "'14 days'")} then sale_ts end) as mtr_sale_ts,
-      coalesce(max(case when sale_ts < b.anchor then 1 else 0 end), 0) as sold_before_anchor"""),
-    "t_f_wa": _per_row("t_hist_msgs", f"""coalesce(count_if({_HIST}), 0) as n_wa_sent_180d, coalesce(count_if({_HIST} and was_delivered = 1), 0) as n_wa_delivered_180d,
-      coalesce(count_if({_HIST} and was_read = 1), 0) as n_wa_read_180d, coalesce(count_if({_HIST} and was_failed = 1), 0) as n_wa_failed_180d,
-      coalesce(count_if({_between('e.sent_ts', "'0 days'", "'7 days'")}), 0) as n_wa_sent_7d_after,
-      max(case when {_DISC} and e.sent_ts >= b.anchor - interval 181 day then e.sent_ts end) as last_disc_ts,
-      coalesce(count_if({_DISC} and e.sent_ts >= b.anchor - interval 28 day), 0) as n_disc_delivered_28d"""),
-    "t_f_replies": _per_row("(select * from t_s_replies where reply_ts >= timestamp '2024-01-02')", f"""coalesce(count_if({_between('reply_ts', "'-180 days'", "'-1 days'")}), 0) as n_replies_180d,
-      min(case when {_between('reply_ts', "'0 days'", "'7 days'")} then reply_ts end) as first_reply_ts"""),
-    "t_spans": f"""select phone9, 'P' as pcamp, timestamp '2023-12-25' as p_start, timestamp '2024-01-04' as p_end, 20.0::double as p_offer
-        from t_raw_campaign where messaged and seg = 'BUILDING'
-      union all select phone9, 'A', {A[0]}, {A[1]}, offer_pct from t_raw_campaign where messaged and seg in ('AUTOMOBILE', 'BUILDING', 'FURNITURE')""",
-    "t_prev": f"""select {G}, pcamp, p_offer, p_start, p_end, count(*) over (partition by {G}) as n_prev
-      from t_base b join t_spans s on s.phone9 = b.phone9 and p_end <= b.anchor
-      qualify row_number() over (partition by {G} order by p_start desc, p_offer desc) = 1""",
-    "t_prev_msg": f"""select {G}, sent_ts as prev_ts, was_delivered as pd, was_read as pr, was_failed as pf
-      from t_prev b join t_hist_msgs e on e.phone9 = b.phone9 and sent_ts >= p_start and sent_ts < p_end
-      qualify row_number() over (partition by {G} order by sent_ts, sid) = 1""",
-    "t_flags": """select phone9, max(case when pcamp = 'P' then 1 else 0 end) as msg_p, max(case when pcamp = 'A' then 1 else 0 end) as msg_a from t_spans group by 1""",
-    "t_frame": f"""select b.campaign, b.segment, b.phone9, b.marked_messaged, case when send_ts is null then 0 else 1 end as send_found, send_ts, send_status,
-      b.template_id, b.audience_id, b.is_discount_body, anchor as anchor_ts, hour(anchor + interval 2 hour) as send_hour_local,
-      substr(dayname(anchor + interval 2 hour), 1, 3) as send_dow, {days(NOW, 'anchor')} as days_observed, b.prior_disc, b.offer_pct, b.pre_prem,
-      b.first_source_tbl, b.first_all_source_tbl, b.dsq_build, b.dsl_build, b.dslc_build, b.composite_score, b.gt45_rank,
-      n_leads_before, n_leads_30d_before, n_prior_campaign_clicks, case when n_leads_before >= 2 then 'reengaged' else 'first_time' end as lead_type,
-      {days('anchor', 'first_lead_ts')} as days_since_first_lead, {days('anchor', 'last_lead_ts')} as days_since_last_lead,
-      nullif(split_part(last_key, '|', 4), '') as last_channel_key, last_attr_source, last_all_src, nullif(split_part(first_key, '|', 4), '') as first_channel_key,
-      first_attr_source, first_all_src, channel_factor as dialer_channel_factor, n_quotes_before, {days('anchor', 'last_quote_ts')} as days_since_last_quote,
-      n_calls_before, n_calls_30d_before, {hours('anchor', 'last_call_ts')} / 24.0 as days_since_last_call,
-      {hours('anchor', 'last_callback_ts')} / 24.0 as days_since_last_callback, last_outcome, {outcome_sql('last_outcome', False)} as last_outcome_group,
-      n_wa_sent_180d, n_wa_read_180d, n_replies_180d, sold_before_anchor, pcamp as prev_disc_campaign, p_offer as prev_disc_offer_pct,
-      n_prev as n_prev_campaign_rows, case when pcamp is null then 'none' when prev_ts is null then 'no_twilio_record' when pr = 1 then 'read'
-        when pd = 1 then 'delivered_not_read' when pf = 1 then 'failed' else 'sent_no_status' end as prev_disc_msg_status,
-      {days('anchor', 'prev_ts')} as days_since_prev_disc_msg, n_wa_delivered_180d, n_wa_failed_180d, {days('anchor', 'last_disc_ts')} as days_since_last_disc_msg,
-      n_disc_delivered_28d, n_calls_7d_after, n_wa_sent_7d_after, first_click_ts, first_other_lead_ts, first_reply_ts, first_quote_after_ts, mtr_sale_ts,
-      golden_sale_ts, first_salemade_call_after, least(mtr_sale_ts, golden_sale_ts) as sale_ts,
-      case when first_click_ts < anchor + interval 7 day then 1 else 0 end as click_7d, (first_reply_ts is not null)::int as reply_7d,
-      (first_quote_after_ts is not null)::int as quote_14d, (least(mtr_sale_ts, golden_sale_ts) is not null)::int as sale_14d,
-      case when first_click_ts <= least(mtr_sale_ts, golden_sale_ts) then 1 else 0 end as msg_path_sale,
-      case when (first_click_ts is null or first_click_ts > least(mtr_sale_ts, golden_sale_ts))
-        and abs({hours('least(mtr_sale_ts, golden_sale_ts)', 'first_salemade_call_after')}) <= 24 then 1 else 0 end as phone_path_sale,
-      coalesce(msg_p, 0) as msg_p, case when b.campaign = 'B' then coalesce(msg_a, 0) else 0 end as msg_a_before_b
-      from t_base b left join t_f_leads using (campaign, segment, phone9) left join t_f_lead_ends using (campaign, segment, phone9)
-      left join t_f_calls using (campaign, segment, phone9) left join t_f_quotes using (campaign, segment, phone9)
-      left join t_f_sales using (campaign, segment, phone9) left join t_f_wa using (campaign, segment, phone9)
-      left join t_f_replies using (campaign, segment, phone9) left join t_prev using (campaign, segment, phone9)
-      left join t_prev_msg using (campaign, segment, phone9) left join t_flags f on f.phone9 = b.phone9
-      left join t_raw_channel ch on ch.channel_key = nullif(split_part(last_key, '|', 4), '')""",
-}
-
-
 @query("select * from t_aud", FRAME)
 def union_audiences(spark, sf):
     """Eight branches in one layout: campaigns, natural control band, ledger days."""
     return frame.audiences(d.sources(spark, sf), P)
 
 
-@query("select phone9, gt45_rank, composite_score from t_band_rows", FRAME)
+@query("select phone9, place as gt45_rank, composite as composite_score from t_band_rows", FRAME)
 def natural_control(spark, sf):
     ranked = frame.ranked_scored(d.sources(spark, sf), P.control_band)
     return frame.natural_control(ranked, P.control_band).select("phone9", "gt45_rank", "composite_score")
@@ -966,7 +843,7 @@ def level_pooling(spark, sf):
     return training.pool_levels(training.level_counts(parts, ["type", "brand", "size"]), 330)
 
 
-@query(f"""select o_orderkey, o_orderstatus, (row_number() over (partition by o_orderstatus order by {hmod('o_orderkey::varchar', 256, 'folds_v1')}, o_orderkey) - 1) % 5 as fold from orders""")
+@query(f"""select o_orderkey, o_orderstatus, (row_number() over (partition by o_orderstatus order by {hmod('o_orderkey::varchar', 2**60, 'folds_v1')}, o_orderkey) - 1) % 5 as fold from orders""")
 def stratified_folds(spark, sf):
     o = d.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     return training.add_folds(o, "o_orderstatus", "o_orderkey", 5)
@@ -988,7 +865,7 @@ def scored_orders(spark, sf):
 def _metrics_sql(by: str) -> str:
     part = f"partition by {by}" if by else ""
     cols = f"{by}, " if by else ""
-    place = f"row_number() over ({part} order by p desc, {hmod('id::varchar', 256, 'spread')}, id)"
+    place = f"row_number() over ({part} order by p desc, {hmod('id::varchar', 2**60, 'spread')}, id)"
     tops = ", ".join(f"sum(case when place <= n * {k} // 100 then y else 0 end) / sum(y)::double as top{k}_capture" for k in (10, 30, 50))
     return f"""select {cols} count(*) as rows, sum(y)::bigint as clicks,
       (sum(case when y = 1 then mid end) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) as auc, {tops} from (
@@ -1077,7 +954,10 @@ def weights_upsert(spark, sf):
     old = d.read(spark, sf, "customer").select(F.col("c_mktsegment").alias("model_version")).distinct().withColumn("coef", F.lit(1.0))
     brands = d.read(spark, sf, "part").select(F.col("p_brand").alias("model_version")).distinct()
     new = brands.unionByName(old.filter("model_version = 'BUILDING'").select("model_version")).withColumn("coef", F.lit(2.0))
-    return sinks.upsert(old, new, "model_version")
+    folder = f"{shared_folder(spark)}/weights-{uuid.uuid4().hex}"
+    for rows in (old, new):  # the second run swaps the partitions it holds
+        sinks.replace_partitions(rows, folder, ["model_version"])
+    return spark.read.schema("coef double, model_version string").parquet(folder).select("model_version", "coef")
 
 
 @query("""select distinct template_id from (select trim(template_id) as template_id from t_raw_sent) where template_id not in (select template_id from t_templates)""")
@@ -1108,14 +988,6 @@ def _labelled_customers(spark, sf):
         "f_premium", F.coalesce("f_premium", F.lit("none")))
 
 
-@query(None)
-def glm_fit(spark, sf):
-    """Penalised logistic regression on one-hot levels: the published weight table."""
-    data = _labelled_customers(spark, sf)
-    fitted = training.fit(data, CUSTOMER_FEATURES, "y", "id", P, c=0.1)
-    return training.weights_table(spark, {"deliver": fitted}, "fit")
-
-
 @query("""select (select count(*) from t_zy) as n, (select sum(y)::bigint from t_zy) as clicks, round((lo + hi) / 2, 5) as shift from (
     with recursive halves(step, lo, hi) as (
       select 0, -9.0::double, 9.0::double union all
@@ -1128,6 +1000,8 @@ def glm_fit(spark, sf):
 def recalibrate(spark, sf):
     """The shift after which the mean prediction equals the observed rate."""
     data = _labelled_customers(spark, sf)
-    z = scoring.z_column(scoring.weight_maps(_weights(spark, sf))["click"], CUSTOMER_FEATURES)
-    shift = training.recalibrate(data, z, "y", -9.0, 9.0)
+    click = _weights(spark, sf).where("model = 'click' and feature <> 'intercept'").unionByName(
+        t.rows(spark, [("click", "intercept", "", 0.0)], "model string, feature string, feature_level string, coef double"))
+    scored = scoring.add_z(data, click, "id", CUSTOMER_FEATURES, ["click"])
+    shift = training.recalibrate(scored, F.col("z_click"), "y", -9.0, 9.0)
     return data.agg(F.count("*").alias("n"), F.sum("y").alias("clicks")).withColumn("shift", F.round(F.lit(shift), 5))

@@ -3,7 +3,12 @@
 Orders act as quotes, line items as discount activities, events as leads, calls, messages and
 sales, customers as past campaign audiences. Text columns are made dirty on purpose (phone
 formats, float tails, unreadable numbers), so the cleaning operators have work to do. Every raw
-table is a projection of whole given tables; nothing is generated.
+table is made from given tables; nothing is generated.
+
+Some roles belong to a part of a table's rows, as in life: errors are messages, views are calls, signups are leads,
+purchases are policy requests; the ledger is made of clicks with k from 40 to 59, replies of clicks with k of 60 and more;
+customers with a balance below -900 hold a policy, those above 9800 opted out; suppliers with extreme balances are in the
+always-on lists. Queries on these roles work on those rows only (the other rows have other roles or none).
 """
 
 from __future__ import annotations
@@ -235,10 +240,10 @@ def wa_status(spark: SparkSession, sf: str) -> DataFrame:
              named_struct('status', 'queued', 'after', interval 0 second), named_struct('status', 'sent', 'after', interval 60 second),
              case when k < 70 then named_struct('status', 'delivered', 'after', interval 120 second) end,
              case when k < 35 then named_struct('status', 'read', 'after', interval 3600 second) end,
-             case when k >= 85 then named_struct('status', 'failed', 'after', interval 180 second) end)))""")
+             case when k >= 85 then named_struct('status', if(k % 2 = 0, 'undelivered', 'failed'), 'after', interval 180 second) end)))""")
     out = out.selectExpr(
         "sid", "status", "ts + after as date_sent", "cast(null as string) as `from`",
-        "case when status = 'failed' and k >= 97 then 63003 end as error_code")
+        "case when status in ('failed', 'undelivered') and k >= 97 then 63003 end as error_code")
     back = events_of(spark, sf, "click").filter("k >= 60").selectExpr(
         "concat('r', event_id) as sid", "'received' as status", "ts as date_sent", "concat('+27', n) as `from`",
         "cast(null as int) as error_code")

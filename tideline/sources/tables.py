@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from tideline.functions import clean
 from tideline.functions.dates import shift
 from tideline.operators.keep import latest, top_k
+from tideline.session import materialise
+from tideline.sources.versions import Folder, current
 
 _S, _D, _L, _B = T.StringType(), T.DoubleType(), T.LongType(), T.BooleanType()
 _N = T.TimestampNTZType()
@@ -79,15 +81,13 @@ class FolderSources:
         elif name in DECLARED:
             df = self._declared(name, where)
         else:
-            df = self.spark.read.parquet(where)
+            df = self.spark.read.parquet(current(self.spark, where))
         return rename(df, self.renames.get(name, {}))
 
     def _declared(self, name: str, where: str) -> DataFrame:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(where)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
+        if not Folder(self.spark, where).exists():
             return self.spark.createDataFrame([], DECLARED[name])
-        return self.spark.read.schema(DECLARED[name]).parquet(where)
+        return self.spark.read.schema(DECLARED[name]).parquet(current(self.spark, where))
 
 
 class FrameSources:
@@ -121,6 +121,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.csv(path, header=True, schema=schema)
 
 
+RAW_LINE = "_raw_line"
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, broken lines) of an export with a header.
+
+    A line that does not fit the schema is kept as it is, with its file, and never reaches the typed rows. The scan is
+    written once, so both parts come from the same read.
+    """
+    full = T.StructType([*schema.fields, T.StructField(RAW_LINE, T.StringType())])
+    read = spark.read.csv(path, header=True, schema=full, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW_LINE)
+    kept = materialise(read.withColumn("_file", F.input_file_name()))
+    typed = kept.where(F.col(RAW_LINE).isNull()).select(*schema.fieldNames())
+    return typed, kept.where(F.col(RAW_LINE).isNotNull()).select(F.col(RAW_LINE).alias("line"), F.col("_file").alias("file"))
+
+
 # ---- clean streams -------------------------------------------------------------------
 
 

@@ -152,3 +152,40 @@ def test_null_keys_never_block(spark):
     assert sorted(str(r[0]) for r in exclude(df, guard).collect()) == ["None", "b"]
     assert if_empty(df, guard).count() == 0
     assert if_empty(df, guard.filter("phone9 = 'zz'")).count() == 3
+
+
+def test_message_days_merge_to_messages(spark, tmp_path):
+    """Daily states of a log with late and repeated events merge to what the whole log says; a repeated or partial run changes nothing."""
+    import random
+    from dataclasses import replace
+    from datetime import datetime, timedelta
+
+    from tideline.operators import messages as msg
+    from tideline.params import Params
+    from tideline.plans import message_log
+    from tideline.sources.tables import FolderSources
+
+    rng, start = random.Random(8), datetime(2026, 3, 1)
+    events = []
+    for i in range(120):
+        sent = start + timedelta(hours=rng.randrange(24 * 30))
+        for status, chance in (("queued", 1), ("delivered", 0.6), ("read", 0.3), ("undelivered", 0.1), ("received", 0.1)):
+            if rng.random() < chance:
+                events.append((f"m{i}", status, sent + timedelta(hours=rng.randrange(80)), f"+2760000{i:04d}", None))
+    events += events[:40] + [(None, "sent", start, None, None), ("m0", "read", None, None, None)]
+    log = spark.createDataFrame(events, "sid string, status string, date_sent timestamp_ntz, `from` string, error_code int")
+    path = str(tmp_path / "wa_status")
+    src, p = FolderSources(spark, str(tmp_path)), replace(Params(), status_late_days=5)
+    early = log.where("date_sent is null or date_sent < '2026-03-25'")
+    early.write.parquet(path)
+    message_log.refresh(src, datetime(2026, 3, 25), p)
+    log.where("date_sent >= '2026-03-25'").write.mode("append").parquet(path)
+    clean = log.where("date_sent is not null")
+    for _ in range(2):
+        got = message_log.refresh(src, datetime(2026, 4, 4), replace(p, status_late_days=11))
+        columns = ("sid", "sent_ts", "was_delivered", "was_read", "was_failed")
+        assert sorted(map(tuple, msg.merge_days(got.days).select(*columns).collect())) == sorted(map(tuple, msg.collapse_status(clean).select(*columns).collect()))
+        assert got.replies.count() == clean.where("status = 'received'").count()
+    bounded = got.since(datetime(2026, 3, 20)).days
+    assert "PartitionFilters: [isnotnull(day" in bounded._jdf.queryExecution().toString()
+    assert bounded.agg({"day": "min"}).first()[0] >= datetime(2026, 3, 20).date()

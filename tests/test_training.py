@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.params import Params
 from tideline.plans import frame, jobs, metrics, training
-from tideline.plans.encoding import Dictionary, cells
+from tideline.plans.encoding import POOLED, Dictionary, cells
 from tideline.plans.scoring import sigmoid
 from tideline.sources import sinks
 from tideline.sources.tables import FolderSources
@@ -53,7 +53,7 @@ def assert_minimum(data, fit, c, eps):
 def test_fit_solves_the_penalised_problem(spark, data):
     fit = training.fit(data, FEATURES, "label", "id", P, c=0.1)
     assert_minimum(data, fit, 0.1, 1e-6)
-    assert ("y", training.POOLED) in slots_of(fit)
+    assert ("y", POOLED) in slots_of(fit)
     assert sorted(n for n, _ in slots_of(fit).values()) == list(range(len(fit.coefs)))
     # Spark ML solves the same problem: the form for models with very many slots.
     wide = training.fit(data, FEATURES, "label", "id", replace(P, newton_slots=0), c=0.1)

@@ -16,14 +16,11 @@ from tideline.operators.keep import spread_rank
 from tideline.operators.sets import lookup
 from tideline.params import Params
 from tideline.plans import metrics, solver
-from tideline.plans.encoding import POOLED, Dictionary, cells, level_counts, part_of, pool_levels
+from tideline.plans.encoding import Dictionary, cells, level_counts, part_of
 from tideline.plans.frame import CONTROL
 from tideline.plans.scoring import INTERCEPT, add_z, sigmoid, to_long
 from tideline.session import materialise
 
-__all__ = ["POOLED", "level_counts", "pool_levels"]
-
-
 # ---- rows ----------------------------------------------------------------------------
 
 

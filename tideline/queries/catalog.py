@@ -17,13 +17,13 @@ from tideline.functions.hashing import arm, hash_mod
 from tideline.operators import asof, keep, sessions
 from tideline.operators import messages as msg
 from tideline.operators.asof import ZERO, Measure
-from tideline.operators.sets import any_of, exclude, flag_in, if_empty, lookup, pivot_flags, union_all
+from tideline.operators.sets import exclude, flag_in, if_empty, lookup, pivot_flags, union_all
 from tideline.plans import audience as aud
-from tideline.plans import checks, eligibility, features, frame, jobs, ledger, message_log, metrics, pick, pricing, registry, scoring, training
+from tideline.plans import checks, eligibility, encoding, features, frame, jobs, ledger, message_log, metrics, pick, pricing, registry, scoring, training
 from tideline.queries import driver_tables as d
 from tideline.queries.frame_oracle import FRAME
 from tideline.queries.oracle import (
-    BEST, NOW, TODAY, bin_sql, capped_sql, days, hmod, hours, level_sql, outcome_sql, p9, sql,
+    BEST, NOW, TODAY, bin_sql, capped_sql, days, hmod, hours, outcome_sql, p9, sql,
 )
 from tideline.session import materialise, shared_folder
 from tideline.sources import sinks
@@ -840,7 +840,7 @@ def split_latest(spark, sf):
     select 'brand', p_brand, count(*) from part group by 2 union all select 'size', p_size::varchar, count(*) from part group by 2)""")
 def level_pooling(spark, sf):
     parts = d.read(spark, sf, "part").selectExpr("p_type as f_type", "p_brand as f_brand", "cast(p_size as string) as f_size")
-    return training.pool_levels(training.level_counts(parts, ["type", "brand", "size"]), 330)
+    return encoding.pool_levels(encoding.level_counts(parts, ["type", "brand", "size"]), 330)
 
 
 @query(f"""select o_orderkey, o_orderstatus, (row_number() over (partition by o_orderstatus order by {hmod('o_orderkey::varchar', 2**60, 'folds_v1')}, o_orderkey) - 1) % 5 as fold from orders""")

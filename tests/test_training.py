@@ -264,7 +264,9 @@ def test_failed_retrain_goes_on_after_its_last_step(spark, tmp_path, monkeypatch
             jobs.retrain(src, now, p)
     assert jobs.retrain(src, now, p)["status"] == "champion" and len(built) == 1
     assert [r["status"] for r in spark.read.json(src.path("run_reports")).orderBy("status").collect()] == ["champion", "failed"]
-    jobs.retrain(src, now, p, dry_run=True)  # finished: the next run builds again
+    monkeypatch.setattr(jobs.training, "fit", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):  # that run was finished: the next one builds again
+        jobs.retrain(src, now, p, dry_run=True)
     assert len(built) == 2
 
 

@@ -38,16 +38,25 @@ def sql_text(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+RUN_LENGTH = 256  # matches whose places are added up one by one; the sums before them come from whole runs
+
+
 def found(column: str, pattern: str, kind: str, keep: str = "true") -> Column:
-    """Structs (start, end, kind, value) of the leftmost non-overlapping matches that pass ``keep``, from the gaps between matches."""
-    p = sql_text(pattern)
+    """Structs (start, end, kind, value) of the leftmost non-overlapping matches that pass ``keep``, from the gaps between matches.
+
+    A match starts after all gaps and matches before it. These sums are formed over runs of ``RUN_LENGTH`` matches and
+    within a run, so the work grows with the matches (no array is copied for each of them).
+    """
+    p, n = sql_text(pattern), RUN_LENGTH
     return F.expr(f"""
         case when {column} rlike {p} then
           filter(transform(array(struct(regexp_extract_all({column}, {p}, 0) as m, split({column}, {p}, -1) as g)), s ->
-            aggregate(sequence(0, size(s.m) - 1), struct(0 as at, cast(array() as array<struct<start: int, end: int, kind: string, value: string>>) as out),
-              (a, i) -> struct(a.at + char_length(s.g[i]) + char_length(s.m[i]) as at,
-                               array_append(a.out, struct(a.at + char_length(s.g[i]) as start, a.at + char_length(s.g[i]) + char_length(s.m[i]) as end, '{kind}' as kind, s.m[i] as value)) as out),
-              a -> a.out))[0], x -> {keep})
+            transform(array(transform(s.m, (x, i) -> char_length(x) + char_length(s.g[i]))), sizes ->
+              transform(array(transform(sequence(0, int((size(sizes) - 1) / {n})), r -> aggregate(slice(sizes, r * {n} + 1, {n}), 0, (a, x) -> a + x))), runs ->
+                transform(array(transform(runs, (x, r) -> aggregate(slice(runs, 1, r), 0, (a, y) -> a + y))), befores ->
+                  transform(s.m, (x, i) ->
+                    transform(array(befores[int(i / {n})] + aggregate(slice(sizes, int(i / {n}) * {n} + 1, i % {n}), 0, (a, y) -> a + y) + char_length(s.g[i])), at ->
+                      struct(at as start, at + char_length(x) as end, '{kind}' as kind, x as value))[0]))[0])[0])[0])[0], x -> {keep})
         else cast(array() as array<struct<start: int, end: int, kind: string, value: string>>) end""")
 
 
@@ -66,6 +75,14 @@ def order(spans: str) -> Column:
         else cast(array_position(array('assign', 'access', 'hex', 'random'), a.kind) - array_position(array('assign', 'access', 'hex', 'random'), b.kind) as int) end)""")
 
 
+def meets(kind: str, x: str) -> str:
+    """Does span ``x`` meet one of a kind? These do not overlap each other, so the last that starts before its end says it, found by halving."""
+    half = "int((a.lo + a.hi) / 2)"
+    return f"""(size({kind}) > 0 and transform(array(aggregate(sequence(0, int(log2(size({kind}))) + 1), struct(0 as lo, size({kind}) as hi),
+        (a, step) -> case when a.lo >= a.hi then a when {kind}[{half}].start < {x}.end then struct({half} + 1 as lo, a.hi as hi) else struct(a.lo as lo, {half} as hi) end,
+        a -> a.lo)), n -> n > 0 and {kind}[greatest(n - 1, 0)].end > {x}.start)[0])"""
+
+
 def joined(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')")
 
@@ -111,8 +128,9 @@ def scan(docs: DataFrame, ratios: list[list[float]] | None = None) -> DataFrame:
         table = "from_json('[" + ",".join(f"{r:.6f}" for kind in ratios for r in kind) + "]', 'array<double>')"
         runs = found("text", RUN, "random")
         sums = [f"aggregate(sequence(1, char_length(x.value) - 1), 0D, (a, i) -> a + t[{k * CLASSES**2} + {pair_code('x.value', 'i')}])" for k in range(len(ratios))]
+        met = " or ".join(meets(kind, "x") for kind in LEAST)
         score = f"array_max(array({', '.join(sums)})) / (char_length(x.value) - 1)"
         rows = rows.withColumn("runs", runs)
-        added = F.expr(f"case when size(runs) = 0 then runs else transform(array({table}), t -> filter(runs, x -> not exists(base, b -> b.start < x.end and x.start < b.end) and {score} > {MARGIN}))[0] end")
+        added = F.expr(f"case when size(runs) = 0 then runs else transform(array({table}), t -> filter(runs, x -> not ({met}) and {score} > {MARGIN}))[0] end")
     rows = rows.withColumns({"base": order("base"), "added": added})
     return rows.withColumn("spans", F.concat("base", "added")).withColumn("spans", order("spans"))

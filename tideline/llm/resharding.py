@@ -2,12 +2,12 @@
 
 From the bytes of the old shards and the capacities of the new ones a flow is solved in which staying costs
 nothing and every byte moved costs one; it gives block transfers (old shard, new shard, bytes). Documents of a
-shard are ordered by a hash of doc_id and each transfer is a range of that order, whose ends are found from bucket
+shard are ordered by a hash of doc_id, text and the row's number, and each transfer is a range of that order, whose ends are found from bucket
 totals and then inside one bucket. Only shards that give bytes away are rewritten; the files of the others stay
 and get new files beside them. No document is shuffled: each row's new shard follows from its own hash.
 
-A document's size is its UTF-8 bytes (null text: none) plus 1. Repeated rows have one hash and move together.
-Null doc_ids hash like any other value. An empty table gives empty shards.
+A document's size is its UTF-8 bytes (null text: none) plus 1. Rows without a doc_id, rows of one doc_id and repeated
+rows are told apart by their number, so no group of them has to move as a whole. An empty table gives empty shards.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ class Layout:
 
 def lay_out(docs: DataFrame, shard: Column) -> tuple[str, str]:
     """Write ``docs`` as one folder for each shard; returns the folder and the schema of its files."""
-    rows = docs.withColumns({"_size": F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 1, "_h": F.xxhash64("doc_id"), "_shard": shard})
+    rows = docs.withColumns({"_size": F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 1, "_h": F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), "_shard": shard})
     path = new_folder(docs.sparkSession, "shards")
     rows.write.partitionBy("_shard").parquet(path)
     return path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)

@@ -123,6 +123,41 @@ def secret_rows():
     return rows + [(2000, " ".join(dir(F)) + " " + " ".join(dir(pd)) + " " + " ".join(dir(np)), "en", "s")]
 
 
+ABROAD = {
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в духе братства.",
+    "ja": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられている。",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    "zh": "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+}
+
+
+def test_unlearned_languages_are_rejected(spark, make):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.train(docs.where(~language.held_out()))
+    rng = random.Random(3)
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 12))) for _ in range(60)) for _ in range(20)]
+    abroad = [(i, t * 2, None, "s") for i, t in enumerate([*ABROAD.values(), *noise])]
+    assert all(r["rejected"] for r in language.identify(make(abroad), model).collect())
+    own = language.identify(docs.select("doc_id", "text"), model).where("text rlike '[a-z]'").groupBy("rejected").count().collect()
+    turned = {r["rejected"]: r["count"] for r in own}
+    assert turned.get(True, 0) <= 0.01 * turned[False]
+
+
+def test_sample_is_bounded_without_ids(make):
+    rows = [(None, f"word{i} some more words of text", "en", "s") for i in range(3000)] + [(7, f"mot{i} encore des mots", "fr", "s") for i in range(2000)]
+    got = language.sample(make(rows))
+    assert {lang: len({r["place"] for r in got if r["lang"] == lang}) for lang in ("en", "fr")} == {"en": 600, "fr": 600}
+
+
+def test_own_names_as_extra_columns(spark, make):
+    docs = make([(i, f"the cat number {i} sat on the mat", "en", "s") for i in range(50)]).selectExpr("*", "1 as lang_pred", "2 as rejected", "3 as score", "4 as _text")
+    docs = docs.drop("size", "shard")
+    model = language.train(docs)
+    rows = language.identify(docs, model, "new_")
+    assert rows.columns == [*docs.columns, "new_lang_pred", "new_score", "new_rejected"] and rows.where("lang_pred = 1 and new_lang_pred = 'en'").count() == 50
+
+
 def test_secrets_base_and_added_spans(make, secret_rows, empty):
     docs = make(secret_rows)
     got = {r["doc_id"]: r for r in secrets.scan(docs).select("doc_id", secrets.joined("base").alias("base"), secrets.joined("spans").alias("spans")).collect()}
@@ -138,3 +173,26 @@ def test_secrets_base_and_added_spans(make, secret_rows, empty):
 def test_secrets_of_odd_rows(odd, odd_rows):
     rows = secrets.scan(odd).select("doc_id", F.size("base").alias("n")).collect()
     assert len(rows) == len(odd_rows) and sum(r["n"] for r in rows) == sum(len(base_of(r[1])) for r in odd_rows)
+
+
+def test_many_secrets_in_one_text(make, secret_rows):
+    """Spans of a long text are found in a time that follows their number, and overlaps with base spans are seen among many."""
+    import time
+
+    rng = random.Random(6)
+    key = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    pick = lambda n: "".join(rng.choice(key) for _ in range(n))
+    lines = lambda n: " ".join(f"password={pick(8)}x " + (pick(30) if i % 50 == 0 else "word") for i in range(n))
+    texts = {n: lines(n) for n in (300, 4000, 16000)}
+    ratios = secrets.model(make(secret_rows))
+    took = {}
+    for n, text in texts.items():
+        docs = make([(1, text, "en", "s")])
+        start = time.perf_counter()
+        row = secrets.scan(docs, ratios).select(secrets.joined("base").alias("base"), secrets.joined("spans").alias("spans")).first()
+        took[n] = time.perf_counter() - start
+        assert row["base"].split(",") == base_of(text)
+        added = {x for x in row["spans"].split(",") if x.startswith("random")}
+        want = {f"random:{m.start()}:{m.end()}" for m in re.finditer("(?<= )[A-Za-z0-9+/]{30}(?= |$)", text)}
+        assert len(added & want) >= 0.95 * len(want) and added <= want
+    assert took[16000] < 10 * max(took[4000], 0.5)

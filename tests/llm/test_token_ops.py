@@ -117,3 +117,13 @@ def test_padding_is_small(spark, parts):
     docs = documents(spark, "/root/testdata/sf0.01").repartition(parts)
     placed = packing.pack(docs, tokenizer_path(NAMES[0]), 1).placed.groupBy("sequence_id").agg({"length": "sum"}).collect()
     assert 1 - sum(r[1] for r in placed) / (packing.CAPACITY * len(placed)) < 0.02
+
+
+def test_tiny_documents_fill_their_sequences(spark):
+    """Documents of one to a few tokens, empty ones among them."""
+    docs = spark.range(20_000).selectExpr("id as doc_id", "case id % 4 when 0 then '' when 1 then 'a' when 2 then 'a b c d' else null end as text")
+    placed = packing.pack(docs.repartition(3), tokenizer_path(NAMES[0]), 1).placed
+    seen = placed.groupBy("sequence_id").agg({"length": "sum", "doc_id": "count"}).collect()
+    tokens = sum(r["sum(length)"] for r in seen)
+    assert tokens >= 30_000 and 1 - tokens / (packing.CAPACITY * len(seen)) < 0.05
+    assert placed.select("doc_id").distinct().count() == 20_000

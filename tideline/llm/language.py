@@ -4,11 +4,13 @@ Subwords are runs of 3 and 4 bytes of the UTF-8 text (A-Z lower-cased; digits, p
 word boundary), hashed to ``BUCKETS`` embeddings. Their mean goes through one linear layer; since both are linear,
 prediction adds up ready-made scores of each bucket over the whole text, however long.
 
-Training takes a bounded sample: up to ``DOCS_PER_LANG`` documents of each language, chosen by a hash of doc_id, and
-of each ``PIECES`` pieces of ``PIECE_CHARS`` characters at hashed places (shorter texts whole), so the driver holds at
+Training takes a bounded sample: the ``DOCS_PER_LANG`` documents of each language with the smallest hash of doc_id and
+text, and of each ``PIECES`` pieces of ``PIECE_CHARS`` characters at hashed places (shorter texts whole), so the driver holds at
 most languages * DOCS_PER_LANG * PIECES * PIECE_CHARS characters. A fifth of these documents is not trained on; on
-them a temperature is fitted, and the threshold of rejection is the confidence that all but ``REJECTED`` of them
-reach, never above ``MOST``.
+them the temperature and both rules of rejection are fitted, so that each turns away at most ``REJECTED`` of them: a
+confidence (never above ``MOST``), and the share of subwords that training has met. A text of a language that was not
+learned may look like one of those learned to the softmax, but many of its subwords were never seen. The share of a
+text of n subwords may fall short by ``LEEWAY`` standard deviations, so short texts are not turned away for a rare word.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected. Without labelled rows every text is
 ``und``. Null labels are not learned from. Rows are predicted one by one, so repeated rows get equal results. An
@@ -17,12 +19,13 @@ empty table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import text
@@ -31,7 +34,7 @@ from tideline.llm.hashing import byte_slices
 BUCKETS, WIDTH = 1 << 16, 16
 DOCS_PER_LANG, PIECES, PIECE_CHARS = 600, 4, 300
 EPOCHS, BATCH, RATE = 5, 64, 2.0
-REJECTED, MOST = 0.001, 0.4
+REJECTED, MOST, LEEWAY = 0.001, 0.4, 3.0
 
 _code = np.arange(256)
 LETTER = np.where((_code >= 65) & (_code <= 90), _code + 32, np.where(((_code >= 97) & (_code <= 122)) | (_code >= 128), _code, 32)).astype(np.uint32)
@@ -57,15 +60,23 @@ class Model:
     langs: list[str]
     scores: np.ndarray  # bucket -> score of each language
     bias: np.ndarray
-    sharpness: float
-    threshold: float
+    seen: np.ndarray  # buckets met in training
+    sharpness: float = 1.0
+    threshold: float = 0.0
+    share: float = 0.0
 
-    def logits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of each text, and its number of subwords."""
+    def logits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of each text, its number of subwords, and how many of them training has met."""
         bucket, row = grams(data, offsets)
         n = np.bincount(row, minlength=len(offsets) - 1)
+        met = np.bincount(row, self.seen[bucket], len(offsets) - 1)
         sums = np.stack([np.bincount(row, self.scores[bucket, c], len(offsets) - 1) for c in range(len(self.langs))], 1)
-        return sums / np.maximum(n, 1)[:, None] + self.bias, n
+        return sums / np.maximum(n, 1)[:, None] + self.bias, n, met
+
+
+def strange(n: np.ndarray, met: np.ndarray, share: float) -> np.ndarray:
+    """Texts with clearly fewer known subwords than ``share``."""
+    return met < share * n - LEEWAY * np.sqrt(n * share * (1 - share))
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -78,21 +89,21 @@ def held_out(docs_id: str = "doc_id") -> Column:
 
 
 def sample(docs: DataFrame) -> list:
-    """The training pieces: (lang, doc_id, piece)."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    sizes = rows.groupBy("lang").count()
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    few = rows.join(F.broadcast(sizes), "lang").where(place < F.lit(float(DOCS_PER_LANG)) / F.col("count"))
-    at = F.explode(F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda k: (F.pmod(F.xxhash64("doc_id", k), F.greatest(F.lit(1), F.char_length("text") - PIECE_CHARS + 1)) + 1).cast("int"))).alias("at")
-    return few.select("lang", "doc_id", "text", at).select("lang", "doc_id", F.col("text").substr(F.col("at"), F.lit(PIECE_CHARS)).alias("piece")).distinct().collect()
+    """The training pieces: (lang, place, piece); pieces of one document have one place, a hash of doc_id and text."""
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("place"))
+    first = Window.partitionBy("lang").orderBy("place")
+    few = rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= DOCS_PER_LANG)
+    at = F.explode(F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda k: (F.pmod(F.xxhash64("place", k), F.greatest(F.lit(1), F.char_length("text") - PIECE_CHARS + 1)) + 1).cast("int"))).alias("at")
+    return few.select("lang", "place", "text", at).select("lang", "place", F.col("text").substr(F.col("at"), F.lit(PIECE_CHARS)).alias("piece")).distinct().collect()
 
 
 def train(docs: DataFrame, seed: int = 7) -> Model | None:
-    rows = sorted((r["lang"], -1 if r["doc_id"] is None else r["doc_id"], r["piece"]) for r in sample(docs))
+    rows = sorted((r["lang"], r["place"], r["piece"]) for r in sample(docs))
     langs = sorted({lang for lang, _, _ in rows})
     if not langs:
         return None
-    ids = np.asarray([d for _, d, _ in rows])
+    place = np.asarray([d for _, d, _ in rows])
     label = np.asarray([langs.index(lang) for lang, _, _ in rows])
     raw = [p.encode() for _, _, p in rows]
     offsets = np.r_[0, np.cumsum([len(p) for p in raw])]
@@ -100,7 +111,7 @@ def train(docs: DataFrame, seed: int = 7) -> Model | None:
     order = np.argsort(row, kind="stable")
     bucket, ends = bucket[order], np.cumsum(np.bincount(row, minlength=len(rows)))
     parts = [bucket[a:b] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())]
-    apart = ids * 2654435761 % 5 == 0
+    apart = place % 5 == 0
 
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1, 1, (BUCKETS, WIDTH)) / WIDTH
@@ -128,33 +139,40 @@ def train(docs: DataFrame, seed: int = 7) -> Model | None:
             table[cells[new]] -= rate * np.add.reduceat(np.repeat(back, n, 0)[sort], new)
             done += 1
 
-    model = Model(langs, (table @ layer).astype(np.float32), bias.astype(np.float32), 1.0, 0.0)
+    seen = np.zeros(BUCKETS, bool)
+    for i in learn:
+        seen[parts[i]] = True
+    model = Model(langs, (table @ layer).astype(np.float32), bias.astype(np.float32), seen)
     check = np.flatnonzero(apart)
     if len(check):
         texts = [raw[i] for i in check]
-        logits, n = model.logits(np.frombuffer(b"".join(texts), np.uint8), np.r_[0, np.cumsum([len(t) for t in texts])])
+        logits, n, met = model.logits(np.frombuffer(b"".join(texts), np.uint8), np.r_[0, np.cumsum([len(t) for t in texts])])
         logits, truth = logits[n > 0], label[check][n > 0]
         if len(truth):
             grid = np.geomspace(0.25, 16, 49)
             loss = [-np.log(np.maximum(softmax(g * logits)[np.arange(len(truth)), truth], 1e-12)).mean() for g in grid]
             model.sharpness = float(grid[int(np.argmin(loss))])
             model.threshold = float(min(MOST, np.quantile(softmax(model.sharpness * logits).max(1), REJECTED)))
+            n, met = n[n > 0], met[n > 0]
+            model.share = next((x for x in np.arange(0.99, 0.0, -0.01).tolist() if strange(n, met, x).mean() <= REJECTED), 0.0)
     return model
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs`` with lang_pred, score and rejected (all their columns stay; these three must be free)."""
+def identify(docs: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
+    """The rows of ``docs`` with lang_pred, score and rejected; ``prefix`` keeps these names apart from columns of ``docs``."""
+    added = [prefix + c for c in ("lang_pred", "score", "rejected")]
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "rejected": F.lit(True)})
+        return docs.select("*", *[F.lit(v).alias(c) for c, v in zip(added, ("und", 0.0, True))])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows of one number for each language
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            best, score, no = [], [], batch.num_columns - 2
+            best, score, odd, no = [], [], [], batch.num_columns - 2
             for _, data, offsets in byte_slices(batch.column(no)):
-                logits, _ = m.logits(data, offsets)
+                logits, n, met = m.logits(data, offsets)
+                odd += strange(n, met, m.share).tolist()
                 chance = softmax(m.sharpness * logits)
                 best += [m.langs[i] for i in chance.argmax(1).tolist()]
                 score += chance.max(1).tolist()
@@ -162,8 +180,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             columns = batch.columns[:no]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array([b if x else "und" for b, x in zip(best, letters)], pa.string()), pa.array([s if x else 0.0 for s, x in zip(score, letters)], pa.float64()),
-                 pa.array([not x or s < m.threshold for s, x in zip(score, letters)], pa.bool_())], [*names, "lang_pred", "score", "rejected"])
+                 pa.array([not x or s < m.threshold or o for s, x, o in zip(score, letters, odd)], pa.bool_())], [*names, *added])
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    schema = docs.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
-    return docs.select(*names, text().alias("_text"), letters.alias("_letters")).mapInArrow(run, schema)
+    schema = docs.select("*", *[F.lit(v).alias(c) for c, v in zip(added, ("", 0.0, True))]).schema
+    new = "i" + uuid.uuid4().hex[:12]
+    return docs.select("*", text().alias(f"{new}_text"), letters.alias(f"{new}_letters")).mapInArrow(run, schema)

@@ -4,8 +4,9 @@ Lengths are put into reciprocal-capacity classes: class k takes pieces of more t
 tokens, and each of its bins takes exactly k pieces, so a piece's bin follows from its number within its class
 alone and workers fill bins independently (a worker's numbers start where those of the workers before it end).
 A document is cut into whole sequences first; the rest is placed whole where it fills its class's share C/k up to
-1/32, else a piece of exactly C/(k+1) is cut off and the remainder goes on. The last, partly filled bins of the
-classes (at most classes*C tokens, whatever the input) are joined end to end and cut freely.
+1/32, else a piece of exactly C/(k+1) is cut off and the remainder goes on. Pieces of C/128 tokens and fewer are placed
+whole, k of them in a bin, so a document of one token fills 1/C of its bin like any other. The last, partly filled bins
+(at most one for each of the 128 + C/128 classes in use, whatever the input) are joined end to end and cut freely.
 
 Null texts are empty documents, which still have their end id. Repeated rows are packed each. Other columns are
 not looked at. An empty table gives no sequence.
@@ -36,9 +37,9 @@ def cut(n: int, capacity: int = CAPACITY, classes: int = CLASSES) -> list[tuple[
     out = [(capacity, 1)] * (n // capacity)
     left = n % capacity
     while left:
-        k = min(classes, capacity // left)
+        k = capacity // left
         share = capacity // k
-        if k == classes or (share - left) * SLACK <= share:
+        if k >= classes or (share - left) * SLACK <= share:
             out.append((left, k))
             break
         piece = capacity // (k + 1)
@@ -50,7 +51,7 @@ def cut(n: int, capacity: int = CAPACITY, classes: int = CLASSES) -> list[tuple[
 def pieces(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker, enc, end = TaskContext.get().partitionId(), encoder(tokenizer), np.asarray([end_id], "<u4").tobytes()
-        counts = [0] * (CLASSES + 1)
+        counts = [0] * (CAPACITY + 1)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
@@ -90,7 +91,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int) -> Packed:
     counts = cuts.groupBy("worker", "class").agg(F.count("*").alias("n"))
     before = Window.partitionBy("class").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     places = counts.select("worker", "class", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("at"))
-    classes = stage(counts.groupBy("class").agg(F.floor(F.sum("n") / F.col("class")).alias("full")), "classes").collect()  # at most CLASSES rows
+    classes = stage(counts.groupBy("class").agg(F.floor(F.sum("n") / F.col("class")).alias("full")), "classes").collect()  # at most CLASSES + CAPACITY / CLASSES rows
     first, total = [], 0
     for c in sorted(classes, key=lambda c: c["class"]):
         first += [F.lit(c["class"]), F.struct(F.lit(total).cast("long").alias("base"), F.lit(c["full"]).cast("long").alias("full"))]

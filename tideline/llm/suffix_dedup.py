@@ -1,17 +1,21 @@
 """Removal of byte strings of ``LENGTH`` bytes that an earlier document holds, by bucket-pointer refinement.
 
 Only a sample of the suffixes is sorted: of every ``LENGTH``-byte string the 24-byte piece with the smallest hash is
-its anchor, so equal strings have anchors of equal content. The initial buckets are these 24-byte pieces. A bucket
-that one document has to itself is finished; of the others, each anchor's surroundings (every string that can have
-this anchor) are brought together by bucket and refined: the identifier of a string of 2k bytes is made from the
-identifiers of k bytes at its start and at the later offset k, starting from 8 bytes, each level reusing the one
-before, up to ``LENGTH``. Sorting on the last identifiers gives the smallest doc_id of each string; it covers the
-string in every later document. Identifiers are two 64-bit hashes, so no string is taken for another.
+its anchor, so equal strings have anchors of equal content. A bucket of anchors that one document has to itself is
+finished; of the others, each anchor's surroundings (every string that can have this anchor) are brought together by
+bucket. There the suffixes are refined in blocks: their initial buckets are their first 8 bytes, numbered; a bucket is
+then split by sorting its suffixes on the bucket numbers found 8 bytes later, which orders them by 16 bytes, the new
+numbers are used in turn 16 bytes later for 32, and these for all ``LENGTH``. A bucket with one suffix is finished and
+leaves the sorting. Numbers stand for bytes, so no string is taken for another. The smallest doc_id of a bucket covers
+its string in every later document.
 
 Workers first settle what they can see alone (equal pieces or equal surroundings of several documents of a slice) and
 pass on one representative, so a passage that many documents share reaches a task once for each slice. A piece that
-is frequent all the same is dealt by the content of its single strings, and that holds for all its anchors, also for
-those that a worker settled by itself. Routes grow with the bytes of the corpus.
+is frequent all the same (in more than ``HOT_DOCUMENTS`` representatives) is dealt by the content of its single strings,
+and that holds for all its anchors, also for those that a worker settled by itself: another route, with the same result,
+so that what is carried over for a bucket stays bounded.
+Surroundings are plain rows in the order of bucket and doc_id; a task reads them as a stream, refines ``BLOCK_ROWS`` at a
+time and carries over what a bucket has held so far, so memory does not follow the size of a bucket.
 
 Texts are UTF-8 bytes; null texts are empty. Documents with equal texts: the smallest doc_id is treated, the others
 lose all bytes if they have ``LENGTH`` or more. Rows with one doc_id are one place in the order: they do not cover each other.
@@ -36,8 +40,9 @@ LENGTH, PIECE = 50, 24
 AHEAD = LENGTH - PIECE
 WIDTH = AHEAD + LENGTH
 SLICE_BYTES = 2 << 20
-ROUTE_BYTES, REFINE_BYTES = 64 << 20, 8 << 20
-HOT_DOCUMENTS = 2000
+ROUTE_BYTES = 16 << 20   # text whose anchors meet in one task
+BLOCK_ROWS = 8192
+HOT_DOCUMENTS = 20_000
 C = constants(31, 16)
 LOW = np.uint64(63)
 
@@ -198,27 +203,41 @@ def with_buckets_flag(flagged: DataFrame, texts: DataFrame) -> DataFrame:
     return sent.unionByName(known.select("doc_id", "place", F.coalesce("hot", F.lit(False)).alias("hot")).mapInArrow(gathered, "doc_id long, places binary, hot boolean"))
 
 
-def identifiers(context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two identifiers of the LENGTH bytes from each of the first WIDTH-LENGTH+1 offsets of each row, refined level by level."""
+def words_at(context: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each offset of each row."""
     wide = np.zeros((len(context), WIDTH + 8), np.uint64)
     wide[:, :WIDTH] = context
     for step in (1, 2, 4):
         wide[:, :-step] |= wide[:, step:] << np.uint64(8 * step)
-    out = []
-    for seed in (4, 10):
-        level, span = wide[:, :WIDTH - 7], 8
-        for c, later in ((0, 8), (2, 16), (4, LENGTH - 32)):
-            n = WIDTH - (span + later) + 1
-            level, span = mix(level[:, :n] * C[seed + c] + level[:, later:later + n] * C[seed + c + 1]), span + later
-        out.append(level)
-    return out[0], out[1]
+    return wide[:, :WIDTH - 7]
 
 
-STRINGS = "route int, docs binary, contexts binary, lows binary, highs binary, places binary, doc_id long, covered binary"
+# How the first 8 bytes grow to LENGTH: bytes known so far, and the later offset whose bucket numbers are sorted on.
+LEVELS = ((8, 8), (16, 16), (32, LENGTH - 32))
 
 
-def to_strings(routes: int, slice_bytes: int):
-    """(doc_id, text, places, hot) -> rows of (route, surroundings of the anchors in shared buckets)."""
+def string_keys(context: np.ndarray) -> np.ndarray:
+    """A hash of the LENGTH bytes from each of the first offsets of each row, to deal strings by."""
+    level = words_at(context)
+    for i, (span, later) in enumerate(LEVELS):
+        n = WIDTH - (span + later) + 1
+        level = mix(level[:, :n] * C[4 + 2 * i] + level[:, later:later + n] * C[5 + 2 * i])
+    return level
+
+
+STRINGS = "key long, doc_id long, context binary, low int, high int, start int, covered binary"
+
+
+def rows_of(key: np.ndarray, doc: np.ndarray, context: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    raw = np.ascontiguousarray(context)
+    sized = pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(np.arange(len(raw) + 1, dtype=np.int32) * np.int32(WIDTH)), pa.py_buffer(raw)])
+    small = [pa.array(x.astype(np.int32)) for x in (low, high, start)]
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), sized, *small, pa.nulls(len(raw), pa.binary())], [c.split()[0] for c in STRINGS.split(", ")])
+
+
+def to_strings(slice_bytes: int):
+    """(doc_id, text, places, hot) -> one row for each surroundings of an anchor in a shared bucket; rows with
+    ``covered`` say what a slice has settled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,80 +261,127 @@ def to_strings(routes: int, slice_bytes: int):
                 high = np.minimum(AHEAD, size[doc] - LENGTH - at + AHEAD)
                 padded = np.zeros(len(data) + 2 * WIDTH, np.uint8)
                 padded[WIDTH:WIDTH + len(data)] = data
-                context = padded[(offsets[doc] + at + WIDTH - AHEAD)[:, None] + np.arange(WIDTH)]
-                beside = (np.arange(WIDTH) < low[:, None]) | (np.arange(WIDTH) >= high[:, None] + LENGTH)
-                context[beside] = 0
-                yield strings(context, low, high, at - AHEAD, ids[row:row + len(offsets) - 1][doc], hot, routes)
+                # Every window of WIDTH bytes, as a view; only the anchors' are copied.
+                context = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[offsets[doc] + at + WIDTH - AHEAD]
+                outside(context, low, high)
+                yield from strings(context, low, high, at - AHEAD, ids[row:row + len(offsets) - 1][doc], hot)
 
     return run
 
 
-def strings(context: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray, doc: np.ndarray, hot: np.ndarray, routes: int) -> pa.RecordBatch:
-    rows: list[tuple] = []
-    words = np.zeros((len(context), -(-WIDTH // 8) * 8), np.uint8)
-    words[:, :WIDTH] = context
-    words = words.view(np.uint64)
-    edge = low.astype(np.uint64) * np.uint64(64) + high.astype(np.uint64)
-    a, b = (mix((words * constants(seed, words.shape[1])).sum(1) + edge * C[seed - 41]) for seed in (41, 42))
+def outside(context: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+    """Clear what no string of the row reaches."""
+    for i in range(0, len(context), BLOCK_ROWS):
+        part, o = context[i:i + BLOCK_ROWS], np.arange(WIDTH)
+        part[(o < low[i:i + BLOCK_ROWS, None]) | (o >= high[i:i + BLOCK_ROWS, None] + LENGTH)] = 0
+
+
+def equal_rows(context: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the surroundings of each row, first row of each number)."""
+    whole = np.empty((len(context), WIDTH + 2), np.uint8)
+    whole[:, :WIDTH], whole[:, WIDTH], whole[:, WIDTH + 1] = context, low, high
+    _, head, group = np.unique(whole.view(f"V{WIDTH + 2}").ravel(), return_index=True, return_inverse=True)
+    return group, head
+
+
+def least_of(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The smallest doc of each group; groups are dense numbers."""
+    order = np.lexsort((doc, group))
+    first = np.r_[True, np.diff(group[order]) != 0][: len(order)]
+    return doc[order][first]
+
+
+def strings(context: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray, doc: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(context):
+        return
     # Of equal surroundings in the slice only those of the smallest document go on; the others are covered.
-    order = np.lexsort((doc, b, a))
-    head = np.flatnonzero(np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
-    least = np.empty(len(doc), np.int64)
-    least[order] = np.repeat(doc[order][head], np.diff(np.r_[head, len(order)]))
-    covered = doc > least
+    group, _ = equal_rows(context, low, high)
+    covered = doc > least_of(group, doc)[group]
     ends = np.stack([start + low, start + high + LENGTH], 1).astype("<u4")
-    rows += [(d % routes, b"", b"", b"", b"", b"", d, p.tobytes()) for d, p in by_document(doc[covered], ends[covered])]
-    piece = pieces(eights(context[:, AHEAD:AHEAD + PIECE].ravel())).reshape(-1, PIECE)[:, 0] if len(context) else np.zeros(0, np.uint64)
+    settled = list(by_document(doc[covered], ends[covered]))
+    if settled:
+        ids = pa.array([d for d, _ in settled], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [ids, ids, pa.nulls(len(ids), pa.binary()), *[pa.nulls(len(ids), pa.int32())] * 3, pa.array([p.tobytes() for _, p in settled], pa.binary())],
+            [c.split()[0] for c in STRINGS.split(", ")])
     pick = np.flatnonzero(~covered & ~hot)
-    parts = [(piece[pick], pick, low[pick], high[pick])]
+    for i in range(0, len(pick), BLOCK_ROWS):
+        at = pick[i:i + BLOCK_ROWS]
+        piece = pieces(eights(context[at, AHEAD:AHEAD + PIECE].ravel())).reshape(-1, PIECE)[:, 0]
+        yield rows_of(mix(piece), doc[at], context[at], low[at], high[at], start[at])
     wide = np.flatnonzero(~covered & hot)
-    if len(wide):
-        name = identifiers(context[wide])[0]
-        r, o = np.nonzero((np.arange(AHEAD + 1) >= low[wide][:, None]) & (np.arange(AHEAD + 1) <= high[wide][:, None]))
-        parts.append((name[r, o], wide[r], o, o))
-    key, of, lo, hi = (np.concatenate(x) for x in zip(*parts))
-    goes = (mix(key) >> np.uint64(20)) % np.uint64(routes)
-    for route in np.unique(goes).tolist():
-        at = np.flatnonzero(goes == route)
-        rows.append((route, doc[of[at]].astype("<i8").tobytes(), context[of[at]].tobytes(), lo[at].astype(np.uint8).tobytes(), hi[at].astype(np.uint8).tobytes(), start[of[at]].astype("<i4").tobytes(), None, b""))
-    kinds = (pa.int32(), *[pa.binary()] * 5, pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 8, kinds)], [c.split()[0] for c in STRINGS.split(", ")])
-
-
-def refine(rows: pd.DataFrame) -> pd.DataFrame:
-    """One route's surroundings -> doc_id, covered (pairs of start and end) of the strings that a smaller document holds."""
-    out = [(int(d), c) for d, c in rows.loc[rows["doc_id"].notna(), ["doc_id", "covered"]].itertuples(index=False)]
-    open_ = rows[rows["doc_id"].isna()]
-    if len(open_):
-        doc, start = (np.frombuffer(b"".join(open_[c]), t) for c, t in (("docs", "<i8"), ("places", "<i4")))
-        low, high = (np.frombuffer(b"".join(open_[c]), np.uint8).astype(np.int64) for c in ("lows", "highs"))
-        context = np.frombuffer(b"".join(open_["contexts"]), np.uint8).reshape(-1, WIDTH)
+    for i in range(0, len(wide), BLOCK_ROWS // 32):
+        at = wide[i:i + BLOCK_ROWS // 32]
+        name = string_keys(context[at])
+        r, o = np.nonzero((np.arange(AHEAD + 1) >= low[at][:, None]) & (np.arange(AHEAD + 1) <= high[at][:, None]))
+        single = context[at[r]]
+        outside(single, o, o)
+        yield rows_of(mix(name[r, o]), doc[at[r]], single, o, o, start[at[r]])
+
+
+def refined(context: np.ndarray) -> np.ndarray:
+    """Bucket numbers by LENGTH bytes of the suffixes from the first offsets of each row."""
+    words = words_at(context)
+    _, pointer = np.unique(words, return_inverse=True)
+    pointer = pointer.reshape(words.shape)
+    for span, later in LEVELS:
+        n = WIDTH - (span + later) + 1
+        here, there = pointer[:, :n].ravel(), pointer[:, later:later + n].ravel()
+        # Buckets with one suffix are finished. They may still be pointed at, so they keep a number.
+        open_ = np.bincount(here, minlength=1)[here] > 1
+        split = np.cumsum(~open_) - 1
+        finished = int((~open_).sum())
+        _, number = np.unique(here[open_] * (int(pointer.max(initial=0)) + 1) + there[open_], return_inverse=True)
+        split[open_] = finished + number
+        pointer = split.reshape(len(context), n)
+    return pointer
+
+
+def refine(block_rows: int):
+    """Surroundings in the order of (key, doc_id) -> doc_id, covered (pairs of start and end) of the strings that a
+    smaller document holds."""
+    return lambda batches: refine_stream(batches, block_rows)
+
+
+def refine_stream(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterator[pa.RecordBatch]:
+    carried: tuple | None = None  # key and the distinct surroundings met under it, each with its smallest document
+
+    def told(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.binary())], ["doc_id", "covered"])
+
+    def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        nonlocal carried
+        key, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        low, high, start = (batch.column(i).to_numpy() for i in (3, 4, 5))
+        context = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, WIDTH)
+        new = len(doc)
+        if carried is not None and carried[0] == key[0]:
+            context, low, high, doc = (np.concatenate([x, y]) for x, y in zip((context, low, high, doc), carried[1:]))
         # Equal surroundings are refined once, for their smallest document.
-        view = np.zeros((len(doc), -(-WIDTH // 8) * 8), np.uint8)
-        view[:, :WIDTH] = context
-        words = view.view(np.uint64)
-        edge = low.astype(np.uint64) * np.uint64(64) + high.astype(np.uint64)
-        a, b = (mix((words * constants(seed, words.shape[1])).sum(1) + edge * C[seed - 41]) for seed in (41, 42))
-        order = np.lexsort((doc, b, a))
-        new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
-        head = order[new]
-        group = np.empty(len(doc), np.int64)
-        group[order] = np.cumsum(new) - 1
-        first, second = identifiers(context[head])
+        group, head = equal_rows(context, low, high)
+        least = least_of(group, doc)
         inside = (np.arange(AHEAD + 1) >= low[head][:, None]) & (np.arange(AHEAD + 1) <= high[head][:, None])
-        r, o = np.nonzero(inside)
-        x, y, d = first[r, o], second[r, o], doc[head][r]
-        sort = np.lexsort((y, x))
-        same = np.r_[True, (x[sort][1:] != x[sort][:-1]) | (y[sort][1:] != y[sort][:-1])]
-        least = np.repeat(np.minimum.reduceat(d[sort], np.flatnonzero(same)), np.diff(np.r_[np.flatnonzero(same), len(sort)]))
+        bucket = refined(context[head])[inside]
+        owner = np.broadcast_to(least[:, None], inside.shape)[inside]
+        _, dense = np.unique(bucket, return_inverse=True)
         mask = np.zeros(inside.shape, bool)
-        mask[r[sort], o[sort]] = least < d[sort]
-        mask = np.where((doc > doc[head][group])[:, None], inside[group], mask[group])
-        edges = np.diff(np.pad(mask, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        mask[inside] = least_of(dense, owner)[dense] < owner
+        gone = np.where((doc > least[group])[:, None], inside[group], mask[group])[:new]
+        edges = np.diff(np.pad(gone, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         (r1, o1), (_, o2) = np.nonzero(edges == 1), np.nonzero(edges == -1)
         ends = np.stack([start[r1] + o1, start[r1] + o2 - 1 + LENGTH], 1).astype("<u4")
-        out += [(d, p.tobytes()) for d, p in by_document(doc[r1], ends)]
-    return pd.DataFrame(out, columns=["doc_id", "covered"])
+        yield told([(d, p.tobytes()) for d, p in by_document(doc[:new][r1], ends)])
+        last = key[-1]
+        under = np.unique(group[np.r_[key == last, np.full(len(doc) - new, key[0] == last)]])
+        carried = (last, context[head[under]], low[head[under]], high[head[under]], least[under])
+
+    for batch in batches:
+        settled = batch.filter(batch.column(6).is_valid())
+        if len(settled):
+            yield told(list(zip(settled.column(1).to_pylist(), settled.column(6).to_pylist())))
+        open_ = batch.filter(batch.column(6).is_null())
+        for i in range(0, len(open_), block_rows):
+            yield from block(open_.slice(i, block_rows))
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,12 +399,12 @@ def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([kept], pa.binary())], ["doc_id", "spans", "kept"])
 
 
-def removed(docs: DataFrame, hot_documents: int = HOT_DOCUMENTS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def removed(docs: DataFrame, hot_documents: int = HOT_DOCUMENTS, slice_bytes: int = SLICE_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, sha (of the text), n_bytes, copy (an equal text has a smaller doc_id), spans, kept (null where nothing goes)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text())
     light = stage(rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha")), "digests")
     total = light.agg(F.sum("n_bytes")).first()[0] or 0
-    routes, refine_routes = (max(1, -(-total // n)) for n in (ROUTE_BYTES, REFINE_BYTES))
+    routes = max(1, -(-total // ROUTE_BYTES))
     firsts = stage(light.groupBy("sha").agg(F.min("doc_id").alias("least")), "firsts")
     light = stage(light.join(firsts, "sha").withColumn("copy", F.coalesce(F.col("least") < F.col("doc_id"), F.lit(False))).drop("least"), "copies")
 
@@ -347,8 +413,9 @@ def removed(docs: DataFrame, hot_documents: int = HOT_DOCUMENTS, slice_bytes: in
     whole = light.where("not copy").select("doc_id").distinct()
     texts = known.repartition(max(routes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "doc_id")
     lists = with_buckets_flag(flagged, texts).groupBy("doc_id").agg(F.collect_list(F.struct("places", "hot")).alias("places"))
-    found = texts.join(lists.join(whole, "doc_id", "left_semi"), "doc_id").select("doc_id", "text", "places").mapInArrow(to_strings(refine_routes, slice_bytes), STRINGS)
-    covered = found.groupBy("route").applyInPandas(refine, "doc_id long, covered binary").groupBy("doc_id").agg(F.collect_list("covered").alias("covered"))
+    found = texts.join(lists.join(whole, "doc_id", "left_semi"), "doc_id").select("doc_id", "text", "places").mapInArrow(to_strings(slice_bytes), STRINGS)
+    sorted_ = found.repartition("key").sortWithinPartitions("key", "doc_id")
+    covered = sorted_.mapInArrow(refine(block_rows), "doc_id long, covered binary").groupBy("doc_id").agg(F.collect_list("covered").alias("covered"))
     changed = texts.join(covered, "doc_id").select("doc_id", "text", "covered").mapInArrow(cut_out, "doc_id long, spans array<struct<start: long, end: long>>, kept binary")
     changed = changed.withColumn("changed_id", F.col("doc_id")).drop("doc_id")
     return light.join(changed, (F.col("doc_id") == F.col("changed_id")) & ~F.col("copy"), "left").select("doc_id", "sha", "n_bytes", "copy", "spans", "kept")

@@ -16,10 +16,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stage, text
+from tideline.llm.common import join_rows, located, location, stage, text
 
 COUNTERS = 1000
 
@@ -39,10 +39,10 @@ def misra_gries(counters: int):
     return summarise
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """doc_id, sha (binary SHA-256 of the whole text) and a row id that tells repeated rows apart."""
-    light = docs.select("doc_id", F.unhex(F.sha2(text(), 256)).alias("sha"), F.monotonically_increasing_id().alias("row"))
-    return stage(light, "digests")
+    own = F.monotonically_increasing_id() if row is None else row
+    return stage(docs.select("doc_id", F.unhex(F.sha2(text(), 256)).alias("sha"), own.alias("row")), "digests")
 
 
 def heavy_digests(light: DataFrame, counters: int = COUNTERS) -> DataFrame:
@@ -54,9 +54,9 @@ def heavy_digests(light: DataFrame, counters: int = COUNTERS) -> DataFrame:
     return stage(exact.where(F.col("n") > 1), "heavy")
 
 
-def decide(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
+def decide(docs: DataFrame, counters: int = COUNTERS, row: Column | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, row, sha, keep_id, group_size, kept."""
-    light = digests(docs)
+    light = digests(docs, row)
     heavy = heavy_digests(light, counters)
     hot = light.join(F.broadcast(heavy), "sha")
     rest = light.join(F.broadcast(heavy.select("sha")), "sha", "left_anti")
@@ -67,14 +67,7 @@ def decide(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    decided = stage(decide(docs, counters), "kept")
-    dropped = decided.where(~F.col("kept")).groupBy("doc_id", "sha").agg(F.count("*").alias("gone"))
-    stays = decided.where("kept").select("doc_id", "sha")
-    gone = dropped.join(stays.withColumn("stays", F.lit(True)), (dropped["doc_id"].eqNullSafe(stays["doc_id"])) & (dropped["sha"] == stays["sha"]), "left").select(
-        dropped["doc_id"].alias("_id"), dropped["sha"].alias("_sha"), F.coalesce("stays", F.lit(False)).alias("_stays"))
-    tagged = docs.withColumn("_digest", F.unhex(F.sha2(text(), 256)))
-    joined = tagged.join(gone, tagged["doc_id"].eqNullSafe(gone["_id"]) & (F.col("_digest") == F.col("_sha")), "left")
-    whole = joined.where(F.col("_sha").isNull()).select(*docs.columns)
-    # The kept row may be repeated: of rows with the same doc_id and text one stays.
-    repeated = joined.where("_stays").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
-    return whole.unionByName(repeated)
+    files = located(docs)
+    dropped = stage(decide(files, counters, location(files)).where(~F.col("kept")).select("row"), "dropped")
+    stays, _ = join_rows(files, dropped, "left_anti")
+    return stays.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stage
+from tideline.llm.common import join_rows, located, location, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
@@ -82,7 +82,7 @@ def rates(size: np.ndarray, n: np.ndarray, target: float, cap: int = CAP) -> np.
     return tilt(at * x, cap)
 
 
-def copies(size: np.ndarray, n: np.ndarray, rate: np.ndarray, target: float) -> tuple[np.ndarray, np.ndarray]:
+def copies(size: np.ndarray, n: np.ndarray, rate: np.ndarray, target: float, cap: int = CAP) -> tuple[np.ndarray, np.ndarray]:
     """(copies of every document, number of documents with one more) by length; lengths ascend."""
     base = np.floor(rate + 1e-9).astype(np.int64)
     cumulated = np.floor(np.cumsum(n * np.maximum(rate - base, 0)) + 0.5).astype(np.int64)
@@ -91,15 +91,16 @@ def copies(size: np.ndarray, n: np.ndarray, rate: np.ndarray, target: float) ->
     for i in range(len(size) - 1, -1, -1):
         room = n[i] - more[i] if missing > 0 else more[i]
         turned = min(int(room), abs(missing) // int(size[i])) * (1 if missing > 0 else -1)
-        if base[i] + (turned > 0) <= CAP:
+        if base[i] + (turned > 0) <= cap:
             more[i] += turned
             missing -= turned * int(size[i])
     return base, more
 
 
-def balance(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, key, size, source_size, target, copies."""
-    light = stage(docs.select("doc_id", source_key().alias("key"), words().alias("size")).withColumn("h", F.xxhash64("doc_id", "key", "size")), "sizes")
+def balance(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, row: Column | None = None) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, key, size, source_size, target, copies (and ``row``, when one is given)."""
+    own = [] if row is None else [row.alias("row")]
+    light = stage(docs.select("doc_id", source_key().alias("key"), words().alias("size"), *own).withColumn("h", F.xxhash64("doc_id", "key", "size")), "sizes")
     cells = stage(light.groupBy("key", "size").agg(F.count("*").alias("n")), "cells")
     goals = stage(targets(cells.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, cap), "targets")
 
@@ -108,7 +109,7 @@ def balance(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CA
         size, n, goal = cell["size"].to_numpy(), cell["n"].to_numpy(), float(cell["target"].iloc[0])
         base, more = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
         some = size > 0
-        base[some], more[some] = copies(size[some], n[some], rates(size[some], n[some], goal, cap), goal)
+        base[some], more[some] = copies(size[some], n[some], rates(size[some], n[some], goal, cap), goal, cap)
         return cell.assign(base=base, more=more)[["key", "size", "n", "source_size", "target", "base", "more"]]
 
     settled = cells.join(goals, "key").groupBy("key").applyInPandas(settle, "key string, size long, n long, source_size long, target double, base long, more long")
@@ -121,14 +122,13 @@ def balance(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CA
     numbered = mixed.withColumn("rank", F.row_number().over(Window.partitionBy("key", "size", "slice").orderBy("h")))
     numbered = numbered.join(slices.select("key", "size", "slice", before.alias("before")), ["key", "size", "slice"])
     chosen = numbered.withColumn("copies", F.col("base") + F.when(F.col("before") + F.col("rank") <= F.col("more"), 1).otherwise(0))
-    columns = ["doc_id", "key", "size", "source_size", "target", "copies"]
+    columns = ["doc_id", "key", "size", "source_size", "target", "copies", *(["row"] if own else [])]
     return even.select(columns).unionByName(chosen.select(columns))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    order = Window.partitionBy("_id").orderBy("_key", "_size")
-    taken = stage(balance(docs, weights, cap).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("size").alias("_size"), F.col("copies").alias("_copies")), "copies").withColumn("_no", F.row_number().over(order))
-    rows = docs.withColumns({"_id": F.col("doc_id"), "_key": source_key(), "_size": words()}).withColumn("_no", F.row_number().over(order)).drop("_key", "_size")
-    joined = rows.join(taken.withColumnRenamed("_id", "_taken").withColumnRenamed("_no", "_nth"), F.col("_id").eqNullSafe(F.col("_taken")) & (F.col("_no") == F.col("_nth")))
-    return joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    files = located(docs)
+    taken = balance(files, weights, cap, location(files)).where("copies > 0").select("row", F.col("copies").cast("int").alias("copies"))
+    rows, new = join_rows(files, stage(taken, "copies"), "inner")
+    return rows.withColumn(f"{new}copy", F.explode(F.sequence(F.lit(1), F.col(f"{new}copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])

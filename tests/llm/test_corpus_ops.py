@@ -59,7 +59,7 @@ def shingle_set(text):
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set()
 
 
-def near_components(rows):
+def near_components(rows, percent=85):
     sets = [(d, shingle_set(t)) for d, t, *_ in rows if d is not None]
     label = {d: d for d, _ in sets}
 
@@ -69,7 +69,7 @@ def near_components(rows):
         return x
 
     for (a, x), (b, y) in itertools.combinations(sets, 2):
-        if x and y and 100 * len(x & y) >= 85 * len(x | y):
+        if x and y and 100 * len(x & y) >= percent * len(x | y):
             low, high = sorted((find(a), find(b)))
             label[high] = low
     return {d: find(d) for d, _ in sets}
@@ -129,6 +129,28 @@ def test_near_dedup_edges(odd, odd_rows, empty):
     assert near_dup.components_of(empty).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [0, 4])
+def test_copies_of_one_text_around_the_threshold(make, monkeypatch, rounds):
+    """One family whose members lie on both sides of the threshold to its smallest: pivots join most, the rest is paired."""
+    monkeypatch.setattr(near_dup, "ROUNDS", rounds)
+    rng = random.Random(12)
+    base, rows = prose(rng, 150).split(), []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.choice((1, 1, 2, 2, 3))):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en", "s"))
+    got = dict(collect(near_dup.components_of(make(rows).repartition(3), 90), "doc_id", "component_id"))
+    assert got == near_components(rows, 90)
+
+
+def test_links_are_contracted(spark):
+    labels = spark.createDataFrame([(i, i // 10 * 10) for i in range(40)], "id long, label long")
+    links = spark.createDataFrame([(a, b) for a in range(10, 20) for b in range(20, 30)] + [(1, 2)], "a long, b long")
+    got = dict(collect(near_dup.merged(labels, links), "id", "label"))
+    assert got == {i: 10 if 10 <= i < 30 else i // 10 * 10 for i in range(40)}
+
+
 def test_long_and_short_texts_hash_alike():
     import pyarrow as pa
 
@@ -203,25 +225,52 @@ def passages(seed):
     return rows
 
 
+def test_pointers_are_equal_for_equal_strings():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for letters in (2, 60):
+        context = rng.integers(97, 97 + letters, (40, suffix_dedup.WIDTH)).astype(np.uint8)
+        context[10:20, 5:70] = context[0, 2:67]
+        context[20:25] = context[0]
+        pointer = suffix_dedup.refined(context)
+        text = {(r, o): context[r, o:o + suffix_dedup.LENGTH].tobytes() for r in range(40) for o in range(pointer.shape[1])}
+        numbers = {}
+        for at, string in text.items():
+            numbers.setdefault(string, set()).add(int(pointer[at]))
+        assert all(len(x) == 1 for x in numbers.values()) and len(set.union(*numbers.values())) == len(numbers)
+
+
+def test_surroundings_grow_with_the_text(make):
+    """Four times the text makes about four times the rows that are shuffled, whatever the number of slices."""
+    counts = []
+    for n in (100, 400):
+        rng = random.Random(5)
+        rows = [(i, f"{prose(rng, 40)} {prose(random.Random(i // 2), 20)} {prose(rng, 40)}", "en", "s") for i in range(n)]
+        known = make(rows).selectExpr("doc_id", "text").repartition(3)
+        counts.append(known.mapInArrow(suffix_dedup.to_buckets(2, 4000), suffix_dedup.BUCKETS).count())
+    assert counts[1] < 5 * counts[0]
+
+
 @pytest.mark.parametrize("seed,hot", [(0, 2000), (1, 2), (2, 2000)])
 def test_suffix_dedup_matches_brute_force(make, seed, hot):
     rows = passages(seed)
     texts = {r[0]: r[1].encode() for r in rows}
-    got = [(d, n, texts[d] if k is None else k, s) for d, n, k, s in cut_rows(suffix_dedup.removed(make(rows).repartition(4), hot, 4000))]
+    got = [(d, n, texts[d] if k is None else k, s) for d, n, k, s in cut_rows(suffix_dedup.removed(make(rows).repartition(4), hot, 4000, 64))]
     assert sorted(got, key=str) == removed(rows)
     assert sum(n - len(k) for _, n, k, _ in got) > 1000
 
 
-def test_hot_piece_meets_all_its_anchors(make, monkeypatch):
+@pytest.mark.parametrize("block", [16, 8192])
+def test_hot_piece_meets_all_its_anchors(make, block):
     """Documents 2i and 2i+1 share passage i and lie in one slice; document 1000 + i repeats it beyond the limit of hot pieces."""
-    monkeypatch.setattr(suffix_dedup, "REFINE_BYTES", 500)
     rng = random.Random(4)
     shared = [prose(rng, 12) for _ in range(20)]
     rows = [(i, f"{prose(rng, 10)} {shared[i // 2]} {prose(rng, 10)}", "en", "s") for i in range(40)]
     rows += [(1000 + i, " ".join(f"{x} {prose(rng, 2)}" for x in [shared[i]] * 8), "en", "s") for i in range(20)]
     texts = {r[0]: r[1].encode() for r in rows}
     docs, one_slice = make(rows).coalesce(1), sum(len(texts[i]) for i in range(40))
-    got = [(d, n, texts[d] if k is None else k, s) for d, n, k, s in cut_rows(suffix_dedup.removed(docs, 4, one_slice))]
+    got = [(d, n, texts[d] if k is None else k, s) for d, n, k, s in cut_rows(suffix_dedup.removed(docs, 4, one_slice, block))]
     assert sorted(got, key=str) == removed(rows)
 
 
@@ -267,8 +316,16 @@ def test_reshard(spark, make, odd, odd_rows, empty):
     assert again.untouched == [0] and again.read().count() == 3000
     for docs, n in ((odd, len(odd_rows)), (empty, 0)):
         folder, schema = resharding.lay_out(docs, F.lit(0))
-        if n:
-            assert resharding.reshard(spark, folder, schema, 3).read().count() == n
+        assert resharding.reshard(spark, folder, schema, 3).read().count() == n
+
+
+@pytest.mark.parametrize("doc_id,same", [(None, False), (7, True)])
+def test_rows_without_an_id_of_their_own_are_split(spark, make, doc_id, same):
+    rows = [(doc_id, "one text of all" if same else f"text number {i} of many", "en", "s") for i in range(8000)]
+    folder, schema = resharding.lay_out(make(rows).repartition(4), F.lit(0))
+    got = resharding.reshard(spark, folder, schema, 4).read().groupBy("_shard").agg(F.sum("_size").alias("n")).collect()
+    weight = [r["n"] for r in got]
+    assert len(weight) == 4 and max(weight) - min(weight) <= 0.01 * max(weight)
 
 
 # ---- mixing ----
@@ -332,6 +389,22 @@ def test_mix_edges(odd, odd_rows, empty):
     assert mixing.mixed(odd).count() == sum(r["copies"] for r in got)
 
 
+OWN_NAMES = ("_id", "_sha", "_stays", "_digest", "_copies", "_taken", "_key", "_size", "_no", "_text", "_letters", "lang_pred", "score", "rejected", "row",
+             "place", "file", "copies", "key", "h", "sha", "keep_id", "file_path", "row_index", "label", "n_shingles", "component_id")
+
+
+def test_stages_with_own_names_as_columns(make, odd, odd_rows):
+    """Columns that bear names used inside an operator come through unchanged, whatever the stage."""
+    docs = odd.drop("kept", "size", "shard", "sha", "id").selectExpr("*", *[f"concat('mine-', coalesce(cast(doc_id as string), 'none')) as `{c}`" for c in OWN_NAMES])
+    spark = docs.sparkSession
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"mine-{'none' if r['doc_id'] is None else r['doc_id']}" for r in rows for c in OWN_NAMES), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= len(odd_rows)
+
+
 # ---- pipeline ----
 
 
@@ -350,7 +423,7 @@ def test_pipeline_stages(spark):
         best[r["text"]] = max(best.get(r["text"], -1), r["doc_id"])
     assert sorted(r["doc_id"] for r in now) == sorted(best.values())
     was, now = kept["near_dedup"]
-    label = near_components([(r["doc_id"], r["text"]) for r in was])
+    label = near_components([(r["doc_id"], r["text"]) for r in was], corpus_pipeline.NEAR_PERCENT)
     assert sorted(r["doc_id"] for r in now) == sorted(set(label.values()))
     was, now = kept["mixing"]
     copies = {r["doc_id"]: 0 for r in was}

@@ -8,8 +8,10 @@ often as their Jaccard similarity J says. Bands of four registers give buckets;
 bands with probability (1 - 0.85**4)**32 < 1e-10, one at J = 0.80 with 5e-8. The threshold is ``percent``.
 
 Documents with equal sets are one class, held by its smallest doc_id. Each class in a bucket is verified on the
-full sets against the bucket's smallest class, which joins large groups without forming their pairs. Of classes of
-one bucket that are still apart, those leave that cannot reach any size in the bucket: the shingles a set shares with
+full sets against the bucket's smallest class, which joins large groups without forming their pairs. In buckets that
+still hold several components, ``ROUNDS`` times each class outside a bucket's first component is verified against one
+member of it (of all its buckets one, another member every time), and found links are contracted to components: near copies that miss the
+smallest class meet one of the many others. Of classes of one bucket that are then still apart, those leave that cannot reach any size in the bucket: the shingles a set shares with
 any other of these sets bound every intersection. The others are paired unless that bound or the triangle inequality
 of the Jaccard distance (both distances to the bucket's smallest are known) excludes a link, each pair in the first band it shares only, or the joint likelihood
 of both sketches puts J more than six standard deviations below the threshold; the rest is verified on full sets.
@@ -33,6 +35,7 @@ from tideline.llm.graph import components
 from tideline.llm.hashing import byte_slices, constants, mix, shingles
 
 BANDS, ROWS = 32, 4
+ROUNDS = 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65534
 PERCENT = 85
@@ -124,6 +127,28 @@ def linked(percent: int) -> Column:
     return 100 * F.col("common") >= percent * F.col("joint")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """id, label after links (a, b): components of components, so many links between two of them count as one."""
+    of_a, of_b = (labels.select(F.col("id").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
+    between = stage(links.join(of_a, "a").join(of_b, "b").where("label_a <> label_b").select(
+        F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")).distinct(), "links")
+    if between.isEmpty():
+        return labels
+    joined = components(between).select(F.col("id").alias("label"), F.col("label").alias("to"))
+    return stage(labels.join(joined, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
+
+
+def pivoted(open_: DataFrame, turn: int) -> DataFrame:
+    """(a, b): every class outside the first component of a bucket with one member of such a component, another one in every
+    bucket and turn; of the buckets it lies in, one is chosen."""
+    mains = open_.groupBy("band", "key").agg(F.min_by("label", "id").alias("main"))
+    inside = open_.join(mains, ["band", "key"])
+    pivots = inside.where("label = main").groupBy("band", "key").agg(F.min_by("id", F.xxhash64("id", "band", F.lit(turn))).alias("pivot"))
+    met = inside.where("label <> main").join(pivots, ["band", "key"])
+    one = met.groupBy("id").agg(F.min_by("pivot", F.xxhash64("id", "pivot", F.lit(turn))).alias("pivot"))
+    return one.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+
+
 def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id; sets link from a Jaccard similarity of ``percent`` / 100."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text())
@@ -142,10 +167,16 @@ def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     star = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     verified = stage(overlap(star, sets).groupBy("a", "b").agg(F.count("*").alias("n"), F.max(F.struct((F.col("common") / F.col("joint")).alias("j"), "common", "joint")).alias("m")).select("a", "b", "n", "m.*"), "verified")
     links = verified.where(linked(percent)).select("a", "b")
-    labels = components(links)
+    labels = stage(ids.join(components(links), "id", "left").select("id", F.coalesce("label", "id").alias("label")), "labels")
+
+    for turn in range(ROUNDS):
+        open_ = stage(still_apart(members.select("band", "key", "id").join(labels, "id")), "open")
+        if open_.isEmpty():
+            break
+        labels = merged(labels, overlap(pivoted(open_, turn), sets).where(linked(percent)).select("a", "b"))
 
     # Classes of one bucket that are still apart.
-    placed = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    placed = members.join(labels, "id")
     # An id with several sets has several distances; they exclude nothing.
     placed = placed.join(verified.select(F.col("a").alias("least"), F.col("b").alias("id"), F.expr("if(n = 1, 1 - j, null)").alias("far")), ["least", "id"], "left")
     placed = stage(placed.select("band", "key", "least", "id", "n_shingles", "label", "far"), "placed")
@@ -168,8 +199,7 @@ def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     j = percent / 100
     likely = rest.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(estimate, "a long, b long, j double").where(F.col("j") >= j - 6 * (j * (1 - j) / REGISTERS) ** 0.5)
     more = stage(overlap(likely.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct(), sets).where(linked(percent)).select("a", "b"), "links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    labels = merged(labels, more)
 
     named = classes.join(labels, "id", "left").select(*digest, F.coalesce("label", "id").alias("component_id"))
     grouped = some.drop("bands").join(stage(named, "components"), digest).select("doc_id", "n_shingles", "component_id")

@@ -6,6 +6,8 @@ returns the pieces of the packed sequences. Empty tables pass through every stag
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,9 @@ NEAR_PERCENT = 80
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the language of the others is the predicted one."""
     model = language.train(docs.where(~language.held_out()))
-    rows = language.identify(docs, model)
-    return rows.where(~F.col("rejected")).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    new = f"p{uuid.uuid4().hex[:12]}_"
+    kept = language.identify(docs, model, new).where(~F.col(f"{new}rejected"))
+    return kept.select(*[F.col(f"{new}lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,10 +92,12 @@ def sample(docs: DataFrame) -> list:
     """The training pieces: (lang, place, piece); pieces of one document have one place, a hash of doc_id and text."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("place"))
+    room = F.greatest(F.lit(1), F.char_length("text") - PIECE_CHARS + 1)
+    # Only the pieces go into the ranking, never whole texts.
+    cut = F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda k: F.substring("text", (F.pmod(F.xxhash64("place", k), room) + 1).cast("int"), F.lit(PIECE_CHARS)))
     first = Window.partitionBy("lang").orderBy("place")
-    few = rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= DOCS_PER_LANG)
-    at = F.explode(F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda k: (F.pmod(F.xxhash64("place", k), F.greatest(F.lit(1), F.char_length("text") - PIECE_CHARS + 1)) + 1).cast("int"))).alias("at")
-    return few.select("lang", "place", "text", at).select("lang", "place", F.col("text").substr(F.col("at"), F.lit(PIECE_CHARS)).alias("piece")).distinct().collect()
+    few = rows.select("lang", "place", cut.alias("pieces")).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= DOCS_PER_LANG)
+    return few.select("lang", "place", F.explode("pieces").alias("piece")).distinct().collect()
 
 
 def train(docs: DataFrame, seed: int = 7) -> Model | None:

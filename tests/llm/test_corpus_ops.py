@@ -252,6 +252,22 @@ def test_surroundings_grow_with_the_text(make):
     assert counts[1] < 5 * counts[0]
 
 
+def test_shared_buckets_answer_by_slice(make):
+    """More routes do not make a row for each document on each route."""
+    rng = random.Random(5)
+    rows = [(i, f"{prose(rng, 40)} {prose(random.Random(i // 40), 60)}", "en", "s") for i in range(400)]
+    known = make(rows).selectExpr("doc_id", "text").coalesce(1)
+    sent = known.mapInArrow(suffix_dedup.to_buckets(16, 60_000), suffix_dedup.BUCKETS)
+    assert 0 < sent.groupBy("route").applyInPandas(lambda route: suffix_dedup.shared_buckets(route, 20_000), suffix_dedup.SHARED).count() < 400
+
+
+def test_rows_of_one_doc_id_stay_as_many(make):
+    shared = prose(random.Random(6), 20)
+    rows = [(1, shared, "en", "s"), (2, "x " + shared, "en", "s"), (2, "x " + shared, "en", "s"), (None, shared, "en", "s")]
+    got = [(str(d), n, s) for d, n, _, s in cut_rows(suffix_dedup.removed(make(rows)))]
+    assert sorted(got) == sorted((str(d), n, s) for d, n, _, s in removed(rows))
+
+
 @pytest.mark.parametrize("seed,hot", [(0, 2000), (1, 2), (2, 2000)])
 def test_suffix_dedup_matches_brute_force(make, seed, hot):
     rows = passages(seed)

@@ -98,12 +98,16 @@ def by_document(doc: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.n
             yield int(doc[a]), values[a:b]
 
 
-BUCKETS = "route int, docs binary, bounds binary, keys binary, places binary, doc_id long, known binary"
-SHARED = "doc_id long, places binary, hot boolean, settled boolean, keys binary"
+BUCKETS = "route int, slice long, settled boolean, docs binary, bounds binary, keys binary, places binary"
+SHARED = "slice long, settled boolean, hot boolean, docs binary, bounds binary, keys binary, places binary"
+LISTED = "doc_id long, places binary, hot boolean"
 
 
 def to_buckets(routes: int, slice_bytes: int):
-    """Slices of documents -> rows of (route, anchors); places count from the start of the slice."""
+    """Slices of documents -> rows of (route, anchors); places count from the start of the slice.
+
+    A slice is named after its first doc_id and its bytes; slices of one name only meet in one group later on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,48 +126,70 @@ def to_buckets(routes: int, slice_bytes: int):
                     heads = np.flatnonzero(first)
                     many = (np.maximum.reduceat(d, heads) != np.minimum.reduceat(d, heads))[group]
                 send = np.sort(order[~many | first])
-                rows: list[tuple] = [(doc_id % routes, b"", b"", b"", b"", doc_id, p.astype("<u4").tobytes())
-                                     for doc_id, p in by_document(mine[doc[order[many]]], (at - offsets[doc])[order[many]])]
+                name = int(mix(mine[:1].astype(np.uint64) * C[3] + np.uint64(len(data))).view(np.int64)[0])
+                rows = []
+
+                def add(route: int, settled: bool, part: np.ndarray) -> None:
+                    there = np.unique(doc[part])
+                    rows.append((route, name, settled, mine[there].astype("<i8").tobytes(), planes(offsets[there]), b"" if settled else key[part].tobytes(), planes(at[part])))
+
+                if many.any():
+                    add(name % routes, True, np.sort(order[many]))
                 goes = (key[send] >> np.uint64(20)) % np.uint64(routes)
                 for route in np.unique(goes).tolist():
-                    part = send[goes == route]
-                    there = np.unique(doc[part])
-                    rows.append((route, mine[there].astype("<i8").tobytes(), planes(offsets[there]), key[part].tobytes(), planes(at[part]), None, b""))
+                    add(route, False, send[goes == route])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    list(zip(*rows)) or [[]] * 7, (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()))],
-                    [c.split()[0] for c in BUCKETS.split(", ")])
+                    list(zip(*rows)) or [[]] * 7, (pa.int32(), pa.int64(), pa.bool_(), *[pa.binary()] * 4))], [c.split()[0] for c in BUCKETS.split(", ")])
 
     return run
 
 
+def places_of(docs: bytes, bounds: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(doc_id, place from the start of the document) of the anchors in a row of a slice."""
+    starts, at = from_planes(bounds), from_planes(places)
+    doc = np.searchsorted(starts, at, "right") - 1
+    return np.frombuffer(docs, np.int64)[doc], at - starts[doc]
+
+
 def shared_buckets(rows: pd.DataFrame, hot_documents: int) -> pd.DataFrame:
-    """One route's anchors -> doc_id, places (from the start of the document) of those in shared buckets, hot, settled.
+    """One route's rows of slices -> the same rows with the places in shared buckets only, hot ones apart.
 
-    The buckets of settled (known) anchors may be on other routes, so whether they are hot is left open; a row without doc_id has the keys of this route's hot buckets.
+    The buckets of settled (known) anchors may be on other routes, so whether they are hot is left open; a row without slice has the keys of this route's hot buckets.
     """
-    known = rows[rows["doc_id"].notna()]
-    out = [(int(d), p, False, True, b"") for d, p in zip(known["doc_id"], known["known"])]
-    keys, docs, places = [], [], []
-    for ids, bounds, key, place in rows.loc[rows["doc_id"].isna(), ["docs", "bounds", "keys", "places"]].itertuples(index=False):
-        bounds, place = from_planes(bounds), from_planes(place)
-        doc = np.searchsorted(bounds, place, "right") - 1
-        keys.append(np.frombuffer(key, np.uint64))
-        docs.append(np.frombuffer(ids, np.int64)[doc])
-        places.append((place - bounds[doc]).astype(np.uint32))
-    if keys:
-        key, doc, place = np.concatenate(keys), np.concatenate(docs), np.concatenate(places)
+    known = rows[rows["settled"]]
+    out = [(name, True, False, docs, bounds, b"", places) for name, docs, bounds, places in known[["slice", "docs", "bounds", "places"]].itertuples(index=False)]
+    sent = list(rows.loc[~rows["settled"], ["slice", "docs", "bounds", "keys", "places"]].itertuples(index=False))
+    if sent:
+        key = np.concatenate([np.frombuffer(r.keys, np.uint64) for r in sent])
+        doc = np.concatenate([places_of(r.docs, r.bounds, r.places)[0] for r in sent])
         order = np.argsort(key)
-        key, doc, place = key[order], doc[order], place[order]
-        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        heads = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
         n = np.diff(np.r_[heads, len(key)])
-        shared = np.repeat(np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads), n)
-        hot = np.repeat(n > hot_documents, n)
-        for is_hot in (False, True):
-            pick = shared & (hot == is_hot)
-            out += [(d, p.astype("<u4").tobytes(), is_hot, False, b"") for d, p in by_document(doc[pick], place[pick])]
+        shared, hot = np.empty(len(key), bool), np.empty(len(key), bool)
+        shared[order] = np.repeat(np.minimum.reduceat(doc[order], heads) != np.maximum.reduceat(doc[order], heads), n)
+        hot[order] = np.repeat(n > hot_documents, n)
+        end = 0
+        for name, docs, bounds, keys, places in sent:
+            starts, at = from_planes(bounds), from_planes(places)
+            begin, end = end, end + len(at)
+            for is_hot in (False, True):
+                pick = at[shared[begin:end] & (hot[begin:end] == is_hot)]
+                if len(pick):
+                    there = np.unique(np.searchsorted(starts, pick, "right") - 1)
+                    out.append((name, False, is_hot, np.frombuffer(docs, np.int64)[there].tobytes(), planes(starts[there]), b"", planes(pick)))
         if hot.any():
-            out.append((None, b"", True, False, key[heads[n > hot_documents]].tobytes()))
-    return pd.DataFrame(out, columns=["doc_id", "places", "hot", "settled", "keys"]).astype({"doc_id": "Int64"})
+            out.append((None, False, True, b"", b"", key[order][heads[n > hot_documents]].tobytes(), b""))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in SHARED.split(", ")]).astype({"slice": "Int64"})
+
+
+def by_documents(rows: pd.DataFrame) -> pd.DataFrame:
+    """One slice's rows, of all routes -> doc_id, places (from the start of the document), hot."""
+    out = []
+    for is_hot, part in rows.groupby("hot"):
+        listed = [places_of(*row) for row in part[["docs", "bounds", "places"]].itertuples(index=False)]
+        doc, place = (np.concatenate(x) for x in zip(*listed))
+        out += [(d, p.astype("<u4").tobytes(), bool(is_hot)) for d, p in by_document(doc, place)]
+    return pd.DataFrame(out, columns=["doc_id", "places", "hot"])
 
 
 def hot_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,16 +217,16 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.int64(), pa.binary(), pa.bool_()))], ["doc_id", "places", "hot"])
 
 
-def with_buckets_flag(flagged: DataFrame, texts: DataFrame) -> DataFrame:
+def with_buckets_flag(flagged: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
     """doc_id, places, hot, where settled anchors take the flag of their bucket; their keys are only formed if any bucket is hot."""
-    sent = flagged.where("doc_id is not null and not settled").select("doc_id", "places", "hot")
-    settled = flagged.where("settled")
-    keys = stage(flagged.where("doc_id is null").select("keys").mapInArrow(hot_keys, "key long"), "hot")
+    keys = stage(flagged.where("slice is null").select("keys").mapInArrow(hot_keys, "key long"), "hot")
+    listed_of = lambda rows: rows.where("slice is not null").select("slice", "hot", "docs", "bounds", "places").groupBy("slice").applyInPandas(by_documents, LISTED)
     if keys.isEmpty():
-        return sent.unionByName(settled.select("doc_id", "places", "hot"))
-    listed = texts.join(settled.groupBy("doc_id").agg(F.collect_list("places").alias("places")), "doc_id").select("doc_id", "text", "places")
+        return listed_of(flagged)
+    sent, settled = listed_of(flagged.where("not settled")), listed_of(flagged.where("settled"))
+    listed = texts.join(settled.repartition(parts, "doc_id").groupBy("doc_id").agg(F.collect_list("places").alias("places")), "doc_id").select("doc_id", "text", "places")
     known = listed.mapInArrow(keys_at, "doc_id long, place long, key long").join(keys.withColumn("hot", F.lit(True)), "key", "left")
-    return sent.unionByName(known.select("doc_id", "place", F.coalesce("hot", F.lit(False)).alias("hot")).mapInArrow(gathered, "doc_id long, places binary, hot boolean"))
+    return sent.unionByName(known.select("doc_id", "place", F.coalesce("hot", F.lit(False)).alias("hot")).mapInArrow(gathered, LISTED))
 
 
 def words_at(context: np.ndarray) -> np.ndarray:
@@ -384,19 +410,29 @@ def refine_stream(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterato
             yield from block(open_.slice(i, block_rows))
 
 
+CUT = "doc_id long, sha binary, n_bytes long, copy boolean, spans array<struct<start: long, end: long>>, kept binary"
+
+
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, covered) -> doc_id, spans (maximal removed runs), kept (remaining bytes)."""
+    """(doc_id, sha, n_bytes, copy, text, covered) -> the first four, spans (maximal removed runs), kept (remaining bytes); without text the last two are null."""
+
+    def cut(raw: bytes, covered: list[bytes]) -> tuple[list[dict], bytes]:
+        ends = np.frombuffer(b"".join(covered), "<u4").reshape(-1, 2).astype(np.int64)
+        ends = ends[np.argsort(ends[:, 0], kind="stable")]
+        upto = np.maximum.accumulate(ends[:, 1])
+        new = np.r_[True, ends[1:, 0] > upto[:-1]]
+        a, b = ends[new, 0], upto[np.r_[np.flatnonzero(new)[1:] - 1, len(upto) - 1]]
+        kept = b"".join(raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)]))
+        return [{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist())], kept
+
     for batch in batches:
-        for at in range(batch.num_rows):
-            raw = batch.column(1)[at].as_py().encode()
-            ends = np.frombuffer(b"".join(batch.column(2)[at].as_py()), "<u4").reshape(-1, 2).astype(np.int64)
-            ends = ends[np.argsort(ends[:, 0], kind="stable")]
-            upto = np.maximum.accumulate(ends[:, 1])
-            new = np.r_[True, ends[1:, 0] > upto[:-1]]
-            a, b = ends[new, 0], upto[np.r_[np.flatnonzero(new)[1:] - 1, len(upto) - 1]]
-            kept = b"".join(raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)]))
-            spans = [{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([kept], pa.binary())], ["doc_id", "spans", "kept"])
+        for at, data, offsets in byte_slices(batch.column(4).fill_null("")):
+            rows = batch.slice(at, len(offsets) - 1)
+            texts, listed = rows.column(4), rows.column(5)
+            parts = [cut(texts[i].as_py().encode(), listed[i].as_py()) if texts[i].is_valid else (None, None) for i in range(len(rows))]
+            spans, kept = zip(*parts)
+            yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
+                                             ["doc_id", "sha", "n_bytes", "copy", "spans", "kept"])
 
 
 def removed(docs: DataFrame, hot_documents: int = HOT_DOCUMENTS, slice_bytes: int = SLICE_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -411,11 +447,17 @@ def removed(docs: DataFrame, hot_documents: int = HOT_DOCUMENTS, slice_bytes: in
     known = rows.where("doc_id is not null")
     flagged = stage(known.mapInArrow(to_buckets(routes, slice_bytes), BUCKETS).groupBy("route").applyInPandas(lambda route: shared_buckets(route, hot_documents), SHARED), "shared")
     whole = light.where("not copy").select("doc_id").distinct()
-    texts = known.repartition(max(routes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "doc_id")
-    lists = with_buckets_flag(flagged, texts).groupBy("doc_id").agg(F.collect_list(F.struct("places", "hot")).alias("places"))
+    # What is joined with the texts is dealt into as many parts, or Spark would deal the texts anew for one of the joins.
+    parts = max(routes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    texts = known.repartition(parts, "doc_id")
+    lists = with_buckets_flag(flagged, texts, parts).repartition(parts, "doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("places", "hot")).alias("places"))
     found = texts.join(lists.join(whole, "doc_id", "left_semi"), "doc_id").select("doc_id", "text", "places").mapInArrow(to_strings(slice_bytes), STRINGS)
     sorted_ = found.repartition("key").sortWithinPartitions("key", "doc_id")
-    covered = sorted_.mapInArrow(refine(block_rows), "doc_id long, covered binary").groupBy("doc_id").agg(F.collect_list("covered").alias("covered"))
-    changed = texts.join(covered, "doc_id").select("doc_id", "text", "covered").mapInArrow(cut_out, "doc_id long, spans array<struct<start: long, end: long>>, kept binary")
-    changed = changed.withColumn("changed_id", F.col("doc_id")).drop("doc_id")
-    return light.join(changed, (F.col("doc_id") == F.col("changed_id")) & ~F.col("copy"), "left").select("doc_id", "sha", "n_bytes", "copy", "spans", "kept")
+    covered = sorted_.mapInArrow(refine(block_rows), "doc_id long, covered binary").repartition(parts, "doc_id").groupBy("doc_id").agg(F.collect_list("covered").alias("covered"))
+    # Texts lie by doc_id already, and what they are joined with is narrow; what is kept of them is not moved again.
+    copies = light.where("copy and doc_id is not null").groupBy("doc_id").agg(F.collect_set("sha").alias("copied"))
+    told = texts.withColumn("sha", F.unhex(F.sha2("text", 256))).join(covered, "doc_id", "left").join(copies, "doc_id", "left")
+    told = told.withColumn("copy", F.coalesce(F.array_contains("copied", F.col("sha")), F.lit(False)))
+    cut = told.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes"), "copy", F.expr("if(copy or covered is null, null, text)").alias("text"), "covered")
+    unnamed = light.where("doc_id is null").selectExpr("doc_id", "sha", "n_bytes", "copy", "cast(null as array<struct<start: long, end: long>>) as spans", "cast(null as binary) as kept")
+    return cut.mapInArrow(cut_out, CUT).unionByName(unnamed)

@@ -144,6 +144,41 @@ def test_copies_of_one_text_around_the_threshold(make, monkeypatch, rounds):
     assert got == near_components(rows, 90)
 
 
+def test_odd_sketches_bound_the_difference(spark):
+    rng = random.Random(9)
+    base = [rng.getrandbits(63) for _ in range(150)]
+    near = [base[k:] + [rng.getrandbits(63) for _ in range(k)] for k in (0, 1, 10, 25, 60, 149)]
+    rows = spark.createDataFrame(list(enumerate(near)), "id long, set array<long>").coalesce(1).mapInArrow(near_dup.odd_sketch, "id long, odd array<long>")
+    one, two = (rows.selectExpr(f"id as {k}", f"odd as odd_{k}") for k in "ab")
+    for a, b, n in one.crossJoin(two).select("a", "b", near_dup.apart_at_least("odd_a", "odd_b")).collect():
+        real = len(set(near[a]) ^ set(near[b]))
+        assert 0.75 * real <= n <= real and (real - n) % 2 == 0
+
+
+def test_members_of_one_large_group_are_not_all_estimated(make, monkeypatch):
+    """Copies of one passage, each changed at places of its own: hardly any pair reaches the threshold, and few are estimated."""
+    frame = type(make([]))
+    pairs, run = [], frame.mapInArrow
+
+    def counted(df, function, schema, *rest):
+        if function is near_dup.estimate:
+            pairs.append(df.count())
+        return run(df, function, schema, *rest)
+
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        own = list(words)
+        for at in rng.sample(range(0, 150, 5), 2):
+            own[at] = f"x{rng.random()}"
+        rows.append((i, " ".join(own), "en", "s"))
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    got = dict(collect(near_dup.components_of(make(rows).repartition(3)), "doc_id", "component_id"))
+    assert got == near_components(rows)
+    assert sum(pairs) < 120
+
+
 def test_links_are_contracted(spark):
     labels = spark.createDataFrame([(i, i // 10 * 10) for i in range(40)], "id long, label long")
     links = spark.createDataFrame([(a, b) for a in range(10, 20) for b in range(20, 30)] + [(1, 2)], "a long, b long")

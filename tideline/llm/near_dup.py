@@ -12,9 +12,11 @@ full sets against the bucket's smallest class, which joins large groups without
 still hold several components, ``ROUNDS`` times each class outside a bucket's first component is verified against one
 member of it (of all its buckets one, another member every time), and found links are contracted to components: near copies that miss the
 smallest class meet one of the many others. Of classes of one bucket that are then still apart, those leave that cannot reach any size in the bucket: the shingles a set shares with
-any other of these sets bound every intersection. The others are paired unless that bound or the triangle inequality
-of the Jaccard distance (both distances to the bucket's smallest are known) excludes a link, each pair in the first band it shares only, or the joint likelihood
+any other of these sets bound every intersection. The others are paired unless that bound, the triangle inequality
+of the Jaccard distance (both distances to the bucket's smallest are known) or their odd sketches exclude a link, each pair in the first band it shares only, or the joint likelihood
 of both sketches puts J more than six standard deviations below the threshold; the rest is verified on full sets.
+An odd sketch holds for each of ``CELLS`` cells of the hashes whether a set has an odd number of shingles in it: shingles that two sets
+share cancel out, so cells in which the sketches differ number at most the shingles that only one of the sets has.
 
 Rows with one doc_id are one document, linked if any of their texts is. A null doc_id is its own component
 (null) unless its set equals another document's. Null and empty texts have no shingles. An empty table gives
@@ -33,12 +35,14 @@ from pyspark.sql import functions as F
 from tideline.llm.common import stage, text
 from tideline.llm.graph import components
 from tideline.llm.hashing import byte_slices, constants, mix, shingles
+from tideline.sources.tables import marked
 
 BANDS, ROWS = 32, 4
 ROUNDS = 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65534
 PERCENT = 85
+CELLS = 2048
 FACTOR = (constants(21, REGISTERS) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 SHIFT = (constants(22, REGISTERS) >> np.uint64(32)).astype(np.uint32)
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
@@ -102,6 +106,22 @@ def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(j)], ["a", "b", "j"])
 
 
+def odd_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, set) -> id, odd: the parity of each cell, as bits of 64-bit words."""
+    for batch in batches:
+        sets = batch.column(1)
+        row = np.repeat(np.arange(len(sets)), np.diff(np.asarray(sets.offsets)))
+        cell = (np.asarray(sets.flatten()).view(np.uint64) >> np.uint64(17)).astype(np.int64) % CELLS
+        odd = (np.bincount(row * CELLS + cell, minlength=len(sets) * CELLS) & 1).astype(np.uint8).reshape(-1, CELLS)
+        words = np.packbits(odd, axis=1).view("<i8")
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(words), pa.list_(pa.int64()))], ["id", "odd"])
+
+
+def apart_at_least(x: Column | str, y: Column | str) -> Column:
+    """A lower bound of the number of shingles that only one of two sets has, from their odd sketches; 0 where one has none."""
+    return F.coalesce(F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, bits: n + bits), F.lit(0))
+
+
 def overlap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b -> a, b, common, joint: sizes of intersection and union of the full sets."""
     left, right = (sets.select(F.col("id").alias(k), F.col("set").alias(f"set_{k}")) for k in "ab")
@@ -163,7 +183,8 @@ def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = stage(keyed.join(shared.select("band", "key", "least"), ["band", "key"]), "members")
 
     ids = members.select("id").distinct()
-    sets = stage(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text").mapInArrow(full_sets, "id long, set array<long>").where("size(set) > 0"), "sets")
+    # Most other texts are dropped by marks of the ids, before they are shuffled.
+    sets = stage(marked(texts.withColumnRenamed("doc_id", "id"), ids, "id").join(ids, "id", "left_semi").select("id", "text").mapInArrow(full_sets, "id long, set array<long>").where("size(set) > 0"), "sets")
     star = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     verified = stage(overlap(star, sets).groupBy("a", "b").agg(F.count("*").alias("n"), F.max(F.struct((F.col("common") / F.col("joint")).alias("j"), "common", "joint")).alias("m")).select("a", "b", "n", "m.*"), "verified")
     links = verified.where(linked(percent)).select("a", "b")
@@ -185,17 +206,19 @@ def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     least = open_.groupBy("band", "key").agg(F.min("n_shingles").alias("smallest"))
     open_ = open_.join(own, "id").join(least, ["band", "key"]).where(f"{100 + percent} * shared - {percent} * n_shingles >= {percent} * smallest")
     open_ = stage(still_apart(open_.drop("smallest")), "open")
-    sketched = open_.join(classes.select("id", "n_shingles", "bands"), ["id", "n_shingles"]).where("bands[band] = key")
+    odd = sets.join(open_.select("id").distinct(), "id", "left_semi").mapInArrow(odd_sketch, "id long, odd array<long>")
+    odd = stage(odd.groupBy("id").agg(F.count("*").alias("n"), F.first("odd").alias("odd")).where("n = 1").drop("n"), "odd")  # as for distances
+    sketched = open_.join(classes.select("id", "n_shingles", "bands"), ["id", "n_shingles"]).where("bands[band] = key").join(odd, "id", "left")
     one, two = (sketched.select("band", "key", "least", F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("label").alias(f"label_{k}"),
-                                F.col("far").alias(f"far_{k}"), F.col("shared").alias(f"shared_{k}"), F.col("bands").alias(f"bands_{k}")) for k in "ab")
+                                F.col("far").alias(f"far_{k}"), F.col("shared").alias(f"shared_{k}"), F.col("bands").alias(f"bands_{k}"), F.col("odd").alias(f"odd_{k}")) for k in "ab")
     slack = 1 - percent / 100 + 1e-9
     # Members of the first one's component meet only those outside it, and two sketches meet in the first band they share.
     mains = open_.groupBy("band", "key").agg(F.min_by("label", "id").alias("main"))
     outside = one.join(mains, ["band", "key"]).where("label_a <> main")
-    rest = outside.join(two.drop("least"), ["band", "key"]).where(
+    rest = outside.join(two.drop("least"), ["band", "key"]).where(F.expr(
         f"""label_a <> label_b and (label_b = main or a < b) and a <> least and b <> least and coalesce(abs(far_a - far_b) <= {slack}, true)
             and {100 + percent} * least(shared_a, shared_b) >= {percent} * (n_a + n_b)
-            and array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1""")
+            and array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1""") & ((100 + percent) * apart_at_least("odd_a", "odd_b") <= (100 - percent) * (F.col("n_a") + F.col("n_b"))))
     j = percent / 100
     likely = rest.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(estimate, "a long, b long, j double").where(F.col("j") >= j - 6 * (j * (1 - j) / REGISTERS) ** 0.5)
     more = stage(overlap(likely.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct(), sets).where(linked(percent)).select("a", "b"), "links")

@@ -3,7 +3,10 @@
 import itertools
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import collect, prose
 from pyspark.sql import functions as F
@@ -155,6 +158,17 @@ def test_odd_sketches_bound_the_difference(spark):
         assert 0.75 * real <= n <= real and (real - n) % 2 == 0
 
 
+def test_odd_sketches_take_few_sets_at_once():
+    rng = np.random.default_rng(1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(list(rng.integers(0, 1 << 62, (4000, 20))), pa.list_(pa.int64()))], ["id", "set"])
+    tracemalloc.start()
+    try:
+        sketched = sum(out.num_rows for out in near_dup.odd_sketch(iter([batch])))
+        assert sketched == 4000 and tracemalloc.get_traced_memory()[1] < 32 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_members_of_one_large_group_are_not_all_estimated(make, monkeypatch):
     """Copies of one passage, each changed at places of its own: hardly any pair reaches the threshold, and few are estimated."""
     frame = type(make([]))
@@ -440,6 +454,27 @@ def test_mix_edges(odd, odd_rows, empty):
     assert mixing.mixed(odd).count() == sum(r["copies"] for r in got)
 
 
+def test_texts_of_the_mix_are_not_shuffled(spark, make, monkeypatch):
+    """What meets the texts has a row for each source and length, and rows that nothing but their place tells apart are counted."""
+    rows = [(i, "word " * (1 + i % 3), "en", "ab"[i % 2]) for i in range(6000)] + [(7, "one two", "en", "a")] * 500
+    written, write = {}, mixing.stage
+
+    def counted(df, name):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(mixing, "stage", counted)
+    out = mixing.mixed(make(rows))
+    assert all(df.count() <= 6 for name, df in written.items() if name != "sizes")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    got = out.groupBy("doc_id").count().collect()
+    want = {}
+    for r in mixing.balance(make(rows)).collect():
+        want[r["doc_id"]] = want.get(r["doc_id"], 0) + r["copies"]
+    assert {r["doc_id"]: r["count"] for r in got} == {d: n for d, n in want.items() if n}
+
+
 OWN_NAMES = ("_id", "_sha", "_stays", "_digest", "_copies", "_taken", "_key", "_size", "_no", "_text", "_letters", "lang_pred", "score", "rejected", "row",
              "place", "file", "copies", "key", "h", "sha", "keep_id", "file_path", "row_index", "label", "n_shingles", "component_id")
 

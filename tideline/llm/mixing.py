@@ -16,12 +16,14 @@ partitions. An empty table gives an empty result; other columns are not looked a
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import join_rows, located, location, stage
+from tideline.llm.common import located, location, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
@@ -30,7 +32,7 @@ STEPS = 200
 
 
 def words() -> Column:
-    return F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).cast("long")
+    return F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def source_key() -> Column:
@@ -97,10 +99,23 @@ def copies(size: np.ndarray, n: np.ndarray, rate: np.ndarray, target: float, cap
     return base, more
 
 
-def balance(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, row: Column | None = None) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, key, size, source_size, target, copies (and ``row``, when one is given)."""
-    own = [] if row is None else [row.alias("row")]
-    light = stage(docs.select("doc_id", source_key().alias("key"), words().alias("size"), *own).withColumn("h", F.xxhash64("doc_id", "key", "size")), "sizes")
+def own_place(row: Column | None) -> list[Column]:
+    return [] if row is None else [row.alias("row")]
+
+
+def measured(row: Column | None = None) -> list[Column]:
+    """key, size and h of a row of documents (and ``row``, when one is given)."""
+    key, size = source_key(), words()
+    return [key.alias("key"), size.alias("size"), F.xxhash64("doc_id", key, size).alias("h"), *own_place(row)]
+
+
+def in_slice() -> Column:
+    return F.pmod(F.shiftright("h", 20), F.ceil(F.col("n") / SLICE_ROWS))
+
+
+def settled(docs: DataFrame, weights: tuple[float, ...], cap: int, row: Column | None) -> tuple[DataFrame, DataFrame]:
+    """The measured rows, and their cells: key, size, n, source_size, target, base (copies of each row), more (rows with one more)."""
+    light = stage(docs.select("doc_id", *measured(row)), "sizes")
     cells = stage(light.groupBy("key", "size").agg(F.count("*").alias("n")), "cells")
     goals = stage(targets(cells.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, cap), "targets")
 
@@ -112,23 +127,45 @@ def balance(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CA
         base[some], more[some] = copies(size[some], n[some], rates(size[some], n[some], goal, cap), goal, cap)
         return cell.assign(base=base, more=more)[["key", "size", "n", "source_size", "target", "base", "more"]]
 
-    settled = cells.join(goals, "key").groupBy("key").applyInPandas(settle, "key string, size long, n long, source_size long, target double, base long, more long")
-    settled = stage(settled, "settled")
-    joined = light.join(settled, ["key", "size"])
-    even = joined.where("more = 0 or more = n").withColumn("copies", F.col("base") + F.when(F.col("more") > 0, 1).otherwise(0))
-    mixed = joined.where("more > 0 and more < n").withColumn("slice", F.pmod(F.shiftright("h", 20), F.ceil(F.col("n") / SLICE_ROWS)))
-    slices = mixed.groupBy("key", "size", "slice").agg(F.count("*").alias("here"))
+    done = cells.join(goals, "key").groupBy("key").applyInPandas(settle, "key string, size long, n long, source_size long, target double, base long, more long")
+    return light, stage(done, "settled")
+
+
+def numbered(light: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows of cells in which some get one more, with ``number``: their place in the cell by slice, h (and row)."""
+    some = light.join(cells.where("more > 0 and more < n"), ["key", "size"]).withColumn("slice", in_slice())
+    slices = some.groupBy("key", "size", "slice").agg(F.count("*").alias("here"))
     before = F.coalesce(F.sum("here").over(Window.partitionBy("key", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = mixed.withColumn("rank", F.row_number().over(Window.partitionBy("key", "size", "slice").orderBy("h")))
-    numbered = numbered.join(slices.select("key", "size", "slice", before.alias("before")), ["key", "size", "slice"])
-    chosen = numbered.withColumn("copies", F.col("base") + F.when(F.col("before") + F.col("rank") <= F.col("more"), 1).otherwise(0))
-    columns = ["doc_id", "key", "size", "source_size", "target", "copies", *(["row"] if own else [])]
+    order = ["h", "row"] if "row" in light.columns else ["h"]
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("key", "size", "slice").orderBy(*order)))
+    ranked = ranked.join(slices.select("key", "size", "slice", before.alias("before")), ["key", "size", "slice"])
+    return ranked.withColumn("number", F.col("before") + F.col("rank"))
+
+
+def balance(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, key, size, source_size, target, copies."""
+    light, cells = settled(docs, weights, cap, None)
+    even = light.join(cells, ["key", "size"]).where("more = 0 or more = n").withColumn("copies", F.col("base") + F.when(F.col("more") > 0, 1).otherwise(0))
+    chosen = numbered(light, cells).withColumn("copies", F.col("base") + F.when(F.col("number") <= F.col("more"), 1).otherwise(0))
+    columns = ["doc_id", "key", "size", "source_size", "target", "copies"]
     return even.select(columns).unionByName(chosen.select(columns))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Texts meet one row for each source and length, not one for each document: its copies, and the last place
+    (slice, h, row) that gets one more. So what joins them is small, and they need not be shuffled.
+    """
     files = located(docs)
-    taken = balance(files, weights, cap, location(files)).where("copies > 0").select("row", F.col("copies").cast("int").alias("copies"))
-    rows, new = join_rows(files, stage(taken, "copies"), "inner")
-    return rows.withColumn(f"{new}copy", F.explode(F.sequence(F.lit(1), F.col(f"{new}copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    light, cells = settled(files, weights, cap, location(files))
+    ends = numbered(light, cells).where("number = more").select("key", "size", F.struct("slice", "h", "row").alias("last"))
+    bounds = stage(cells.where("base > 0 or more > 0").join(ends, ["key", "size"], "left").select("key", "size", "n", "base", F.expr("more = n").alias("whole"), "last"), "bounds")
+    new = "m" + uuid.uuid4().hex[:12] + "_"
+    names = ["key", "size", "h", "row", "n", "base", "whole", "last"]
+    here = files.select("*", F.struct(*measured(location(files))).alias(f"{new}own"))
+    here = here.select(*[F.col(f"`{c}`").alias(f"{new}{i}") for i, c in enumerate(docs.columns)], *[F.col(f"{new}own")[c].alias(c) for c in names[:4]])
+    met = here.join(bounds, ["key", "size"])
+    one_more = F.col("whole") | F.coalesce(F.struct(in_slice().alias("slice"), "h", "row") <= F.col("last"), F.lit(False))
+    taken = met.withColumn("copies", (F.col("base") + one_more.cast("int")).cast("int")).where("copies > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col(f"{new}{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -43,6 +43,7 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65534
 PERCENT = 85
 CELLS = 2048
+ODD_ROWS = 256
 FACTOR = (constants(21, REGISTERS) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 SHIFT = (constants(22, REGISTERS) >> np.uint64(32)).astype(np.uint32)
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
@@ -107,14 +108,15 @@ def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def odd_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, set) -> id, odd: the parity of each cell, as bits of 64-bit words."""
+    """(id, set) -> id, odd: the parity of each cell, as bits of 64-bit words. So many sets at once that their counts take 4 MB."""
     for batch in batches:
-        sets = batch.column(1)
-        row = np.repeat(np.arange(len(sets)), np.diff(np.asarray(sets.offsets)))
-        cell = (np.asarray(sets.flatten()).view(np.uint64) >> np.uint64(17)).astype(np.int64) % CELLS
-        odd = (np.bincount(row * CELLS + cell, minlength=len(sets) * CELLS) & 1).astype(np.uint8).reshape(-1, CELLS)
-        words = np.packbits(odd, axis=1).view("<i8")
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(words), pa.list_(pa.int64()))], ["id", "odd"])
+        for start in range(0, batch.num_rows, ODD_ROWS):
+            ids, sets = (batch.column(i).slice(start, ODD_ROWS) for i in (0, 1))
+            row = np.repeat(np.arange(len(sets)), np.diff(np.asarray(sets.offsets)))
+            cell = (np.asarray(sets.flatten()).view(np.uint64) >> np.uint64(17)).astype(np.int64) % CELLS
+            odd = (np.bincount(row * CELLS + cell, minlength=len(sets) * CELLS) & 1).astype(np.uint8).reshape(-1, CELLS)
+            words = np.packbits(odd, axis=1).view("<i8")
+            yield pa.RecordBatch.from_arrays([ids, pa.array(list(words), pa.list_(pa.int64()))], ["id", "odd"])
 
 
 def apart_at_least(x: Column | str, y: Column | str) -> Column:
